@@ -131,11 +131,10 @@ def prior_window_mean(
     return over_series(df, build, order_by, partition_by, back=window, **how)
 
 
-def _median(values: Column) -> Column:
-    ordered = F.array_sort(values)
+def _median(ordered: Column) -> Column:
     n = F.size(ordered)
-    low = F.try_element_at(ordered, F.floor((n + 1) / 2).cast("int"))
-    high = F.try_element_at(ordered, (F.floor(n / 2) + 1).cast("int"))
+    low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
+    high = F.get(ordered, F.floor(n / 2).cast("int"))
     return (low + high) / 2.0
 
 
@@ -156,19 +155,23 @@ def rolling_impute(
     if stat not in ("median", "mean"):
         raise ValueError(f"Unknown statistic: {stat}")
 
-    def build(w: WindowSpec) -> dict[str, Column]:
+    def near(w: WindowSpec) -> dict[str, Column]:
+        # One window expression per column and statistic; all share one sort.
         frame = w.rowsBetween(-(window - 1), 0)
-        out = {}
-        for c in cols:
-            if stat == "mean":
-                centre, count = F.avg(c).over(frame), F.count(c).over(frame)
-            else:
-                near = F.collect_list(c).over(frame)
-                centre, count = _median(near), F.size(near)
-            out[c] = F.coalesce(F.col(c), F.when(count >= min_periods, centre))
-        return out
-
-    return over_series(df, build, order_by, partition_by, back=window - 1, **how)
+        if stat == "median":
+            return {f"_near_{c}": F.sort_array(F.collect_list(c).over(frame)) for c in cols}
+        means = {f"_near_{c}": F.avg(c).over(frame) for c in cols}
+        return {**means, **{f"_count_{c}": F.count(c).over(frame) for c in cols}}
+
+    def centre(c: str) -> Column:
+        if stat == "median":
+            ordered = F.col(f"_near_{c}")
+            return F.when(F.size(ordered) >= min_periods, _median(ordered))
+        return F.when(F.col(f"_count_{c}") >= min_periods, F.col(f"_near_{c}"))
+
+    out = over_series(df, near, order_by, partition_by, back=window - 1, **how)
+    filled = {c: F.coalesce(F.col(c), centre(c)) for c in cols}
+    return out.withColumns(filled).select(*df.columns)
 
 
 def add_lags(

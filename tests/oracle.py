@@ -87,7 +87,7 @@ def main(argv):
     names = argv[1:] or list(QUERIES)
     spark = build_session(
         "oracle", spark__master="local[8]", spark__sql__shuffle__partitions="8",
-        spark__ui__enabled="false", spark__driver__memory="8g",
+        spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
