@@ -14,6 +14,7 @@ from ..functions.missing import (
     numeric_columns,
     sentinel_to_null,
 )
+from ..session import materialize
 from .aggregate import first_per_key
 from .profile import null_shares
 from .schema import CASE_NAMES, STATION_NAMES, WIND_COLUMNS, rename_present
@@ -49,7 +50,7 @@ def mask_sparse_columns(
     """
     shares = df.groupBy(*keys).agg(*null_shares(cols))
     good = [F.when(F.col(c) < max_null, F.lit(c)) for c in cols]
-    kept = shares.select(*keys, F.array_compact(F.array(*good)).alias("_kept"))
+    kept = materialize(shares.select(*keys, F.array_compact(F.array(*good)).alias("_kept")))
     alive = {r[0] for r in kept.select(F.explode("_kept")).distinct().collect()}
     names = [c for c in cols if c in alive]
     joined = df.join(kept, list(keys), "left")

@@ -57,14 +57,16 @@ CONCRETE_NAMES = (
 
 
 def rename_present(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Rename the columns that exist; the first of two claimants wins."""
-    taken = set(df.columns) - set(names)
-    use = {}
-    for old, new in names.items():
-        if old in df.columns and new not in taken:
-            use[old] = new
-            taken.add(new)
-    return df.withColumnsRenamed(use)
+    """Rename the columns that exist; columns that get one name are merged into it."""
+    sources: dict[str, list[str]] = {}
+    for c in df.columns:
+        sources.setdefault(names.get(c, c), []).append(f"`{c}`")
+    return df.select(
+        *[
+            (F.coalesce(*cols) if len(cols) > 1 else F.col(cols[0])).alias(new)
+            for new, cols in sources.items()
+        ]
+    )
 
 
 def require_columns(df: DataFrame, required: Iterable[str], label: str = "table") -> DataFrame:

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.names import fold_accents, unique_names
+from ..session import materialize
 
-# Widest file that is read; wider rows would lose cells, so it is checked.
+# Widest quoted file that is read; a wider header is an error.
 WIDTH = 128
+# A dataset that Spark wrote is a folder; its name is the file's name then.
+FILE = r"([^/=]+?)(?:/part-[^/]*)?$"
 PLACE = ("caminho", "arquivo", "_bloco", "_linha")
 
 
@@ -30,26 +33,31 @@ def raw_rows(
     paths: str | Sequence[str],
     sep: str = ";",
     encoding: str = "UTF-8",
-    multiline: bool = False,
+    quoted: bool = False,
     width: int = WIDTH,
 ) -> DataFrame:
-    """Every line of the files as an array of text cells, with its place in its file."""
-    cells = [f"c{i}" for i in range(width)]
-    frame = spark.read.csv(
-        paths,
-        schema=", ".join(f"{c} string" for c in cells),
-        sep=sep,
-        encoding=encoding,
-        header=False,
-        multiLine=multiline,
-        escape='"',
-    )
+    """Every line of the files as an array of text cells, with its place in its file.
+
+    Plain lines are read whole and split, so any width will do. Quoted cells, which may
+    hold separators and line breaks, are left to the CSV parser.
+    """
+    paths = paths if isinstance(paths, str) else list(paths)
+    if quoted:
+        names = [f"c{i}" for i in range(width)]
+        schema = ", ".join(f"{c} string" for c in names)
+        frame = spark.read.csv(
+            paths, schema=schema, sep=sep, encoding=encoding, multiLine=True, escape='"'
+        )
+        cells = F.array(*names)
+    else:
+        frame = spark.read.csv(paths, schema="line string", sep="\u0001", encoding=encoding, quote="")
+        cells = F.split("line", f"[{sep}]")
     return frame.select(
         F.col("_metadata.file_path").alias("caminho"),
-        F.col("_metadata.file_name").alias("arquivo"),
+        F.regexp_extract("_metadata.file_path", FILE, 1).alias("arquivo"),
         F.col("_metadata.file_block_start").alias("_bloco"),
         F.monotonically_increasing_id().alias("_linha"),
-        F.array(*cells).alias("_cells"),
+        cells.alias("_cells"),
     )
 
 
@@ -82,7 +90,7 @@ def read_headed(
     sep: str = ";",
     encoding: str = "UTF-8",
     first_cells: Iterable[str] | None = None,
-    multiline: bool = False,
+    quoted: bool = False,
 ) -> DataFrame:
     """Union of files with differing headers, as text columns.
 
@@ -90,8 +98,11 @@ def read_headed(
     row. One pass finds the headers, one reads the rows; each row picks its cells by
     the positions found for its file.
     """
-    rows = raw_rows(spark, paths, sep, encoding, multiline)
-    tops = headers(rows, first_cells)
+    rows = raw_rows(spark, paths, sep, encoding, quoted)
+    # One short row per file, found once and stored.
+    tops = materialize(headers(rows, first_cells))
+    if quoted and tops.where(F.size("colunas") >= WIDTH).limit(1).count():
+        raise ValueError(f"A file has {WIDTH} columns or more.")
     # The names become the output's columns, so the driver needs this short list.
     found = tops.select(F.posexplode("colunas").alias("at", "name"))
     names = [
@@ -114,13 +125,15 @@ def read_headed(
 
 def file_catalogue(table: DataFrame) -> DataFrame:
     """Per file: year in its name or folder, path, row count, column count."""
-    years = F.regexp_extract_all("caminho", F.lit(r"((?:19|20)\d\d)"), F.lit(1))
+    in_name = F.regexp_extract_all("arquivo", F.lit(r"((?:19|20)\d\d)"), F.lit(1))
+    in_folder = F.regexp_extract_all("caminho", F.lit(r"/((?:19|20)\d\d)(?=/)"), F.lit(1))
+    year = F.coalesce(F.try_element_at(in_name, F.lit(-1)), F.try_element_at(in_folder, F.lit(-1)))
     named = F.array_compact(F.array_remove("colunas", ""))
     return (
         table.groupBy("caminho", "arquivo")
         .agg(F.count("*").alias("qtd_linhas"), F.max(F.size(named)).alias("qtd_colunas"))
         .select(
-            F.element_at(years, -1).cast("int").alias("ano"),
+            year.cast("int").alias("ano"),
             "arquivo",
             "caminho",
             "qtd_linhas",

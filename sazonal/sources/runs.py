@@ -102,7 +102,7 @@ def load_search_history(
     ]
     frames = []
     if csv:
-        table = read_headed(spark, csv, ",", multiline=True)
+        table = read_headed(spark, csv, ",", quoted=True)
         skip = {"caminho", "arquivo", "_bloco", "_linha", "colunas"}
         frames.append(table.select(*_run_key(F.col("caminho")), *[c for c in table.columns if c not in skip]))
     if json:
