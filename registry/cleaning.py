@@ -221,11 +221,11 @@ def mask_sparse_by_file(spark, sf_dir):
 @query(f"""
     WITH raw AS (
         SELECT event_type AS arquivo, CAST(ts AS DATE) AS data, CAST(hour(ts) AS INTEGER) AS hora,
-               max(value) AS a, min(value) AS b, count(*) AS n
+               min_by(value, event_id) AS a, max_by(value, event_id) AS b
         FROM events GROUP BY 1, 2, 3),
     readings AS (
-        SELECT arquivo, data, hora, CASE WHEN a <= 120 THEN a END AS maxima,
-               CASE WHEN b >= 0.5 THEN b END AS minima FROM raw),
+        SELECT arquivo, data, hora, CASE WHEN a <= 60 THEN a END AS maxima,
+               CASE WHEN b >= 4 THEN b END AS minima FROM raw),
     shares AS (SELECT arquivo, avg(CAST(maxima IS NULL AS INT)) < 0.6 AS ka,
                       avg(CAST(minima IS NULL AS INT)) < 0.6 AS kb FROM readings GROUP BY 1),
     masked AS (
@@ -245,15 +245,15 @@ def clean_weather_readings(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     raw = events.groupBy(
         F.col("event_type").alias("arquivo"), F.to_date("ts").alias("data"), F.hour("ts").alias("hora")
-    ).agg(F.max("value").alias("a"), F.min("value").alias("b"))
+    ).agg(F.min_by("value", "event_id").alias("a"), F.max_by("value", "event_id").alias("b"))
     gone = F.lit(-9999.0)
     texts = raw.select(
         "arquivo",
         F.year("data").alias("ano_arquivo"),
         F.date_format("data", "yyyy/MM/dd").alias("data_yyyy_mm_dd"),
         F.format_string("%02d00 UTC", "hora").alias("hora_utc"),
-        F.when(F.col("a") <= 120, F.col("a")).otherwise(gone).alias("maxima"),
-        F.when(F.col("b") >= 0.5, F.col("b")).otherwise(gone).alias("minima"),
+        F.when(F.col("a") <= 60, F.col("a")).otherwise(gone).alias("maxima"),
+        F.when(F.col("b") >= 4, F.col("b")).otherwise(gone).alias("minima"),
         F.lit(1.0).alias("vento_rajada_maxima_m_s"),
     )
     # Hours bound a file's rows, so each file is one short series.

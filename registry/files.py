@@ -160,14 +160,17 @@ def write_city_stations(spark, sf_dir) -> str:
     hours = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.to_date("l_shipdate").alias("data"), F.col("l_linenumber").alias("hora"))
-        .agg(F.max("l_quantity").alias("a"), F.min("l_quantity").alias("b"))
+        .agg(
+            F.min(F.struct("l_orderkey", "l_partkey", "l_suppkey", "l_quantity"))["l_quantity"].alias("a"),
+            F.min("l_quantity").alias("b"),
+        )
         .persist()
     )
     for year, file_year in FILE_YEARS.items():
         old = file_year < 2019
         day = F.date_format("data", "yyyy-MM-dd" if old else "yyyy/MM/dd")
         hour = F.format_string("%02d:00" if old else "%02d00 UTC", "hora")
-        rain = F.when(F.col("a") >= 49, "-9999").otherwise(_comma("a"))
+        rain = F.when(F.col("a") >= 42, "-9999").otherwise(_comma("a"))
         lines = hours.where(F.year("data") == year).select(
             (F.unix_date("data") * 24 + F.col("hora")).cast("long").alias("seq"),
             F.concat(F.concat_ws(";", day, hour, rain, _comma("b")), F.lit(";")).alias("line"),
@@ -181,9 +184,9 @@ def write_city_stations(spark, sf_dir) -> str:
 @query("""
     WITH hours AS (
         SELECT CAST(l_shipdate AS DATE) AS data, year(l_shipdate) AS f, l_linenumber AS hora,
-               max(l_quantity) AS a, min(l_quantity) AS b
+               min({a: l_orderkey, b: l_partkey, c: l_suppkey, d: l_quantity}).d AS a, min(l_quantity) AS b
         FROM lineitem WHERE year(l_shipdate) BETWEEN 1995 AND 2001 GROUP BY 1, 2, 3),
-    gaps AS (SELECT data, f, hora, CASE WHEN a < 49 THEN a END AS a, b FROM hours),
+    gaps AS (SELECT data, f, hora, CASE WHEN a < 42 THEN a END AS a, b FROM hours),
     shares AS (SELECT f, avg(CAST(a IS NULL AS INT)) < 0.3 AS ka, avg(CAST(b IS NULL AS INT)) < 0.3 AS kb FROM gaps GROUP BY 1),
     masked AS (SELECT data, f, hora, ka, kb, CASE WHEN ka THEN a END AS a, CASE WHEN kb THEN b END AS b
                FROM gaps JOIN shares USING (f)),

@@ -79,7 +79,7 @@ def panel_cases_by_place(spark, sf_dir):
 @query("""
     WITH raw AS (
         SELECT event_type AS arquivo, CAST(ts AS DATE) AS data, hour(ts) AS hora,
-               max(value) AS a, count(*) AS n FROM events GROUP BY 1, 2, 3),
+               min_by(value, event_id) AS a, count(*) AS n FROM events GROUP BY 1, 2, 3),
     gaps AS (SELECT arquivo, data, hora, CASE WHEN a <= 80 THEN a END AS maxima, CAST(n AS DOUBLE) AS contagem FROM raw),
     filled AS (
         SELECT arquivo, data, contagem, coalesce(maxima, CASE WHEN count(maxima) OVER w >= 2 THEN avg(maxima) OVER w END) AS maxima
@@ -97,7 +97,7 @@ def panel_weather_by_place(spark, sf_dir):
         F.concat(F.lit("INMET_NE_pe_"), kind, F.lit("_"), city, F.lit("_2024.CSV")).alias("arquivo"),
         F.date_format("ts", "yyyy/MM/dd").alias("Data"),
         F.date_format("ts", "HHmm 'UTC'").substr(1, 2).alias("hora"),
-    ).agg(F.max("value").alias("a"), F.count("*").alias("n"))
+    ).agg(F.min_by("value", "event_id").alias("a"), F.count("*").alias("n"))
     comma = F.translate(F.col("a").cast("string"), ".", ",")
     texts = hours.select(
         "arquivo",
