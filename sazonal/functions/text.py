@@ -121,13 +121,12 @@ def summarize_steps(
 ) -> Column:
     """First ``top`` step names joined by arrows; text without any is cut to ``limit``."""
     text = column.cast("string")
-    names = ordered_names(text, pattern)
     cut = F.concat(
         F.substring(text, 1, limit), F.when(F.length(text) > limit, "...").otherwise("")
     )
-    return F.when(F.size(names) > 0, F.array_join(F.slice(names, 1, top), " → ")).when(
-        text.isNotNull(), cut
-    )
+    # The join runs over the names once; no names give an empty text.
+    joined = F.array_join(F.slice(ordered_names(text, pattern), 1, top), " → ")
+    return F.coalesce(F.nullif(joined, F.lit("")), cut)
 
 
 def expand_steps(df: DataFrame, steps_col: str, pattern: str = STEP_NAMES) -> DataFrame:

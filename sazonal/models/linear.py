@@ -40,6 +40,8 @@ class LinearModel:
 
 def column_means(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray]:
     row = df.agg(F.count("*"), *[F.avg(c) for c in cols]).first()
+    if not row[0]:
+        raise ValueError("Cannot fit a model on no rows.")
     return row[0], np.array(row[1:], dtype=float)
 
 
@@ -56,17 +58,34 @@ def gram(df: DataFrame, cols: Sequence[str], centre: Sequence[float] | None = No
 
 
 def moments(
-    df: DataFrame, features: Sequence[str], target: str, fit_intercept: bool = True
+    df: DataFrame,
+    features: Sequence[str],
+    target: str,
+    fit_intercept: bool = True,
+    centre: Sequence[float] | None = None,
 ) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, float]:
-    """Row count, Gram matrix, products with the target, feature means, target mean."""
+    """Row count, Gram matrix, products with the target, feature means, target mean.
+
+    ``centre`` has a value within one deviation of each column's mean (a median is one);
+    the sums are taken around it and moved to the means, which saves the pass that would
+    find the means first.
+    """
     cols = [*features, target]
-    n, means = column_means(df, cols)
+    if not fit_intercept:
+        centre = [0.0] * len(cols)
+    elif centre is None:
+        centre = column_means(df, cols)[1]
+    g = gram(df.withColumn("_one", F.lit(1.0)), [*cols, "_one"], [*centre, 0.0])
+    n = int(round(g[-1, -1]))
     if not n:
         raise ValueError("Cannot fit a model on no rows.")
-    if not fit_intercept:
-        means = np.zeros(len(cols))
-    g = gram(df, cols, means if fit_intercept else None)
-    return n, g[:-1, :-1], g[:-1, -1], means[:-1], float(means[-1])
+    means = np.zeros(len(cols))
+    products = g[:-1, :-1]
+    if fit_intercept:
+        off = g[:-1, -1] / n
+        products = products - n * np.outer(off, off)
+        means = np.asarray(centre, dtype=float) + off
+    return n, products[:-1, :-1], products[:-1, -1], means[:-1], float(means[-1])
 
 
 def non_negative_solve(g: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -100,12 +119,13 @@ def fit_linear(
     target: str,
     fit_intercept: bool = True,
     positive: bool = False,
+    centre: Sequence[float] | None = None,
 ) -> LinearModel:
     """Ordinary least squares, of minimum norm when columns are dependent.
 
     ``positive`` keeps all coefficients at or above zero.
     """
-    _, g, b, x_mean, y_mean = moments(df, features, target, fit_intercept)
+    _, g, b, x_mean, y_mean = moments(df, features, target, fit_intercept, centre)
     if positive:
         w = non_negative_solve(g, b)
     else:

@@ -53,6 +53,8 @@ class Preprocessor:
 
     numeric: tuple[NumericStep, ...]
     categorical: tuple[CategoryStep, ...]
+    # Medians of other columns, asked for when fitting.
+    medians: tuple[float, ...] = ()
 
     @property
     def feature_names(self) -> list[str]:
@@ -60,6 +62,12 @@ class Preprocessor:
             f"categorical__{s.col}_{c}" for s in self.categorical for c in s.categories
         ]
 
+    @property
+    def centres(self) -> list[float]:
+        """A value within one deviation of each prepared column's mean."""
+        numbers = [(s.median - s.mean) / s.scale for s in self.numeric]
+        return numbers + [0.0] * (len(self.feature_names) - len(numbers))
+
     def transform(self, df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
         made = [s.column() for s in self.numeric]
         made += [c for s in self.categorical for c in s.columns()]
@@ -99,17 +107,23 @@ def fit_preprocessor(
     features: Sequence[str],
     scale: bool = True,
     exclude: Iterable[str] = (),
+    also: Sequence[str] = (),
 ) -> Preprocessor:
     """Fit on ``df``: median (and scaling) of numbers, mode and categories of texts.
 
-    A column without any value in ``df`` is left out; other types are dropped.
+    A column without any value in ``df`` is left out; other types are dropped. The
+    medians of the columns in ``also`` come out of the same pass.
     """
     skip = set(exclude)
     frame = df.select(*features)
     numbers = numeric_columns(frame, exclude=skip)
-    medians = exact_quantiles(frame, numbers, (0.5,))
+    medians = exact_quantiles(df, [*numbers, *also], (0.5,))
     steps = [NumericStep(c, medians[c][0]) for c in numbers if medians[c][0] is not None]
     if scale:
         steps = fit_scale(frame, steps)
     texts = [fit_categories(frame, c) for c in text_columns(frame, exclude=skip)]
-    return Preprocessor(tuple(steps), tuple(t for t in texts if t is not None))
+    return Preprocessor(
+        tuple(steps),
+        tuple(t for t in texts if t is not None),
+        tuple(medians[c][0] for c in also),
+    )

@@ -25,7 +25,7 @@ from ..functions.dates import with_date
 from ..functions.encode import score_candidates
 from ..operators.schema import union_all
 from ..sinks import new_run_id, save_search
-from .evaluate import METRICS, prediction_table, regression_metrics
+from .evaluate import MAX_SIDE_BY_SIDE, METRICS, prediction_table, regression_metrics
 from .forest import assemble
 from .preprocess import Preprocessor, fit_preprocessor
 from .split import Fold, row_folds, time_folds
@@ -186,7 +186,7 @@ def _prepare(df: DataFrame, folds: Sequence[Fold], features: Sequence[str], targ
 def _score(candidate: Candidate, folds: list[_Prepared], target: str, seed: int) -> dict:
     """Mean fold metrics of one candidate; fits run side by side on the cluster."""
     started = time.perf_counter()
-    with ThreadPoolExecutor(max_workers=min(4, len(folds))) as pool:
+    with ThreadPoolExecutor(max_workers=min(MAX_SIDE_BY_SIDE, len(folds))) as pool:
         models = list(
             pool.map(lambda f: candidate.estimator(target, seed).fit(f.train), folds)
         )

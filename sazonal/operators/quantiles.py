@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 MAX_HELD_VALUES = 1_000_000
 SKETCH_ACCURACY = 10_000
 SKETCH_STEPS = 400
-SKETCH_GRID = [i / SKETCH_STEPS for i in range(SKETCH_STEPS + 1)]
+SKETCH_GRID = "array(" + ", ".join(f"{i / SKETCH_STEPS}D" for i in range(SKETCH_STEPS + 1)) + ")"
 
 
 @dataclass
@@ -40,17 +40,25 @@ class _Rank:
         low, high = self.probe or (self.low, self.high)
         return (F.col(self.col) > F.lit(low)) & (F.col(self.col) < F.lit(high))
 
-    def aggregates(self, i: int) -> list[Column]:
+    def aggregates(self) -> dict[str, Column]:
+        """Named aggregates of the next pass; ranks close together share theirs."""
         c = F.col(self.col)
-        sketch = F.percentile_approx(F.when(self.between(), c), SKETCH_GRID, SKETCH_ACCURACY)
-        counts = []
-        if self.probe:
-            a, b = (F.lit(v) for v in self.probe)
-            counts = [F.count_if(c < a), F.count_if(c <= a), F.count_if(c < b), F.count_if(c <= b)]
-        return [
-            sketch.alias(f"sketch{i}"),
-            F.array(*counts).cast("array<long>").alias(f"counts{i}"),
-        ]
+        inside = F.when(self.between(), c)
+        sketch = F.percentile_approx(inside, F.expr(SKETCH_GRID), SKETCH_ACCURACY)
+        out = {self.sketch_name: sketch}
+        for v in self.probe or ():
+            out[f"<{self.col}<{v!r}"] = F.count_if(c < F.lit(v))
+            out[f"<={self.col}<={v!r}"] = F.count_if(c <= F.lit(v))
+        return out
+
+    @property
+    def sketch_name(self) -> str:
+        low, high = self.probe or (self.low, self.high)
+        return f"sketch {self.col} {low!r} {high!r}"
+
+    def read(self, row: dict) -> None:
+        counts = [row[f"{op}{self.col}{op}{v!r}"] for v in self.probe or () for op in ("<", "<=")]
+        self.update(counts, row[self.sketch_name])
 
     def update(self, counts: list[int], sketch: list[float] | None) -> None:
         if self.probe:
@@ -111,8 +119,9 @@ def exact_quantiles(
     if not cols:
         return {}
     df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    counted = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)]).first()
-    totals = dict(zip(cols, counted))
+    if df.count() <= max_held:
+        return _held(df, cols, probs)
+    totals = dict(zip(cols, df.agg(*[F.count(c) for c in cols]).first()))
     short = [c for c in cols if totals[c] <= max_held]
     out = _held(df, short, probs) if short else {}
 
@@ -124,9 +133,10 @@ def exact_quantiles(
             ranks.setdefault((c, k), _Rank(c, k, totals[c]))
     pending = list(ranks.values())
     while pending:
-        row = df.agg(*[a for i, r in enumerate(pending) for a in r.aggregates(i)]).first()
-        for i, r in enumerate(pending):
-            r.update(row[f"counts{i}"], row[f"sketch{i}"])
+        aggregates = {k: v for r in pending for k, v in r.aggregates().items()}
+        row = dict(zip(aggregates, df.agg(*aggregates.values()).first()))
+        for r in pending:
+            r.read(row)
         pending = [r for r in pending if r.value is None]
         few = [r for r in pending if r.inside <= max_held]
         for r in few:
