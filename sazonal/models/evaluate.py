@@ -155,10 +155,11 @@ def linear_fit(features: Sequence[str], target: str, p: LinearParams):
 
     def parts(train: DataFrame) -> tuple[LinearModel, Preprocessor]:
         prep = fit_preprocessor(train, features, scale=p.scale_features, also=[target])
-        model = fit_linear(
-            prep.transform(train, [target]), prep.feature_names, target,
-            p.fit_intercept, p.positive, [*prep.centres, *prep.medians],
-        )
+        names = prep.feature_names
+        # Scaled columns have mean zero, so no further pass looks for their means.
+        centre = [*[0.0] * len(names), *prep.means] if p.scale_features else None
+        ready = prep.transform(train, [target])
+        model = fit_linear(ready, names, target, p.fit_intercept, p.positive, centre)
         return model, prep
 
     def predictor(model: LinearModel, prep: Preprocessor) -> Fitted:

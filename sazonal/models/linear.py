@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 # Relative size below which an eigenvalue of the Gram matrix counts as zero.
 RANK_TOLERANCE = 1e-12
+# Up to this many columns the products are plain sums of one aggregate.
+MAX_SUM_COLUMNS = 16
 
 
 @dataclass(frozen=True)
@@ -52,6 +54,13 @@ def gram(df: DataFrame, cols: Sequence[str], centre: Sequence[float] | None = No
         df = df.select(
             *[(F.col(c).cast("double") - F.lit(float(m))).alias(c) for c, m in zip(cols, centre)]
         )
+    if len(cols) <= MAX_SUM_COLUMNS:
+        upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+        sums = df.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])) for i, j in upper]).first()
+        out = np.zeros((len(cols), len(cols)))
+        for (i, j), value in zip(upper, sums):
+            out[i, j] = out[j, i] = 0.0 if value is None else value
+        return out
     vectors = VectorAssembler(inputCols=cols, outputCol="v").transform(df).select("v")
     rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"), 0, len(cols))
     return rows.computeGramianMatrix().toArray()
@@ -66,8 +75,8 @@ def moments(
 ) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, float]:
     """Row count, Gram matrix, products with the target, feature means, target mean.
 
-    ``centre`` has a value within one deviation of each column's mean (a median is one);
-    the sums are taken around it and moved to the means, which saves the pass that would
+    ``centre`` has a value near each column's mean (within about its deviation); the
+    sums are taken around it and moved to the means, which saves the pass that would
     find the means first.
     """
     cols = [*features, target]

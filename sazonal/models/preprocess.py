@@ -53,8 +53,8 @@ class Preprocessor:
 
     numeric: tuple[NumericStep, ...]
     categorical: tuple[CategoryStep, ...]
-    # Medians of other columns, asked for when fitting.
-    medians: tuple[float, ...] = ()
+    # Means of other columns, asked for when fitting with scaling.
+    means: tuple[float, ...] = ()
 
     @property
     def feature_names(self) -> list[str]:
@@ -62,12 +62,6 @@ class Preprocessor:
             f"categorical__{s.col}_{c}" for s in self.categorical for c in s.categories
         ]
 
-    @property
-    def centres(self) -> list[float]:
-        """A value within one deviation of each prepared column's mean."""
-        numbers = [(s.median - s.mean) / s.scale for s in self.numeric]
-        return numbers + [0.0] * (len(self.feature_names) - len(numbers))
-
     def transform(self, df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
         made = [s.column() for s in self.numeric]
         made += [c for s in self.categorical for c in s.columns()]
@@ -81,16 +75,23 @@ def safe_scale(mean: float, std: float | None) -> float:
     return std
 
 
-def fit_scale(df: DataFrame, steps: Sequence[NumericStep]) -> list[NumericStep]:
-    """Mean and population deviation after imputation; all columns in one pass."""
-    aggs = []
+def fit_scale(
+    df: DataFrame, steps: Sequence[NumericStep], also: Sequence[str] = ()
+) -> tuple[list[NumericStep], list[float]]:
+    """Mean and population deviation after imputation; means of other columns.
+
+    All columns share one pass.
+    """
+    aggs = [F.avg(c) for c in also]
     for s in steps:
         aggs += [F.avg(s.filled()), F.stddev_pop(s.filled())]
-    row = df.agg(*aggs).first() if steps else ()
-    return [
+    row = list(df.agg(*aggs).first()) if aggs else []
+    means, row = row[: len(also)], row[len(also) :]
+    scaled = [
         NumericStep(s.col, s.median, row[2 * i], safe_scale(row[2 * i], row[2 * i + 1]))
         for i, s in enumerate(steps)
     ]
+    return scaled, means
 
 
 def fit_categories(df: DataFrame, col: str) -> CategoryStep | None:
@@ -111,19 +112,20 @@ def fit_preprocessor(
 ) -> Preprocessor:
     """Fit on ``df``: median (and scaling) of numbers, mode and categories of texts.
 
-    A column without any value in ``df`` is left out; other types are dropped. The
-    medians of the columns in ``also`` come out of the same pass.
+    A column without any value in ``df`` is left out; other types are dropped. With
+    scaling, the means of the columns in ``also`` come out of the same pass.
     """
     skip = set(exclude)
     frame = df.select(*features)
     numbers = numeric_columns(frame, exclude=skip)
-    medians = exact_quantiles(df, [*numbers, *also], (0.5,))
+    medians = exact_quantiles(frame, numbers, (0.5,))
     steps = [NumericStep(c, medians[c][0]) for c in numbers if medians[c][0] is not None]
+    means: list[float] = []
     if scale:
-        steps = fit_scale(frame, steps)
+        steps, means = fit_scale(df, steps, also)
     texts = [fit_categories(frame, c) for c in text_columns(frame, exclude=skip)]
     return Preprocessor(
         tuple(steps),
         tuple(t for t in texts if t is not None),
-        tuple(medians[c][0] for c in also),
+        tuple(means),
     )

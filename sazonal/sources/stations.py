@@ -41,11 +41,10 @@ def station_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFram
 def archive_members(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:
     """``archive, member, content`` of the matching members, first per archive.
 
-    Archives are spread over tasks; a task opens one archive at a time. ``pattern`` is a
-    regular expression on the member's file name.
+    Archives are spread over tasks by their size; a task opens one at a time.
+    ``pattern`` is a regular expression on the member's file name.
     """
     files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    spread = files.repartition("path")
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -61,7 +60,7 @@ def archive_members(spark: SparkSession, paths: str | Sequence[str], pattern: st
                         }
                     )
 
-    return spread.mapInPandas(members, "archive string, member string, content binary")
+    return files.mapInPandas(members, "archive string, member string, content binary")
 
 
 def require_members(spark: SparkSession, archives: DataFrame, members: DataFrame) -> None:
