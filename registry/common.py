@@ -50,7 +50,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("l_shipdate").alias("data"),
         F.col("l_suppkey").alias("estacao"),
         F.col("l_quantity").alias(HUMIDITY),
-        F.round(F.col("l_extendedprice") * 100).alias(PRESSURE),
+        F.round(F.col("l_extendedprice") / 1000).alias(PRESSURE),
         F.round(F.col("l_discount") * 100).alias(RAIN),
         F.round(F.col("l_tax") * 100).alias(COLD),
     )
@@ -59,7 +59,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 READINGS = f"""
     readings AS (
         SELECT CAST(l_shipdate AS DATE) AS data, l_suppkey AS estacao,
-               l_quantity AS {HUMIDITY}, round(l_extendedprice * 100) AS {PRESSURE},
+               l_quantity AS {HUMIDITY}, round(l_extendedprice / 1000) AS {PRESSURE},
                round(l_discount * 100) AS {RAIN}, round(l_tax * 100) AS {COLD}
         FROM lineitem)"""
 

@@ -15,7 +15,7 @@ from .common import (
     dates_as_text, hourly, notifications, query, readings, rounded, table,
 )
 
-WINDOW_DIGITS = {HUMIDITY: 6, PRESSURE: 2, RAIN: 6, COLD: 6}
+WINDOW_DIGITS = {HUMIDITY: 6, PRESSURE: 6, RAIN: 6, COLD: 6}
 DAILY = (
     "daily AS (SELECT data, "
     + ", ".join(f"avg({c}) AS {c}" for c in SENSORS)
