@@ -17,6 +17,11 @@ TABLES = (
 ).split()
 
 
+SAME_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"
+}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     for name in TABLES:
@@ -73,9 +78,12 @@ def check(spark, con, name, sf_dir) -> tuple[str, int]:
     got = [tuple(r) for r in df.collect()]
     if name not in SQL:
         return "rows only", len(got)
-    cur = con.execute(SQL[name])
-    want = cur.fetchall()
-    problem = compare(df.columns, got, [d[0] for d in cur.description], want)
+    types = {r[0]: r[1] for r in con.execute("DESCRIBE " + SQL[name]).fetchall()}
+    want = con.execute(SQL[name]).fetchall()
+    problem = compare(df.columns, got, list(types), want)
+    if problem is None:
+        pairs = [(n, t, types[n]) for n, t in df.dtypes if SAME_TYPES.get(t) != types[n]]
+        problem = f"types {pairs}" if pairs else None
     return problem or "equal", len(got)
 
 
