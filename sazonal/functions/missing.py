@@ -48,9 +48,23 @@ def sentinel_to_null(
     return df.withColumns({c: F.when(~F.col(c).isin(values), F.col(c)) for c in cols})
 
 
-def drop_missing(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
+def present(df: DataFrame, cols: Iterable[str] | None = None) -> Column:
+    """Whether a row has a value in every given column; NaN is none.
+
+    Plain null tests reach the scan, unlike ``na.drop``.
+    """
+    floats = set(float_columns(df))
+    test = F.lit(True)
+    for c in df.columns if cols is None else cols:
+        test = test & F.col(c).isNotNull()
+        if c in floats:
+            test = test & ~F.isnan(c)
+    return test
+
+
+def drop_missing(df: DataFrame, subset: Iterable[str] | None = None) -> DataFrame:
     """Drop rows with any missing value (in ``subset``)."""
-    return df.na.drop("any", subset=subset)
+    return df.where(present(df, subset))
 
 
 def null_share(cols: Iterable[str]) -> Column:

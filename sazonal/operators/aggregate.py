@@ -1,4 +1,7 @@
-"""Keyed aggregation. Every aggregate here combines on the map side first."""
+"""Keyed aggregation. Every aggregate here combines on the map side first.
+
+Rows with a null key belong to no group, except where null keys count as one key.
+"""
 
 from __future__ import annotations
 
@@ -7,26 +10,21 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.missing import numeric_columns
-
-
-def _present(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with a null key belong to no group."""
-    return df.na.drop("any", subset=list(keys))
+from ..functions.missing import drop_missing, numeric_columns
 
 
 def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "contagem") -> DataFrame:
-    return _present(df, keys).groupBy(*keys).agg(F.count("*").alias(name))
+    return drop_missing(df, keys).groupBy(*keys).agg(F.count("*").alias(name))
 
 
 def mean_per_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """Null-skipping mean of each numeric column per key."""
     cols = numeric_columns(df, exclude=keys) if cols is None else list(cols)
-    return _present(df, keys).groupBy(*keys).agg(*[F.avg(c).alias(c) for c in cols])
+    return drop_missing(df, keys).groupBy(*keys).agg(*[F.avg(c).alias(c) for c in cols])
 
 
 def sum_per_key(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    return _present(df, keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols])
+    return drop_missing(df, keys).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in cols])
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -73,7 +71,7 @@ def family_summary(
             (F.avg(time_ms) / 1000.0).alias("tempo_medio_treino_s"),
         ]
     by = "melhor_rmse" if score in df.columns else "qtd_modelos"
-    return _present(df, [family]).groupBy(family).agg(*aggs).orderBy(F.asc_nulls_last(by))
+    return drop_missing(df, [family]).groupBy(family).agg(*aggs).orderBy(F.asc_nulls_last(by))
 
 
 def top_models(df: DataFrame, n: int = 10, score: str = "rmse", ties: Sequence[str] = ()) -> DataFrame:

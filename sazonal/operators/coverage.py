@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encode import bin_label
+from ..functions.missing import drop_missing
 
 # Quarter bins of the largest count, left-closed.
 QUARTERS = (0.0, 0.25, 0.5, 0.75)
@@ -24,7 +25,7 @@ def target_counts(
 ) -> DataFrame:
     """Rows with a target per key, largest first."""
     return (
-        df.na.drop("any", subset=[*keys, target])
+        drop_missing(df, [*keys, target])
         .groupBy(*keys)
         .agg(F.count("*").alias(name))
         .orderBy(F.desc(name), *keys)
@@ -40,7 +41,7 @@ def covered_keys(
     df: DataFrame, keys: Sequence[str], target: str, frac: float = 0.5
 ) -> DataFrame:
     """Keys with at least ``frac`` of the largest count of rows with a target."""
-    counts = df.na.drop("any", subset=[*keys, target]).groupBy(*keys).agg(F.count("*").alias("_n"))
+    counts = drop_missing(df, [*keys, target]).groupBy(*keys).agg(F.count("*").alias("_n"))
     limit = counts.agg((F.max("_n") * F.lit(frac)).alias("_limit")).scalar()
     return counts.where(F.col("_n") >= limit).select(*keys)
 

@@ -45,12 +45,8 @@ def panel_cases(
     Notifications are counted per code and day before the lookup, so a city with many
     cases is a few rows by the time it is joined.
     """
-    counted = (
-        cases.select(F.col(code_col).alias("_code"), day_of(F.col(date_col)).alias("data"))
-        .na.drop("any")
-        .groupBy("_code", "data")
-        .agg(F.count("*").alias("_n"))
-    )
+    dated = cases.select(F.col(code_col).alias("_code"), day_of(F.col(date_col)).alias("data"))
+    counted = drop_missing(dated).groupBy("_code", "data").agg(F.count("*").alias("_n"))
     named = counted.join(
         municipalities, F.col("_code") == F.col("codigo_municipio"), "left"
     ).select("data", upper_key(F.col("uf")).alias("uf"), lower_key(F.col("nome")).alias("municipio"), "_n")

@@ -16,8 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Longest column that may be held in one task.
-MAX_HELD_VALUES = 1_000_000
+# Values, over all columns of a pass, that may be held in one task.
+MAX_HELD_VALUES = 2_000_000
+# Values between two probes that are read instead of narrowed further, per rank.
+MAX_GATHERED_VALUES = 50_000
 SKETCH_ACCURACY = 10_000
 SKETCH_STEPS = 400
 SKETCH_GRID = "array(" + ", ".join(f"{i / SKETCH_STEPS}D" for i in range(SKETCH_STEPS + 1)) + ")"
@@ -89,10 +91,18 @@ class _Rank:
         return sketch[max(first, 0)], sketch[min(last, SKETCH_STEPS)]
 
 
-def _held(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list]:
+def _held(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], width: int
+) -> dict[str, list]:
+    """Spark's exact percentiles, ``width`` columns at a time."""
     grid = F.array(*[F.lit(float(p)) for p in probs])
-    row = df.agg(*[F.percentile(c, grid).alias(f"q{i}") for i, c in enumerate(cols)]).first()
-    return {c: list(v) if v is not None else [None] * len(probs) for c, v in zip(cols, row)}
+    out = {}
+    for start in range(0, len(cols), width):
+        part = cols[start : start + width]
+        row = df.agg(*[F.percentile(c, grid).alias(f"q{i}") for i, c in enumerate(part)]).first()
+        for c, values in zip(part, row):
+            out[c] = [None] * len(probs) if values is None else list(values)
+    return out
 
 
 def _pick(df: DataFrame, ranks: list[_Rank]) -> None:
@@ -119,11 +129,11 @@ def exact_quantiles(
     if not cols:
         return {}
     df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    if df.count() <= max_held:
-        return _held(df, cols, probs)
+    rows = df.count()
+    if rows <= max_held:
+        return _held(df, cols, probs, max(1, max_held // max(rows, 1)))
     totals = dict(zip(cols, df.agg(*[F.count(c) for c in cols]).first()))
-    short = [c for c in cols if totals[c] <= max_held]
-    out = _held(df, short, probs) if short else {}
+    out = _held(df, [c for c in cols if totals[c] <= max_held], probs, 1)
 
     long_ = [c for c in cols if c not in out]
     wanted = {(c, p): p * (totals[c] - 1) for c in long_ for p in probs}
@@ -138,7 +148,7 @@ def exact_quantiles(
         for r in pending:
             r.read(row)
         pending = [r for r in pending if r.value is None]
-        few = [r for r in pending if r.inside <= max_held]
+        few = [r for r in pending if r.inside <= min(max_held, MAX_GATHERED_VALUES)]
         for r in few:
             r.probe = None
         if few:

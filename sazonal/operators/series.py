@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions.missing import drop_missing
 from ..session import materialize
 
 # Longest series that one window task may hold.
@@ -194,7 +195,7 @@ def add_lags(
         return {f"{n}_lag_{k}": F.lag(c, k).over(w) for c, n in present.items() for k in lags}
 
     out = over_series(df, build, order_by, partition_by, back=max(lags), **how)
-    return out.na.drop("any") if dropna else out
+    return drop_missing(out) if dropna else out
 
 
 def lag_matrix(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encode import NEGATED_SCORES, comparable_rmse, first_value, seconds_to_minutes
+from ..functions.missing import drop_missing
 from ..functions.text import first_number
 
 KEY = ["framework", "run_id"]
@@ -65,4 +66,4 @@ def chart_inputs(
     comparison: DataFrame, need: tuple[str, ...] = ("training_time_minutes", "comparable_score")
 ) -> DataFrame:
     """Rows that have every value a chart needs."""
-    return comparison.na.drop("any", subset=list(need)).select("framework", "run_id", *need)
+    return drop_missing(comparison, need).select("framework", "run_id", *need)
