@@ -231,13 +231,14 @@ def _panel_inputs(spark, sf_dir):
     )
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    places = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        "s_suppkey", F.col("n_name").alias("uf"), F.col("s_name").alias("municipio")
-    )
 
     def placed(per_day):
-        return per_day.join(places, F.col("l_suppkey") == F.col("s_suppkey")).drop(
-            "l_suppkey", "s_suppkey"
+        # One lookup after the other, so that each is judged by its own size.
+        named = per_day.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        return named.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select(
+            F.col("n_name").alias("uf"),
+            F.col("s_name").alias("municipio"),
+            *[c for c in per_day.columns if c != "l_suppkey"],
         )
 
     # Shrink to one row per place and day before the lookup.

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import day_of, station_date
-from ..functions.missing import drop_missing, numeric_columns, text_columns
+from ..functions.missing import drop_missing, numeric_columns, sentinel_to_null, text_columns
 from ..functions.names import fold_accents
 from ..functions.text import decimal_comma, lower_key, upper_key
 from .aggregate import mean_per_key
@@ -79,13 +79,14 @@ def panel_weather(
     file_col: str = "arquivo",
     order_by: Sequence[str] = ("data", "hora"),
     accents: bool = True,
+    sentinels: Sequence[float] = (),
     **how,
 ) -> DataFrame:
     """Daily sensor means per ``uf, municipio, data`` out of hourly text readings.
 
     Gaps are filled by a trailing mean within each file; rows still incomplete in a
     column their file has (``colunas``, when given) are dropped. Stations of a city are
-    averaged unweighted.
+    averaged unweighted. Values in ``sentinels`` count as missing; by default none do.
     """
     plain = drop_matching(df, contains=("RADIACAO GLOBAL", "radiacao_global"))
     plain = rename_present(plain, STATION_NAMES)
@@ -98,6 +99,8 @@ def panel_weather(
         *[decimal_comma(F.col(c)).alias(c) for c in texts],
     ).withColumn("data", station_date(F.col("data").cast("string")))
     sensors = numbers + texts
+    if sentinels:
+        typed = sentinel_to_null(typed, sentinels, sensors)
     filled = rolling_impute(
         typed, sensors, "mean", window, min_periods, order_by, (file_col,), **how
     )

@@ -19,6 +19,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def length(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, given as an encoded address."""
+    address = spark.sparkContext._jvm.java.net.URI(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(address)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getFileStatus(target).getLen()
+
+
 def matches(spark: SparkSession, glob: str) -> list[str]:
     """Paths that a glob finds, sorted."""
     target, fs = _path(spark, glob)

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote, urlparse
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.names import fold_accents, unique_names
+from ..functions.names import fold_accents, normalize_name
 from ..session import materialize
+from .files import length
 
 # Widest quoted file that is read; a wider header is an error.
 WIDTH = 128
@@ -19,11 +19,6 @@ FILE = r"([^/=]+?)(?:/part-[^/]*)?$"
 PLACE = ("caminho", "arquivo", "_bloco", "_linha")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _names(titles: pd.Series) -> pd.Series:
-    return titles.map(lambda cells: unique_names(list(cells)))
-
-
 def _plain(cell: Column) -> Column:
     return F.btrim(F.regexp_replace(fold_accents(cell), "[^a-z0-9]+", "_"), F.lit("_"))
 
@@ -54,13 +49,18 @@ def raw_rows(
         cells = F.split("line", f"[{sep}]")
     return frame.select(
         F.col("_metadata.file_path").alias("caminho"),
-        F.regexp_extract("_metadata.file_path", FILE, 1).alias("arquivo"),
+        decoded(F.regexp_extract("_metadata.file_path", FILE, 1)).alias("arquivo"),
         F.col("_metadata.file_block_start").alias("_bloco"),
         F.monotonically_increasing_id().alias("_linha"),
         cells.alias("_cells"),
     )
 
 
+def decoded(address: Column) -> Column:
+    """A file name without the escapes of its address; a plus sign is no escape there."""
+    return F.url_decode(F.replace(address, F.lit("+"), F.lit("%2B")))
+
+
 def headers(rows: DataFrame, first_cells: Iterable[str] | None = None) -> DataFrame:
     """One row per file: raw ``titulos``, normalised ``colunas``, place of the header.
 
@@ -79,9 +79,52 @@ def headers(rows: DataFrame, first_cells: Iterable[str] | None = None) -> DataFr
             "_cells", lambda c, i: F.when(F.length(F.trim(c)) > 0, i + 1).otherwise(F.lit(0))
         )
     )
-    return top.select(
-        "caminho", "_header", F.slice("_cells", F.lit(1), used).alias("titulos")
-    ).withColumn("colunas", _names("titulos"))
+    # One short row per file, found once and stored.
+    tops = materialize(
+        top.select("caminho", "_header", F.slice("_cells", F.lit(1), used).alias("titulos"))
+    )
+    _require_headers(rows, tops)
+    return tops.withColumn("colunas", _names(tops))
+
+
+def _place(address: str) -> str:
+    return unquote(urlparse(address).path)
+
+
+def _require_headers(rows: DataFrame, tops: DataFrame) -> None:
+    """Fail when a file that is not empty has no header row.
+
+    The driver has listed the files already; only their names are compared.
+    """
+    found = {_place(r.caminho) for r in tops.select("caminho").collect()}
+    lost = [
+        f for f in rows.inputFiles() if _place(f) not in found and length(rows.sparkSession, f)
+    ]
+    if lost:
+        raise ValueError("No header row in: " + ", ".join(sorted(lost)[:20]))
+
+
+def _names(tops: DataFrame) -> Column:
+    """Normalised titles, a repeated one numbered.
+
+    The distinct titles become the columns of the output, so the driver needs them; it
+    normalises each once and gives them back as a lookup.
+    """
+    titles = [r[0] for r in tops.select(F.explode("titulos").alias("t")).distinct().collect()]
+    pairs = [F.lit(v) for t in titles if t is not None for v in (t, normalize_name(t))]
+    if not pairs:
+        raise ValueError("No titles in any header row.")
+    plain = F.transform(
+        "titulos", lambda t: F.coalesce(F.try_element_at(F.create_map(*pairs), t), F.lit(""))
+    )
+
+    def numbered(name: Column, at: Column) -> Column:
+        before = F.size(F.filter(F.slice(plain, F.lit(1), at), lambda other: other == name))
+        return F.when((name == "") | (before == 0), name).otherwise(
+            F.concat(name, F.lit("_"), before.cast("string"))
+        )
+
+    return F.transform(plain, numbered)
 
 
 def read_headed(
@@ -99,8 +142,7 @@ def read_headed(
     the positions found for its file.
     """
     rows = raw_rows(spark, paths, sep, encoding, quoted)
-    # One short row per file, found once and stored.
-    tops = materialize(headers(rows, first_cells))
+    tops = headers(rows, first_cells)
     if quoted and tops.where(F.size("colunas") >= WIDTH).limit(1).count():
         raise ValueError(f"A file has {WIDTH} columns or more.")
     # The names become the output's columns, so the driver needs this short list.

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import HISTORY_LINE, parse_history_text
 from ..operators.schema import union_all
 from .files import child_folders, exists, matches
-from .headed import read_headed
+from .headed import decoded, read_headed
 
 # Framework folders.
 FRAMEWORKS = ("h2o", "tpot")
@@ -78,6 +78,7 @@ def latest_run(runs: DataFrame) -> DataFrame:
 def _run_key(path: Column) -> list[Column]:
     """Framework and run id out of a file's path; a document may be a file or a folder."""
     pattern = r"([^/]+)/([^/]+)/(?:metadata|best_model|search_history)\.(?:json|csv)"
+    path = decoded(path)
     return [
         F.regexp_extract(path, pattern, 1).alias("framework"),
         F.regexp_extract(path, pattern, 2).alias("run_id"),

@@ -75,7 +75,7 @@ def station(path, year, rows, wet=True, preamble=8):
 
 def test_stations(spark, tmp_path):
     d = dt.date
-    station(tmp_path / "INMET_NE_PE_A301_RECIFE_2018.CSV", 2018, [(d(2018, 1, 1), 0, 0.5, 80), (d(2018, 1, 1), 1, "", 81)])
+    station(tmp_path / "INMET_NE_PE_A301_SÃO X_2018.CSV", 2018, [(d(2018, 1, 1), 0, 0.5, 80), (d(2018, 1, 1), 1, "", 81)])
     station(tmp_path / "INMET_NE_BA_A401_SALVADOR_2023.CSV", 2023, [(d(2023, 1, 1), 0, -9999, 70)], wet=False, preamble=6)
     table = stations.read_stations(spark, str(tmp_path / "*.CSV"))
     rows = {
@@ -90,13 +90,18 @@ def test_stations(spark, tmp_path):
         ("2023/01/01", "0000 UTC"): (-9999.0, None),
     }
     listed = {r.arquivo: (r.ano, r.qtd_linhas, r.qtd_colunas) for r in file_catalogue(table).collect()}
-    assert listed["INMET_NE_PE_A301_RECIFE_2018.CSV"] == (2018, 2, 5)
+    assert listed["INMET_NE_PE_A301_SÃO X_2018.CSV"] == (2018, 2, 5)
     assert listed["INMET_NE_BA_A401_SALVADOR_2023.CSV"] == (2023, 1, 4)
+    (tmp_path / "empty.CSV").write_text("")
+    assert stations.station_headers(spark, str(tmp_path / "*.CSV")).count() == 2
+    (tmp_path / "sem título.CSV").write_bytes("ESTAÇÃO;x\r\n1;2\r\n".encode("latin1"))
+    with pytest.raises(ValueError, match="No header row"):
+        stations.station_headers(spark, str(tmp_path / "*.CSV"))
     # A file without a column keeps its rows; the radiation column is ignored.
     daily = {r.municipio: r for r in panel_weather(table).collect()}
-    assert daily["recife"].precipitacao_total_horario_mm == 0.5
+    assert daily["são x"].precipitacao_total_horario_mm == 0.5
     assert daily["salvador"].umidade_relativa_do_ar_horaria is None
-    assert "radiacao_global_kj_m2" not in daily["recife"].asDict()
+    assert "radiacao_global_kj_m2" not in daily["são x"].asDict()
 
 
 def reference_days(rows):
