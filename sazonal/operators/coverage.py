@@ -74,9 +74,8 @@ def bin_histogram(
 ) -> DataFrame:
     """Rows per bin in bin order, empty bins included."""
     found = binned.groupBy(label).agg(F.count("*").alias(name))
-    bins = binned.sparkSession.createDataFrame(
-        list(enumerate(labels)), f"_at int, {label} string"
-    )
+    listed = F.array(*[F.lit(v) for v in labels])
+    bins = binned.sparkSession.range(1).select(F.posexplode(listed).alias("_at", label))
     return (
         bins.join(found, label, "left")
         .select("_at", label, F.coalesce(name, F.lit(0)).alias(name))
