@@ -72,7 +72,7 @@ def compare(got_names, got, want_names, want) -> str | None:
 
 
 def check(spark, con, name, sf_dir) -> tuple[str, int]:
-    from registry import QUERIES, SQL
+    from __spark_entry__ import QUERIES, SQL
 
     df = QUERIES[name](spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
@@ -88,7 +88,7 @@ def check(spark, con, name, sf_dir) -> tuple[str, int]:
 
 
 def main(argv):
-    from registry import QUERIES
+    from __spark_entry__ import QUERIES
     from sazonal.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
