@@ -109,6 +109,21 @@ LABELLED_URLS = (
     ("https://m.southern.example.com/en/81/", 0),
     ("http://heath.example.net/es/19#top", 0),
     ("https://ration.example.com/en/450", 0),
+    ("https://m.ounces.example.org/en/8797.html", 0),
+    ("http://moths.example.org/en/2301", 0),
+    ("https://tenths.example.org/en/17/", 0),
+    ("https://m.months.example.org/de/4012#top", 0),
+    ("https://www.depths.example.com/en/93?page=2&ref=x", 0),
+    ("https://continent.example.org/en/5566", 0),
+    ("http://m.payment.example.org/en/310.html", 0),
+    ("https://monument.example.com/en/7210/", 0),
+    ("https://blog.parents.example.com/en/64", 0),
+    ("https://plants.example.org/es/905?utm_source=feed", 0),
+    ("https://m.essays.example.com/en/2877", 0),
+    ("http://paths.example.com/en/146.html", 0),
+    ("https://www.tents.example.org/en/38", 0),
+    ("https://m.clothes.example.org/en/7/", 0),
+    ("https://months.example.com/de/319", 0),
 )
 
 
@@ -142,13 +157,12 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 def _grams(part: str, mark: str) -> Column:
     """Character n-grams of a column between boundary signs, told apart by ``mark``."""
     text = F.concat(F.lit("^"), F.col(part), F.lit("$"))
-    return F.concat(*[
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1))),
-            lambda at, n=n: F.concat(F.lit(mark), F.substring(text, at, F.lit(n))),
-        )
-        for n in GRAMS
-    ])
+
+    def of_length(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
+        return F.transform(starts, lambda at: F.concat(F.lit(mark), F.substring(text, at, F.lit(n))))
+
+    return F.concat(*[of_length(n) for n in GRAMS])
 
 
 def _with_grams(df: DataFrame) -> DataFrame:
