@@ -115,7 +115,7 @@ def mix(
         "mix-targets",
     )
     # Copies are computed in whole millionths of a millionth so that 3 stays 3.
-    share = F.round(F.col("target") / F.col("source_size"), 12)
+    share = F.round(F.try_divide("target", "source_size"), 12)
     whole = F.coalesce(F.floor(share), F.lit(0)).cast("long")
     joined = items.join(
         targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))
