@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .missing import finite
+
 # Fixed value: a signed decimal with an optional exponent.
 NUMBER = r"([-+]?\d*\.?\d+(?:[eE][-+]?\d+)?)"
+# A whole text that is one number.
+WHOLE_NUMBER = r"^[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?$"
 # Step names recognised in a printed model, longest alternatives as listed.
 STEP_NAMES = (
     "StandardScaler|MinMaxScaler|Normalizer|RobustScaler|MaxAbsScaler|"
@@ -24,8 +28,10 @@ HISTORY_LINE = (
 
 
 def decimal_comma(column: Column) -> Column:
-    """Double of text that may use a decimal comma; other text gives null."""
-    return F.replace(F.trim(column), F.lit(","), F.lit(".")).try_cast("double")
+    """Double of text that may use a decimal comma; other text, "NaN", "5d" and numbers beyond
+    a double among it, gives null."""
+    plain = F.replace(F.trim(column), F.lit(","), F.lit("."))
+    return F.when(plain.rlike(WHOLE_NUMBER), finite(plain.try_cast("double")))
 
 
 def upper_key(column: Column) -> Column:

@@ -36,12 +36,15 @@ def fit_forest(
     max_depth: int | None = None,
     seed: int = 42,
 ) -> ForestModel:
-    """All features are tried at every split; trees are grown on bootstrap samples."""
+    """All features are tried at every split; trees are grown on bootstrap samples. Without a
+    given depth trees end at Spark's limit."""
+    if max_depth is not None and max_depth > MAX_DEPTH:
+        raise ValueError(f"max_depth {max_depth} is above {MAX_DEPTH}, Spark's deepest tree")
     forest = RandomForestRegressor(
         featuresCol="_features",
         labelCol=target,
         numTrees=n_estimators,
-        maxDepth=MAX_DEPTH if max_depth is None else min(max_depth, MAX_DEPTH),
+        maxDepth=MAX_DEPTH if max_depth is None else max_depth,
         featureSubsetStrategy="all",
         seed=seed,
         maxMemoryInMB=1024,

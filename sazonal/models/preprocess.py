@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.missing import numeric_columns, text_columns
+from ..functions.missing import finite, numeric_columns, text_columns
 from ..operators.quantiles import exact_quantiles, most_frequent
 
 
@@ -24,7 +24,7 @@ class NumericStep:
         return f"numeric__{self.col}"
 
     def filled(self) -> Column:
-        return F.coalesce(F.col(self.col).cast("double"), F.lit(self.median))
+        return F.coalesce(finite(F.col(self.col).cast("double")), F.lit(self.median))
 
     def column(self) -> Column:
         out = self.filled()

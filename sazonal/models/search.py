@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import with_date
-from ..functions.encode import score_candidates
 from ..operators.schema import union_all
 from ..sinks import new_run_id, save_search
 from .evaluate import MAX_SIDE_BY_SIDE, METRICS, prediction_table, regression_metrics
@@ -210,8 +209,19 @@ def _score(candidate: Candidate, folds: list[_Prepared], target: str, seed: int)
     return row
 
 
+# Long names of the metrics in search settings.
+METRIC_NAMES = {
+    "mean_absolute_error": "mae", "mean_squared_error": "mse",
+    "root_mean_squared_error": "rmse", "r2_score": "r2", "auto": "rmse", "deviance": "rmse",
+}
+
+
 def _sort_metric(metric: str) -> str:
-    return next(m for m in score_candidates(metric.lower().removeprefix("neg_")) if m in METRICS)
+    name = metric.lower().removeprefix("neg_")
+    name = METRIC_NAMES.get(name, name)
+    if name not in METRICS:
+        raise ValueError(f"unknown metric {metric!r}; known are {sorted({*METRICS, *METRIC_NAMES})}")
+    return name
 
 
 def _better(metric: str, a: float, b: float) -> bool:

@@ -48,7 +48,7 @@ def mask_sparse_columns(
     ``_kept``, the names that survive in the row's file. The shares are one small row
     per file, joined back on the key.
     """
-    shares = df.groupBy(*keys).agg(*null_shares(cols))
+    shares = df.groupBy(*keys).agg(*null_shares(df, cols))
     good = [F.when(F.col(c) < max_null, F.lit(c)) for c in cols]
     kept = materialize(shares.select(*keys, F.array_compact(F.array(*good)).alias("_kept")))
     alive = {r[0] for r in kept.select(F.explode("_kept")).distinct().collect()}

@@ -8,12 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.missing import numeric_columns
+from ..functions.missing import finite, float_columns, numeric_columns
 from .quantiles import exact_quantiles
 
 
-def null_shares(cols: Sequence[str]) -> list[Column]:
-    return [F.avg(F.col(c).isNull().cast("int")).alias(c) for c in cols]
+def null_shares(df: DataFrame, cols: Sequence[str]) -> list[Column]:
+    """Share of missing values per column; NaN and infinities of numbers are missing."""
+    floats = set(float_columns(df))
+    value = {c: finite(F.col(c)) if c in floats else F.col(c) for c in cols}
+    return [F.avg(value[c].isNull().cast("int")).alias(c) for c in cols]
 
 
 def _to_rows(wide: DataFrame, keys: Sequence[str], cols: Sequence[str], value: str) -> DataFrame:
@@ -28,7 +31,7 @@ def missing_profile(
 ) -> DataFrame:
     """Percent missing per column (and group), largest first. One pass."""
     cols = [c for c in df.columns if c not in by] if cols is None else list(cols)
-    wide = df.groupBy(*by).agg(*null_shares(cols))
+    wide = df.groupBy(*by).agg(*null_shares(df, cols))
     rows = _to_rows(wide, by, cols, "share")
     out = rows.select(*by, "coluna", (F.col("share") * 100.0).alias("percentual_faltantes"))
     return out.orderBy(F.desc("percentual_faltantes"), "coluna", *by)
@@ -39,7 +42,7 @@ def sparse_columns(
 ) -> list[str]:
     """Columns whose share of nulls is not below ``max_null``."""
     cols = df.columns if cols is None else list(cols)
-    row = df.agg(*null_shares(cols)).first()
+    row = df.agg(*null_shares(df, cols)).first()
     return [c for c in cols if not (row[c] is not None and row[c] < max_null)]
 
 
@@ -63,7 +66,7 @@ def per_file_missing(
     skip = {file, present}
     cols = [c for c in df.columns if c not in skip] if cols is None else list(cols)
     has = [F.max(F.array_contains(present, c)).alias(f"_has_{c}") for c in cols] if present else []
-    wide = df.groupBy(file).agg(*null_shares(cols), *has)
+    wide = df.groupBy(file).agg(*null_shares(df, cols), *has)
     pairs = F.array(
         *[
             F.struct(
@@ -97,7 +100,7 @@ def describe_exact(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     quartiles = exact_quantiles(df, cols, (0.25, 0.5, 0.75))
     stats = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = finite(F.col(c).cast("double"))
         stats.append(
             F.struct(
                 F.lit(c).alias("coluna"),

@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.missing import finite
+
 # Values, over all columns of a pass, that may be held in one task.
 MAX_HELD_VALUES = 2_000_000
 # Values between two probes that are read instead of narrowed further, per rank.
@@ -124,11 +126,12 @@ def exact_quantiles(
     probs: Sequence[float] = (0.25, 0.5, 0.75),
     max_held: int = MAX_HELD_VALUES,
 ) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles of each column's non-null values."""
+    """Linearly interpolated quantiles of each column's values; null, NaN and infinite ones
+    are missing."""
     cols = list(cols)
     if not cols:
         return {}
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    df = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
     rows = df.count()
     if rows <= max_held:
         return _held(df, cols, probs, max(1, max_held // max(rows, 1)))
@@ -146,7 +149,10 @@ def exact_quantiles(
         aggregates = {k: v for r in pending for k, v in r.aggregates().items()}
         row = dict(zip(aggregates, df.agg(*aggregates.values()).first()))
         for r in pending:
+            before = (r.low, r.high, r.inside, r.probe)
             r.read(row)
+            if r.value is None and (r.low, r.high, r.inside, r.probe) == before:
+                raise RuntimeError(f"rank {r.rank} of {r.col} cannot be narrowed")
         pending = [r for r in pending if r.value is None]
         few = [r for r in pending if r.inside <= min(max_held, MAX_GATHERED_VALUES)]
         for r in few:
