@@ -49,6 +49,12 @@ TEMPLATES = (
     ("CC0-1.0", "Released under CC0 1.0, dedicated to the public domain."),
 )
 
+# Common words of prose, most common first.
+COMMON = (
+    "the of a and to in is that for it on with as was by this be are or from at an not may use any "
+    "you person under all following work free copy"
+).split()
+
 TERM = r"[a-z0-9]+"
 
 
@@ -72,13 +78,15 @@ def template_terms(templates=TEMPLATES) -> tuple[list[tuple[int, str, str, float
 
 
 def telling_terms(rows, least: float) -> list[str]:
-    """Terms of which a text must hold one to reach the cosine ``least``. Per template the
-    terms most templates share are left out as long as they alone could not reach it."""
+    """Terms of which a text must hold one to reach the cosine ``least``. Per template, common
+    words and then the terms most templates share are left out as long as they alone could not
+    reach it: a cosine is no larger than the length of the template's part that a text has."""
+    common = {word: at for at, word in enumerate(COMMON)}
     telling = set()
     for template in {row[0] for row in rows}:
         plain = 0.0
         for _, _, term, weight, share in sorted(
-            (r for r in rows if r[0] == template), key=lambda r: (r[3], r[2])
+            (r for r in rows if r[0] == template), key=lambda r: (common.get(r[2], len(common)), r[3], r[2])
         ):
             plain += share * share
             if math.sqrt(plain) >= least - 1e-9:
@@ -86,6 +94,21 @@ def telling_terms(rows, least: float) -> list[str]:
     return sorted(telling)
 
 
+def _within_reach(rows, least: float) -> Column:
+    """Whether the template words in ``shown`` alone allow the cosine with some template."""
+    squares = ", ".join(
+        "array(" + ", ".join(
+            f"named_struct('term', '{term}', 'square', {share * share!r}D)"
+            for at, _, term, _, share in rows if at == template
+        ) + ")"
+        for template in sorted({row[0] for row in rows})
+    )
+    return F.expr(
+        f"exists(array({squares}), t -> aggregate(t, 0.0D, (total, x) -> total + "
+        f"if(array_contains(shown, x.term), x.square, 0.0D)) >= {least * least - 1e-9!r}D)"
+    )
+
+
 def best_templates(units: DataFrame, least: float, templates=TEMPLATES) -> DataFrame:
     """(key, license, cosine) of the best template for each (key, terms) row that reaches
     ``least``; of equal ones the first license by name. The template table is a parameter of a
@@ -99,8 +122,12 @@ def best_templates(units: DataFrame, least: float, templates=TEMPLATES) -> DataF
         [(a, n, t, s) for a, n, t, _, s in rows], "template int, license string, term string, share double"
     )
     telling = F.array(*[F.lit(t) for t in telling_terms(rows, least)])
+    words = F.array(*[F.lit(t) for t in sorted({t for _, _, t, _, _ in rows})])
+    shown = units.where(F.arrays_overlap("terms", telling)).withColumn(
+        "shown", F.array_intersect("terms", words)
+    )
     counted = (
-        units.where(F.arrays_overlap("terms", telling))
+        shown.where(_within_reach(rows, least))
         .select("key", F.explode("terms").alias("term")).groupBy("key", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
