@@ -95,7 +95,9 @@ def telling_terms(rows, least: float) -> list[str]:
 
 
 def _within_reach(rows, least: float) -> Column:
-    """Whether the template words in ``shown`` alone allow the cosine with some template."""
+    """Whether the template words among the terms alone allow the cosine with some template.
+    The lambda's argument keeps the words that a text shows from being found again per term."""
+    words = ", ".join(f"'{t}'" for t in sorted({t for _, _, t, _, _ in rows}))
     squares = ", ".join(
         "array(" + ", ".join(
             f"named_struct('term', '{term}', 'square', {share * share!r}D)"
@@ -104,8 +106,9 @@ def _within_reach(rows, least: float) -> Column:
         for template in sorted({row[0] for row in rows})
     )
     return F.expr(
+        f"exists(array(array_intersect(terms, array({words}))), shown -> "
         f"exists(array({squares}), t -> aggregate(t, 0.0D, (total, x) -> total + "
-        f"if(array_contains(shown, x.term), x.square, 0.0D)) >= {least * least - 1e-9!r}D)"
+        f"if(array_contains(shown, x.term), x.square, 0.0D)) >= {least * least - 1e-9!r}D))"
     )
 
 
@@ -122,12 +125,8 @@ def best_templates(units: DataFrame, least: float, templates=TEMPLATES) -> DataF
         [(a, n, t, s) for a, n, t, _, s in rows], "template int, license string, term string, share double"
     )
     telling = F.array(*[F.lit(t) for t in telling_terms(rows, least)])
-    words = F.array(*[F.lit(t) for t in sorted({t for _, _, t, _, _ in rows})])
-    shown = units.where(F.arrays_overlap("terms", telling)).withColumn(
-        "shown", F.array_intersect("terms", words)
-    )
     counted = (
-        shown.where(_within_reach(rows, least))
+        units.where(F.arrays_overlap("terms", telling) & _within_reach(rows, least))
         .select("key", F.explode("terms").alias("term")).groupBy("key", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
