@@ -1,10 +1,10 @@
 """License scans: sparse TF-IDF cosines to templates, then inheritance from directories.
 
 Lines of a file that could be a license header, and whole files that could be license files,
-are compared with a small table of templates. Words that only ordinary prose would share with
-a template can never lift a cosine over the threshold, so a line without any other word of
-the templates is out at once; this loses nothing. Files without a header of their own take
-the license of the license file in the nearest directory above them.
+are compared with a small table of templates. The words that a text shares with the templates
+and the number of its other words bound its cosines; most texts are out by that, and this
+loses nothing. Files without a header of their own take the license of the license file in the
+nearest directory above them.
 
 Only DataFrame expressions are used.
 """
@@ -14,11 +14,12 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, stored
+from .common import stored
 
 #: Least cosine of a line (header) and of a whole file (license file).
 HEADER, FILE = 0.7, 0.5
@@ -49,18 +50,15 @@ TEMPLATES = (
     ("CC0-1.0", "Released under CC0 1.0, dedicated to the public domain."),
 )
 
-# Common words of prose, most common first.
-COMMON = (
-    "the of a and to in is that for it on with as was by this be are or from at an not may use any "
-    "you person under all following work free copy"
-).split()
-
 TERM = r"[a-z0-9]+"
 
 
 def terms_of(text: Column) -> Column:
-    """Runs of a-z and 0-9 after lower-casing A-Z."""
-    return F.regexp_extract_all(ascii_lower(text), F.lit(TERM), F.lit(0))
+    """Runs of a-z and 0-9 after lower-casing A-Z. ``lower`` makes a-z of two more characters
+    only, the Kelvin sign and the dotted I, which part words here."""
+    for other in ("\u212a", "\u0130"):
+        text = F.replace(text, F.lit(other), F.lit(" "))
+    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
 def template_terms(templates=TEMPLATES) -> tuple[list[tuple[int, str, str, float]], float]:
@@ -77,81 +75,101 @@ def template_terms(templates=TEMPLATES) -> tuple[list[tuple[int, str, str, float
     return rows, 1.0 + math.log(1 + len(bags))
 
 
-def telling_terms(rows, least: float) -> list[str]:
-    """Terms of which a text must hold one to reach the cosine ``least``. Per template, common
-    words and then the terms most templates share are left out as long as they alone could not
-    reach it: a cosine is no larger than the length of the template's part that a text has."""
-    common = {word: at for at, word in enumerate(COMMON)}
-    telling = set()
-    for template in {row[0] for row in rows}:
-        plain = 0.0
-        for _, _, term, weight, share in sorted(
-            (r for r in rows if r[0] == template), key=lambda r: (common.get(r[2], len(common)), r[3], r[2])
-        ):
-            plain += share * share
-            if math.sqrt(plain) >= least - 1e-9:
-                telling.add(term)
-    return sorted(telling)
-
-
-def _within_reach(rows, least: float) -> Column:
-    """Whether the template words among the terms alone allow the cosine with some template.
-    The lambda's argument keeps the words that a text shows from being found again per term."""
-    words = ", ".join(f"'{t}'" for t in sorted({t for _, _, t, _, _ in rows}))
-    squares = ", ".join(
-        "array(" + ", ".join(
-            f"named_struct('term', '{term}', 'square', {share * share!r}D)"
-            for at, _, term, _, share in rows if at == template
-        ) + ")"
-        for template in sorted({row[0] for row in rows})
-    )
-    return F.expr(
-        f"exists(array(array_intersect(terms, array({words}))), shown -> "
-        f"exists(array({squares}), t -> aggregate(t, 0.0D, (total, x) -> total + "
-        f"if(array_contains(shown, x.term), x.square, 0.0D)) >= {least * least - 1e-9!r}D))"
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _squares(terms: Column) -> Column:
+    """Sum of the squared counts of the terms: a run in sorted order adds 1, 3, 5, ..."""
+    start = F.struct(F.lit("").alias("term"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("total"))
+    return F.aggregate(
+        F.sort_array(terms), start,
+        lambda run, term: F.when(
+            term == run.term,
+            F.struct(run.term.alias("term"), (run.n + 1).alias("n"), (run.total + 2 * run.n + 1).alias("total")),
+        ).otherwise(
+            F.struct(term.alias("term"), F.lit(1).cast("long").alias("n"), (run.total + 1).alias("total"))
+        ),
+        lambda run: run.total,
     )
 
 
-def best_templates(units: DataFrame, least: float, templates=TEMPLATES) -> DataFrame:
-    """(key, license, cosine) of the best template for each (key, terms) row that reaches
-    ``least``; of equal ones the first license by name. The template table is a parameter of a
-    few hundred rows."""
-    spark = units.sparkSession
+def best_template(terms: Column, least: float, templates=TEMPLATES) -> Column:
+    """(less, license) of the best template for an array of terms if its cosine reaches
+    ``least``, else null; less is the negative cosine, and of equal ones the first license by
+    name counts. The template table is a parameter of a few hundred rows.
+
+    Terms outside the templates are sorted and counted only where the others allow the
+    cosine: its norm is no smaller than if every other term occurred once.
+    """
     rows, other = template_terms(templates)
-    vocabulary = spark.createDataFrame(
-        sorted({(t, w) for _, _, t, w, _ in rows}), "term string, weight double"
-    )
-    shares = spark.createDataFrame(
-        [(a, n, t, s) for a, n, t, _, s in rows], "template int, license string, term string, share double"
-    )
-    telling = F.array(*[F.lit(t) for t in telling_terms(rows, least)])
-    counted = (
-        units.where(F.arrays_overlap("terms", telling) & _within_reach(rows, least))
-        .select("key", F.explode("terms").alias("term")).groupBy("key", "term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    weighed = counted.join(F.broadcast(vocabulary), "term", "left").withColumn(
-        "weight", F.col("n") * F.coalesce("weight", F.lit(other))
-    )
-    norms = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
-    dots = weighed.join(F.broadcast(shares), "term").groupBy("key", "template", "license").agg(
-        F.sum(F.col("weight") * F.col("share")).alias("dot")
-    )
-    return (
-        dots.join(norms, "key")
-        .select("key", "license", F.round(F.col("dot") / F.col("norm"), 6).alias("cosine"))
-        .where(F.col("cosine") >= least)
-        .groupBy("key").agg(F.min(F.struct((-F.col("cosine")).alias("less"), "license")).alias("best"))
-        .select("key", F.col("best.license").alias("license"), (-F.col("best.less")).alias("cosine"))
-    )
+    weight = {term: w for _, _, term, w, _ in rows}
+    most = {term: max(w * share for _, _, t, w, share in rows if t == term) for term in weight}
+    listed = F.map_from_entries(F.array(*[
+        F.struct(F.lit(term), F.struct(
+            F.lit(weight[term] ** 2).alias("square"), F.lit(most[term]).alias("most")
+        )) for term in sorted(weight)
+    ]))
+    enough = (least - 1e-6) ** 2
+    parts = [
+        F.struct(F.lit(name).alias("license"), F.array(*[
+            F.struct(F.lit(term).alias("term"), F.lit(w * share).alias("part"))
+            for at, _, term, w, share in rows if at == template
+        ]).alias("parts"))
+        for template, (name, _) in enumerate(templates)
+    ]
+
+    def known(term: Column) -> Column:
+        return term.isin(sorted(weight))
+
+    def counts(shown: Column) -> Column:
+        return F.transform(F.array_distinct(shown), lambda term: F.struct(
+            term.alias("term"), F.size(F.filter(shown, lambda x: x == term)).alias("n")
+        ))
+
+    def sums(found: Column) -> Column:
+        zero = F.struct(F.lit(0.0).alias("square"), F.lit(0.0).alias("most"))
+        return F.aggregate(found, zero, lambda total, x: _with(
+            F.element_at(listed, x.term),
+            lambda of: F.struct(
+                (total.square + x.n * x.n * of.square).alias("square"),
+                (total.most + x.n * of.most).alias("most"),
+            ),
+        ))
+
+    def cosines(found: Column, square: Column) -> Column:
+        norm = F.sqrt(square + other * other * _squares(F.filter(terms, lambda t: ~known(t))))
+        by_term = F.map_from_entries(found)
+        return _with(F.struct(norm.alias("norm"), by_term.alias("n")), lambda of: F.array_min(F.filter(
+            F.transform(F.array(*parts), lambda template: F.struct(
+                (-F.round(F.aggregate(
+                    template.parts, F.lit(0.0),
+                    lambda total, x: total + x.part * F.coalesce(F.element_at(of["n"], x.term), F.lit(0)),
+                ) / of.norm, 6)).alias("less"),
+                template.license.alias("license"),
+            )),
+            lambda found: found.less <= -least,
+        )))
+
+    def scored(shown: Column) -> Column:
+        rest = (F.size(terms) - F.size(shown)) * (other * other)
+        return F.when(F.size(shown) > 0, _with(counts(shown), lambda found: _with(
+            sums(found), lambda total: F.when(
+                total.most * total.most >= (total.square + rest) * enough,
+                cosines(found, total.square),
+            )
+        )))
+
+    return _with(F.filter(terms, known), scored)
 
 
 def scan_licenses(
     files: DataFrame, id_col: Column, path_col: Column, text_col: Column,
     header: float = HEADER, file: float = FILE, templates=TEMPLATES,
 ) -> DataFrame:
-    """(id, path, license, cosine, via, origin), one row per file. ``files`` is a plain read of
-    Parquet files: a row's place in them names it.
+    """(id, path, license, cosine, via, origin), one row per file. Files are scanned row by row,
+    without a shuffle; only directories and their license files are joined.
 
     ``via`` is "header" if a line of the file reaches ``header``, "file" if no line does but
     the whole text reaches ``file``, "directory" if the license comes from the nearest
@@ -161,33 +179,26 @@ def scan_licenses(
     their own but inherit; a null path is in no directory and inherits nothing. Rows that
     share a path are scanned each by itself; an empty table gives no rows.
     """
-    texts = files.select(
-        F.struct("_metadata.file_path", "_metadata.row_index").alias("row"), id_col.alias("id"),
-        path_col.alias("path"), F.coalesce(text_col, F.lit("")).alias("text"),
-    )
-    rows = texts.drop("text")
-    lines = texts.select(
-        "row", F.posexplode(F.split("text", "\n")).alias("line", "content")
-    ).select(F.struct("row", "line").alias("key"), terms_of(F.col("content")).alias("terms"))
-    headers = best_templates(lines, header, templates).groupBy(F.col("key.row").alias("row")).agg(
-        F.min(F.struct((-F.col("cosine")).alias("less"), "license")).alias("header")
+    lines = files.select(
+        id_col.alias("id"), path_col.alias("path"),
+        F.transform(F.split(F.coalesce(text_col, F.lit("")), "\n"), terms_of).alias("lines"),
     )
-    wholes = best_templates(
-        texts.select(F.col("row").alias("key"), terms_of(F.col("text")).alias("terms")), file, templates
-    ).select(F.col("key").alias("row"), F.struct((-F.col("cosine")).alias("less"), "license").alias("whole"))
-    own = stored(
-        headers.join(wholes, "row", "full").select("row", "header", "whole"), "license-own"
+    headers = F.filter(
+        F.transform("lines", lambda terms: best_template(terms, header, templates)), F.isnotnull
     )
-    found = rows.join(own, "row", "left")
+    own = lines.select("id", "path", F.array_min(headers).alias("header"), F.flatten("lines").alias("terms"))
+    rows = stored(own.select(
+        "id", "path", "header", best_template(F.col("terms"), file, templates).alias("whole")
+    ), "license-own")
     directory = F.regexp_extract("path", "^(.*/)[^/]*$", 1)
-    holders = rows.join(own.where("whole is not null"), "row").where("path is not null").groupBy(
+    holders = rows.where("whole is not null and path is not null").groupBy(
         directory.alias("directory")
     ).agg(F.min("whole").alias("held"))
     above = _directories(rows.where("path is not null").select(directory.alias("leaf")).distinct())
     nearest = above.join(holders, "directory").groupBy("leaf").agg(
         F.max_by(F.struct("directory", "held"), F.length("directory")).alias("near")
     )
-    found = found.withColumn("leaf", directory).join(nearest, "leaf", "left")
+    found = rows.withColumn("leaf", directory).join(nearest, "leaf", "left")
     own_first = F.coalesce("header", "whole", "near.held")
     return found.select(
         "id", "path", own_first["license"].alias("license"), (-own_first["less"]).alias("cosine"),

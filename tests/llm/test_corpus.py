@@ -403,6 +403,7 @@ def test_licenses_are_inherited_from_the_nearest_directory(files):
         (1, "a/LICENSE", mit), (2, "a/b/c/x.py", "print"), (3, "a/b/LICENSE", "Licensed under CC BY-NC 4.0."),
         (4, "a/y.py", "# Licensed under the Apache License, Version 2.0.\n" + "code words here\n" * 300),
         (5, "z/y.py", "nothing"), (6, None, mit), (7, "a/n.py", None), (7, "a/n.py", ""), (8, "top", "x " * 50_000),
+        (9, "p/k", "lİcensed under the apache lİcense"), (10, "q/k", "LICENSED UNDER THE APACHE LICENSE, VERSION 2.0"),
     ]
     table = files([r + ("k",) for r in rows], "id long, path string, text string, license string")
     got = license_scan.scan_licenses(table, F.col("id"), F.col("path"), F.col("text")).collect()
@@ -410,6 +411,7 @@ def test_licenses_are_inherited_from_the_nearest_directory(files):
         (1, "MIT", "header", None), (2, "CC-BY-NC-4.0", "directory", "a/b/"), (3, "CC-BY-NC-4.0", "header", None),
         (4, "Apache-2.0", "header", None), (5, None, None, None), (6, "MIT", "header", None),
         (7, "MIT", "directory", "a/"), (7, "MIT", "directory", "a/"), (8, None, None, None),
+        (9, None, None, None), (10, "Apache-2.0", "header", None),
     ])
     empty = files([], "id long, path string, text string")
     assert license_scan.scan_licenses(empty, F.col("id"), F.col("path"), F.col("text")).count() == 0
