@@ -204,33 +204,27 @@ def _candidates(labels: DataFrame, neighbours: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs whose whole shingle sets are alike enough. Sets are made again from the
-    texts of the classes that occur in pairs."""
-    wanted = stored(
-        pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
-        .join(classes.select("node", "id"), "node"),
-        "forest-wanted",
-    )
-    texts = maybe_in(docs, F.col("id"), filter_bits(wanted, F.col("id"))).where("hit").drop("hit")
-    texts = texts.alias("d").join(
-        wanted.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id"))
-    ).select("node", "raw")
+    texts of the classes that occur in pairs; a set carries its node, so texts are shuffled
+    once, by node, and that exchange serves both sides of the pairs."""
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b"))
+    wanted = stored(nodes.distinct().join(classes.select("node", "id"), "node"), "forest-wanted")
+    # A null id has no place in the filter: such texts are all made again.
+    some = maybe_in(docs, F.col("id"), filter_bits(wanted.where("id is not null"), F.col("id")))
+    texts = some.where("hit or id is null").select("raw")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, values = [], []
-            for node, raw in zip(batch.column("node").to_pylist(), batch.column("raw").to_pylist()):
+            for raw in batch.column("raw").to_pylist():
                 found = shingle_set(raw)
-                # Another text under the same id is not the one meant.
-                if len(found) and _digest(found) == node:
-                    nodes.append(node)
+                if len(found):
+                    nodes.append(_digest(found))
                     values.append(found.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(nodes, pa.binary()), pa.array(values, pa.binary())], names=["node", "values"]
             )
 
-    held = stored(
-        texts.mapInArrow(sets, "node binary, values binary").dropDuplicates(["node"]), "forest-sets"
-    )
+    held = texts.mapInArrow(sets, "node binary, values binary").dropDuplicates(["node"])
     both = (
         pairs.join(held.select(F.col("node").alias("a"), F.col("values").alias("left")), "a")
         .join(held.select(F.col("node").alias("b"), F.col("values").alias("right")), "b")
@@ -273,7 +267,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = stored(_candidates(_labels(lone, FIRST_TREES), 1), "forest-pairs")
     links = stored(_confirmed(first, classes, texts), "forest-links")
     roots = components(links)
-    grouped = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Only classes that may have links are shuffled to meet their roots.
+    tested = maybe_in(classes, F.col("node"), filter_bits(roots, F.col("node")))
+    grouped = (
+        tested.where("hit").drop("hit").join(roots, "node", "left")
+        .withColumn("root", F.coalesce("root", "node"))
+        .unionByName(tested.where("not hit").drop("hit").withColumn("root", F.col("node")))
+    )
     second = stored(
         _candidates(_labels(grouped, TREES), NEIGHBOURS).join(first, ["a", "b"], "left_anti"),
         "forest-pairs",
