@@ -43,14 +43,14 @@ def municipality_lookup(spark, sf_dir):
 
 @query("""
     WITH codes AS (
-        SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_totalprice > 450000 AND o_orderstatus = 'F'
-        UNION SELECT o_custkey FROM orders WHERE o_totalprice > 450000 AND o_orderstatus = 'O'
-        UNION SELECT o_custkey FROM orders WHERE o_totalprice > 450000 AND o_orderstatus = 'P')
+        SELECT DISTINCT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'F'
+        UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'O'
+        UNION SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')
     SELECT c_custkey, c_name FROM customer SEMI JOIN codes USING (c_custkey)""")
 def dimension_semi_reduce(spark, sf_dir):
     """A dimension reduced to the keys that occur in any of three files."""
-    large = table(spark, sf_dir, "orders").where("o_totalprice > 450000")
-    files = [large.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")]
+    orders = table(spark, sf_dir, "orders")
+    files = [orders.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")]
     codes = distinct_values(files, "o_custkey", "c_custkey")
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     return customers.join(codes, "c_custkey", "left_semi")
@@ -159,8 +159,11 @@ def coverage_histogram(spark, sf_dir):
         (SELECT DISTINCT o_custkey FROM orders WHERE o_totalprice > 400000) ON o_custkey = c_custkey
     WHERE o_custkey IS NULL""")
 def keys_without_target(spark, sf_dir):
-    large = table(spark, sf_dir, "orders").where("o_totalprice > 400000")
-    buyers = large.groupBy("o_custkey").agg(F.count("*").alias("casos_dengue"))
+    """Every order counts towards its buyer; only large ones are cases, and none is missing."""
+    cases = F.count_if(F.col("o_totalprice") > 400000)
+    buyers = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(
+        F.nullif(cases, F.lit(0)).alias("casos_dengue")
+    )
     joined = table(spark, sf_dir, "customer").join(
         buyers, F.col("c_custkey") == F.col("o_custkey"), "left"
     )
