@@ -7,15 +7,16 @@ side by side; neighbours that share at least ``depth`` values are candidates. Ho
 shared prefix is follows from how crowded a region is: in a crowd the neighbours are those
 that agree much further.
 
-A first round links next neighbours in a few trees. A second goes through all trees and looks
-at more neighbours, but only at those which are not in the same component yet, so large
-groups of copies add next to nothing. Every candidate is confirmed on whole shingle sets.
+A first round links next neighbours in a few trees. A second goes through the regions of all
+trees, but only through those of several components, so large groups of copies add next to
+nothing. In a region of few rows all are compared. The classes of larger regions, the crowds,
+meet by an exact join on their rarest shingles, so a crowd costs no link. Every candidate is
+confirmed on whole shingle sets.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,11 @@ PERCENT = 75
 #: the threshold a pair shares 3 values of a tree with odds 0.42, and misses that in all 24
 #: with odds 2e-6.
 TREES, STEP, LABEL, DEPTH = 24, 4, 6, 3
-#: Trees of the first round; neighbours looked at in the second, to either side.
-FIRST_TREES, NEIGHBOURS = 8, 32
+#: Trees of the first round; rows of a region that are all compared in the second.
+FIRST_TREES, CALM = 8, 128
+#: Classes whose shingles are counted for the order of the exact join, and log2 of the counts.
+#: Any order finds the same pairs; a good one has the common shingles last.
+COUNTED, COUNT_BITS = 8192, 22
 #: Rows carry 2 bits of 256 least values. Of sets at the threshold 208 agree on average, with
 #: a deviation of 6.2; fewer than SAME, five deviations below, agree with odds 3e-7.
 SKETCH, SAME = 256, 176
@@ -136,26 +140,22 @@ def _described(docs: DataFrame) -> DataFrame:
 
 
 def _labels(classes: DataFrame, trees: int) -> DataFrame:
-    """(tree, label, node, root, n_shingles, sketch): the first values of each class in each
-    order; root is null for a class that is its own."""
+    """(tree, label, node, n_shingles, sketch): the first values of each class in each order."""
     around = F.concat("signature", "signature")
     return classes.select(
         F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"),
-        around.alias("around"), "node", "root", "n_shingles", "sketch",
+        around.alias("around"), "node", "n_shingles", "sketch",
     ).select(
         "tree",
         F.substring("around", F.col("tree") * (4 * STEP) + 1, F.lit(4 * LABEL)).alias("label"),
-        "node", F.when(F.col("root") != F.col("node"), F.col("root")).alias("root"), "n_shingles", "sketch",
+        "node", "n_shingles", "sketch",
     )
 
 
-def _candidates(labels: DataFrame, neighbours: int) -> DataFrame:
-    """Pairs (a, b) of neighbours in the sorted orders that are in different components.
-
-    Rows are sorted by range partitions, so a crowded region is spread by its deeper values.
-    Within a region a row is compared with the last rows of the ``neighbours`` components
-    before it, and each row is a candidate with as many later ones at most. Sizes and
-    sketches that rule a link out spare a candidate.
+def _neighbours(labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of next neighbours in the sorted orders. Rows are sorted by range
+    partitions, so a crowded region is spread by its deeper values. Sizes and sketches that
+    rule a link out spare a candidate. What this misses is left to the second round.
     """
     ordered = labels.repartitionByRange("tree", "label", "node").sortWithinPartitions(
         "tree", "label", "node"
@@ -163,37 +163,16 @@ def _candidates(labels: DataFrame, neighbours: int) -> DataFrame:
     prefix = 4 * DEPTH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region = None
-        before: OrderedDict[bytes, list] = OrderedDict()
+        last = None
         for batch in batches:
             low, high = [], []
-            columns = [batch.column(name).to_pylist() for name in ("tree", "label", "node", "root", "n_shingles", "sketch")]
-            for tree, label, node, root, n, marks in zip(*columns):
-                root = root or node
-                marks = int.from_bytes(marks)
-                here = (tree, label[:prefix])
-                if here != region:
-                    region = here
-                    before.clear()
-                spent = []
-                for other, entry in before.items():
-                    if other == root:
-                        continue
-                    size = entry[1]
-                    if 100 * (n if n < size else size) < PERCENT * (size if n < size else n):
-                        continue
-                    if agreeing(marks, entry[3]) >= SAME:
-                        low.append(min(node, entry[0]))
-                        high.append(max(node, entry[0]))
-                        entry[2] -= 1
-                        if entry[2] == 0:
-                            spent.append(other)
-                for other in spent:
-                    del before[other]
-                before.pop(root, None)
-                before[root] = [node, n, neighbours, marks]
-                if len(before) > neighbours:
-                    before.popitem(last=False)
+            columns = [batch.column(name).to_pylist() for name in ("tree", "label", "node", "n_shingles", "sketch")]
+            for tree, label, node, n, marks in zip(*columns):
+                row = ((tree, label[:prefix]), node, n, int.from_bytes(marks))
+                if last and last[0] == row[0] and last[1] != node and _may_link(last[2:], row[2:]):
+                    low.append(min(node, last[1]))
+                    high.append(max(node, last[1]))
+                last = row
             if low:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["a", "b"]
@@ -202,12 +181,146 @@ def _candidates(labels: DataFrame, neighbours: int) -> DataFrame:
     return ordered.mapInArrow(run, "a binary, b binary").distinct()
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose whole shingle sets are alike enough. Sets are made again from the
-    texts of the classes that occur in pairs; a set carries its node, so texts are shuffled
-    once, by node, and that exchange serves both sides of the pairs."""
-    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b"))
-    wanted = stored(nodes.distinct().join(classes.select("node", "id"), "node"), "forest-wanted")
+def _may_link(one: tuple[int, int], other: tuple[int, int]) -> bool:
+    """Whether the (size, sketch) of two sets leave a link possible."""
+    (n, marks), (size, others) = one, other
+    return 100 * min(n, size) >= PERCENT * max(n, size) and agreeing(marks, others) >= SAME
+
+
+def _regions(classes: DataFrame) -> DataFrame:
+    """(region, node, root, n_shingles, sketch): the place of each class in each tree."""
+    around = F.concat("signature", "signature")
+    return classes.select(
+        F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"),
+        around.alias("around"), "node", "root", "n_shingles", "sketch",
+    ).select(
+        F.xxhash64("tree", F.substring("around", F.col("tree") * (4 * STEP) + 1, F.lit(4 * DEPTH))).alias("region"),
+        "node", "root", "n_shingles", "sketch",
+    )
+
+
+def _rarest(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(token, node, root, n, at): the shingles of each class (node, id, root) that come first
+    in one order of all shingles. A set of n has to share one of its first n/4 + 1 with every
+    set that it is linked to."""
+    share = max(1, -(-classes.count() // COUNTED))
+    sample = classes.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNT_BITS, np.int64)
+        for batch in batches:
+            for values in batch.column("values").to_pylist():
+                places = np.frombuffer(values, np.uint64) >> np.uint64(64 - COUNT_BITS)
+                np.add.at(total, places.astype(np.int64), 1)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["place", "n"])
+
+    counted = _sets(sample, docs).mapInArrow(count, "place long, n long")
+    common = counted.groupBy("place").agg(F.sum("n").alias("n")).where("n > 2").toArrow()
+    order = np.zeros(1 << COUNT_BITS, np.uint16)
+    order[common["place"].to_numpy()] = np.minimum(common["n"].to_numpy(), 65_535)
+    order = docs.sparkSession.sparkContext.broadcast(order)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, tokens, at = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for raw in batch.column("values").to_pylist():
+                values = np.frombuffer(raw, np.uint64)
+                places = (values >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+                taken = len(values) - -(-PERCENT * len(values) // 100) + 1
+                values = values[np.lexsort((values, order.value[places]))[:taken]]
+                tokens.append(values.view(np.int64))
+                at.append(np.arange(taken))
+                sizes.append((len(raw) // 8, taken))
+            n, taken = np.array(sizes, np.int64).reshape(-1, 2).T
+            row = pa.array(np.repeat(np.arange(len(n)), taken))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(tokens)), batch.column("node").take(row), batch.column("root").take(row),
+                 pa.array(np.repeat(n, taken)), pa.array(np.concatenate(at))],
+                names=["token", "node", "root", "n", "at"],
+            )
+
+    held = _sets(classes, docs).join(classes.select("node", "root"), "node")
+    return held.mapInArrow(first, "token long, node binary, root binary, n long, at long")
+
+
+def _crowd_pairs(crowd: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes (node, id, root) that may be linked and are in different
+    components; none is missing.
+
+    The first shingle, in one order, that two sets of m <= n share is at place j and i: they
+    share min(m - j, n - i) at most and need 3/7 of m + n. So j is within m/7, and what a
+    whole crowd shares brings together only sets of which the rest is small enough. Shingles
+    of one component are out before the join.
+    """
+    rows = stored(_rarest(crowd, docs), "forest-rarest")
+    shared = rows.groupBy("token").agg(
+        F.min(F.xxhash64("root")).alias("low"), F.max(F.xxhash64("root")).alias("high")
+    ).where("low < high").select("token")
+    rows = stored(rows.join(shared, "token"), "forest-shared")
+    least, most = PERCENT, 100 + PERCENT
+    x = rows.where(F.expr(f"{most} * (n - at) >= {2 * least} * n")).select(
+        "token", *[F.col(c).alias(f"x_{c}") for c in ("node", "root", "n", "at")]
+    )
+    y = rows.select("token", *[F.col(c).alias(f"y_{c}") for c in ("node", "root", "n", "at")])
+    met = x.join(y, "token").where(F.expr(
+        "x_root <> y_root and (x_n < y_n or (x_n = y_n and x_node < y_node))"
+        f" and {most} * (x_n - x_at) >= {least} * (x_n + y_n)"
+        f" and {most} * (y_n - y_at) >= {least} * (x_n + y_n)"
+    ))
+    return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
+
+
+def _candidates(classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes in different components that share the start of a tree, without
+    those that sizes, sketches or rarest shingles rule out."""
+    places = _regions(classes)
+    kinds = stored(
+        places.groupBy("region").agg(
+            F.count(F.lit(1)).alias("rows"), F.min(F.xxhash64("root")).alias("low"),
+            F.max(F.xxhash64("root")).alias("high"),
+        ).where("low < high").select("region", "rows"),
+        "forest-regions",
+    )
+
+    def within(regions: DataFrame, rows: DataFrame) -> DataFrame:
+        tested = maybe_in(rows, F.col("region"), filter_bits(regions, F.col("region")))
+        return tested.where("hit").drop("hit").join(regions.select("region"), "region")
+
+    calm = within(kinds.where(F.col("rows") <= CALM), places)
+    ordered = calm.repartition("region").sortWithinPartitions("region")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        region, before = None, []
+        for batch in batches:
+            low, high = [], []
+            columns = [batch.column(name).to_pylist() for name in ("region", "node", "root", "n_shingles", "sketch")]
+            for here, node, root, n, marks in zip(*columns):
+                if here != region:
+                    region, before = here, []
+                row = (n, int.from_bytes(marks))
+                for other, other_root, entry in before:
+                    if other_root != root and _may_link(entry, row):
+                        low.append(min(node, other))
+                        high.append(max(node, other))
+                before.append((node, root, row))
+            if low:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["a", "b"]
+                )
+
+    pairs = ordered.mapInArrow(run, "a binary, b binary")
+    crowded = kinds.where(F.col("rows") > CALM)
+    if crowded.isEmpty():
+        return pairs.distinct()
+    nodes = within(crowded, places.select("region", "node")).select("node").distinct()
+    crowd = stored(classes.select("node", "id", "root").join(nodes, "node"), "forest-crowd")
+    return pairs.unionAll(_crowd_pairs(crowd, docs)).distinct()
+
+
+def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, values) of the texts that the classes (node, id) of ``wanted`` come from, each
+    node once; some others may be among them."""
     # A null id has no place in the filter: such texts are all made again.
     some = maybe_in(docs, F.col("id"), filter_bits(wanted.where("id is not null"), F.col("id")))
     texts = some.where("hit or id is null").select("raw")
@@ -224,7 +337,16 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
                 [pa.array(nodes, pa.binary()), pa.array(values, pa.binary())], names=["node", "values"]
             )
 
-    held = texts.mapInArrow(sets, "node binary, values binary").dropDuplicates(["node"])
+    return texts.mapInArrow(sets, "node binary, values binary").dropDuplicates(["node"])
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose whole shingle sets are alike enough. Sets are made again from the
+    texts of the classes that occur in pairs; a set carries its node, so texts are shuffled
+    once, by node, and that exchange serves both sides of the pairs."""
+    nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b"))
+    wanted = stored(nodes.distinct().join(classes.select("node", "id"), "node"), "forest-wanted")
+    held = _sets(wanted, docs)
     both = (
         pairs.join(held.select(F.col("node").alias("a"), F.col("values").alias("left")), "a")
         .join(held.select(F.col("node").alias("b"), F.col("values").alias("right")), "b")
@@ -263,8 +385,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ),
         "forest-classes",
     )
-    lone = classes.withColumn("root", F.col("node"))
-    first = stored(_candidates(_labels(lone, FIRST_TREES), 1), "forest-pairs")
+    first = stored(_neighbours(_labels(classes, FIRST_TREES)), "forest-pairs")
     links = stored(_confirmed(first, classes, texts), "forest-links")
     roots = components(links)
     # Only classes that may have links are shuffled to meet their roots.
@@ -275,7 +396,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .unionByName(tested.where("not hit").drop("hit").withColumn("root", F.col("node")))
     )
     second = stored(
-        _candidates(_labels(grouped, TREES), NEIGHBOURS).join(first, ["a", "b"], "left_anti"),
+        _candidates(grouped, texts).join(first, ["a", "b"], "left_anti"),
         "forest-pairs",
     )
     more = stored(_confirmed(second, classes, texts), "forest-links")

@@ -124,6 +124,23 @@ def test_near_duplicates_in_a_crowd(files):
     assert Counter((r.id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
 
 
+def test_near_duplicates_lose_no_link_in_a_crowd_near_the_threshold(files):
+    """Unlinked texts that share a long passage, and pairs just above the threshold among them."""
+    def text(passage, rest):
+        return " ".join([f"p{i}" for i in range(passage)] + [f"r{rest}x{i}" for i in range(100 - passage)])
+
+    rows = [(i, text(84 + i % 3, i)) for i in range(500)]
+    for i in range(500, 580, 2):
+        own = text(84, i).split()
+        rows += [(i, " ".join(own)), (i + 1, " ".join(own[:87] + [f"s{i}x{k}" for k in range(13)]))]
+    sets = {i: shingles(body) for i, body in rows}
+    alike = {b: len(sets[0] & sets[b]) / len(sets[0] | sets[b]) for b in range(1, 500)}
+    assert all(0.68 < x < 0.75 for x in alike.values()), (min(alike.values()), max(alike.values()))
+    assert all(0.75 <= len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) < 0.78 for i in range(500, 580, 2))
+    got = lsh_forest.near_duplicates(files(rows, "doc_id long, text string")).collect()
+    assert Counter((r.id, r.n_shingles, r.component_id) for r in got) == brute_components(rows)
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert lsh_forest.near_duplicates(no_docs).count() == 0
     assert lsh_forest.first_of_each(no_docs).columns == no_docs.columns
