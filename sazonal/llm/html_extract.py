@@ -3,7 +3,9 @@
 Paragraphs give points, for a base, their commas and their length, to the elements around
 them, less with distance; an element's points are discounted by the share of its text that
 stands in links. The best container is kept, with siblings that score well or read like
-prose. Blocks of what is kept come out in page order.
+prose, and with what lies below their common parents if other containers score alike. Class
+and id words cut an element that is small, full of links or named by such words alone, and
+nothing if no text were left. Blocks of what is kept come out in page order.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 # what is not the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset(
-    "script style noscript template head title iframe object embed svg math canvas nav footer aside form "
+    "script style noscript template head title iframe object embed svg math canvas nav footer aside "
     "button select textarea input label fieldset dialog menu option datalist audio video map".split()
 )
 BLOCKS = frozenset(
@@ -28,6 +30,7 @@ BLOCKS = frozenset(
     "tfoot tr td th caption figure figcaption address details summary hr body html".split()
 )
 PARAGRAPHS = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A paragraph's end tag may be left out before these.
 CLOSES_P = BLOCKS - frozenset("td th tr thead tbody tfoot caption body html".split())
 SAME_LEVEL = {
@@ -42,19 +45,26 @@ UNWANTED = re.compile(
     r"related|replies|respond|share|sharing|sidebar|skyscraper|social|sponsor|sponsored|subscribe|"
     r"toolbar|topbar|widget|widgets|alert|disclaimer|login|signup|search|(?:site|page|top|main|global)-?header)(?![a-z])|^header$"
 )
+#: Words of names that pages use for the article, for states of a page, and for its readers' part.
+WANTED = re.compile(r"(?<![a-z])(article|body|content|entry|main|page|post|result|results|story|text|wrapper)(?![a-z])")
+STATE = re.compile(r"(?<![a-z])(has|no|with|without|is|hide|show)-[a-z-]+")
+READERS = re.compile(r"(?<![a-z])(comment|comments|commentlist|disqus|discussion|replies|respond)(?![a-z])")
 UNWANTED_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
     "toolbar".split()
 )
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 SPACE = re.compile(r"\s+")
+#: Text of a small element, share of links of one full of them, share of the best score that
+#: is alike.
+SMALL, LINKED, ALIKE = 200, 0.3, 0.2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "points", "unwanted", "text", "linked", "commas")
+    __slots__ = ("tag", "parent", "children", "points", "unwanted", "named", "text", "linked", "commas")
 
-    def __init__(self, tag: str, parent: Node | None, unwanted: bool = False):
-        self.tag, self.parent, self.unwanted = tag, parent, unwanted
+    def __init__(self, tag: str, parent: Node | None, unwanted: bool = False, named: str = ""):
+        self.tag, self.parent, self.unwanted, self.named = tag, parent, unwanted, named
         self.children: list[Node | str] = []
         self.points = 0.0
         self.text = self.linked = self.commas = 0
@@ -78,7 +88,7 @@ class TreeBuilder(HTMLParser):
                 self._close(name, bounds)
         if tag in ("html", "body"):
             return
-        node = Node(tag, self.at, _unwanted(tag, attrs))
+        node = Node(tag, self.at, _unwanted(tag, attrs), _named(tag, attrs))
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
@@ -110,13 +120,7 @@ def _unwanted(tag: str, attrs) -> bool:
         return True
     for name, value in attrs:
         value = value or ""
-        if name in ("class", "id"):
-            # The article and its own header may be named anything.
-            if tag not in ("article", "main") and UNWANTED.search(
-                re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().replace("_", "-")
-            ):
-                return True
-        elif name == "role" and value.lower() in UNWANTED_ROLES:
+        if name == "role" and value.lower() in UNWANTED_ROLES:
             return True
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
@@ -125,6 +129,21 @@ def _unwanted(tag: str, attrs) -> bool:
     return False
 
 
+def _named(tag: str, attrs) -> str:
+    """What class and id say against an element: "only" or "readers" if that is all they say,
+    "also" if they call it an article as well or it is a form, else nothing."""
+    # The article and its own header may be named anything.
+    found = "also" if tag == "form" else ""
+    for name, value in attrs if tag not in ("article", "main") else ():
+        if name in ("class", "id") and value:
+            words = STATE.sub("", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value).lower().replace("_", "-"))
+            if READERS.search(words):
+                return "readers"
+            if UNWANTED.search(words):
+                found = "also" if found != "only" and WANTED.search(words) else "only"
+    return found
+
+
 def _below(root: Node) -> Iterator[tuple[Node, bool]]:
     """Wanted elements without recursion: (node, entering)."""
     stack = [(root, True)]
@@ -153,6 +172,7 @@ def _weigh(root: Node) -> None:
     for node, entering in _below(root):
         if entering:
             links += node.tag == "a"
+            node.points, node.text, node.linked, node.commas = 0.0, 0, 0, 0
             for child in node.children:
                 if isinstance(child, str):
                     size = len(SPACE.sub(" ", child.strip()))
@@ -187,29 +207,95 @@ def main_blocks(html: str) -> list[str]:
     builder.feed(html)
     builder.close()
     root = builder.root
+    named = []
     for node, entering in _below(root):
         for child in node.children if entering else ():
             if isinstance(child, Node) and child.tag == "header" and _page_header(child):
                 child.unwanted = True
+        if entering and node.named:
+            named.append(node)
     _weigh(root)
+    sized = {node: node.text < SMALL or node.linked > LINKED * node.text for node in named}
+    first: list[str] = []
+    # If next to nothing is left, names count for less, and at last for nothing.
+    for kept in ((), ("only", "also"), ("only", "also", "readers")) if named else ((),):
+        for node in named:
+            node.unwanted = node.named not in kept and (node.named != "also" or sized[node])
+        if named:
+            _weigh(root)
+        blocks = _chosen(root)
+        size = sum(map(len, blocks))
+        if not kept and size >= SMALL or kept and size >= (3 * SMALL if first else 1):
+            return blocks
+        first = first or blocks
+        if kept and first:
+            break
+    return first
+
+
+def _chosen(root: Node) -> list[str]:
+    """Blocks of the best container and of what goes with it."""
     best, best_score = root, 0.0
+    scores: list[tuple[float, Node]] = []
     for node, entering in _below(root):
-        if entering and node.tag not in PARAGRAPHS and node.tag in BLOCKS and _score(node) > best_score:
-            best, best_score = node, _score(node)
-    blocks: list[str] = []
-    if best.parent is None or best.tag in ("article", "main"):
-        siblings = [best] if best.parent is None else [
-            s for s in best.parent.children if s is best or isinstance(s, Node) and s.tag == best.tag
-        ]
+        if entering and node.tag not in PARAGRAPHS and node.tag in BLOCKS:
+            scores.append((score := _score(node), node))
+            if score > best_score:
+                best, best_score = node, score
+    holders = {best}
+    if best.parent is None:
+        siblings = [best]
+    elif best.tag in ("article", "main"):
+        siblings = [s for s in best.parent.children if s is best or isinstance(s, Node) and s.tag == best.tag]
     else:
-        siblings = best.parent.children
+        best_above = _above(best)
+        within = set(best_above)
+        ways = {best}
+        for score, node in scores:
+            if score >= ALIKE * best_score and node not in within and node.linked <= LINKED * node.text:
+                path = _above(node)
+                if best not in path:
+                    ways.add(node)
+                    holders.update(path)
+        top = best.parent
+        if len(ways) > 1:
+            # The lowest element that all of them are below.
+            shared = set(best_above)
+            for node in ways - {best}:
+                shared &= set(_above(node)[1:])
+            top = next(x for x in best_above[1:] if x in shared)
+            holders.update(best_above)
+            if top is not best.parent:
+                for node, entering in _below(top):
+                    if entering and node.tag in BLOCKS and node.text and node.linked > 0.5 * node.text and node not in holders:
+                        node.unwanted = True
+        siblings = top.children
     bar = max(10.0, 0.2 * best_score)
-    for sibling in siblings:
-        if sibling is best or isinstance(sibling, Node) and not sibling.unwanted and _joins(sibling, bar):
+    chosen = [
+        s in holders or isinstance(s, Node) and not s.unwanted and _joins(s, bar)
+        for s in siblings
+    ]
+    first, last = chosen.index(True), len(chosen) - 1 - chosen[::-1].index(True)
+    blocks: list[str] = []
+    for at, sibling in enumerate(siblings):
+        if chosen[at] or at < last and isinstance(sibling, Node) and not sibling.unwanted and (
+            sibling.text and not sibling.linked and (
+                sibling.tag in HEADINGS or at > first and sibling.tag in PARAGRAPHS
+            )
+        ):
             _collect(sibling, blocks)
     return blocks
 
 
+def _above(node: Node) -> list[Node]:
+    """The element and all above it."""
+    found = []
+    while node is not None:
+        found.append(node)
+        node = node.parent
+    return found
+
+
 def _joins(node: Node, bar: float) -> bool:
     if _score(node) >= bar:
         return True

@@ -414,6 +414,26 @@ def test_html_extraction(files):
     assert html_extract.extract_text(files([], "page_id long, url string, html string")).count() == 0
 
 
+LONG = [f"Sentence {i} of the article, which goes on, as articles do, for quite some words more." for i in range(9)]
+PROSE = "".join(f"<p>{x}</p>" for x in LONG)
+LINKS = '<ul><li><a href="/a">Other page</a></li><li><a href="/b">One more page</a></li></ul>'
+
+
+@pytest.mark.parametrize("page, want", [
+    *[(f'<div class="{name}">{PROSE}</div>', LONG) for name in
+      ("content has-sidebar", "no-sidebar", "post-share", "related-story", "search-result", "modal", "comments")],
+    (f"<form>{PROSE}<input></form>", LONG),
+    (f'<div class="menu">{PROSE}</div><p>A short, lone line.</p>', [*LONG, "A short, lone line."]),
+    (f"<div><h1>Title</h1><div class=body>{PROSE}</div></div>", ["Title", *LONG]),
+    (f"<div><div>{PROSE}</div><h2>Part</h2><p>Short one</p><div>{PROSE}</div></div>", [*LONG, "Part", "Short one", *LONG]),
+    (f"<section><div>{PROSE}</div></section><section><div>{PROSE}</div></section>", LONG * 2),
+    (f'<div class="sidebar">{LINKS}</div><div>{PROSE}</div><div class="related-content">{LINKS}</div>'
+     f'<div class="comments">{PROSE}</div><form><p>Your name</p></form>', LONG),
+])
+def test_html_keeps_whole_articles(page, want):
+    assert html_extract.main_blocks(f"<html><body>{page}</body></html>") == want
+
+
 def test_licenses_are_inherited_from_the_nearest_directory(files):
     mit = "Released under the MIT License."
     rows = [
