@@ -64,10 +64,11 @@ class Forest:
             at[:, tree] = node - (self.leaves - 1)
         return at
 
-    def search(self, query: np.ndarray, visits: float) -> list[tuple[int, int]]:
+    def search(self, query: np.ndarray, visits: float, least: int) -> list[tuple[int, int]]:
         """Leaves for a query, best first, from one queue over all trees. A leaf counts no
         more than half as many rows again as an even one, so that one crowd of equal vectors
-        doesn't end the search."""
+        doesn't end the search; nor does it end before the leaves of one tree, which have no
+        row in common, hold ``least`` rows or no leaf is left."""
         point = np.append(query, 0.0)
         margins = self.normals @ point - self.cuts
         total = self.sizes[0].sum()
@@ -75,13 +76,15 @@ class Forest:
         queue = [(-np.inf, tree, 0) for tree in range(len(self.cuts))]
         heapq.heapify(queue)
         found, seen = [], 0.0
-        while queue and seen < visits * total:
+        held = np.zeros(len(self.cuts), np.int64)
+        while queue and (seen < visits * total or held.max() < least):
             behind, tree, node = heapq.heappop(queue)
             if node >= self.leaves - 1:
                 leaf = node - (self.leaves - 1)
                 if self.sizes[tree, leaf]:
                     found.append((tree, leaf))
                     seen += min(self.sizes[tree, leaf], most)
+                    held[tree] += self.sizes[tree, leaf]
                 continue
             margin = margins[tree, node]
             heapq.heappush(queue, (max(behind, -margin), tree, 2 * node + 2))
@@ -165,7 +168,7 @@ def _routed(rows: DataFrame, forest: Forest) -> DataFrame:
     return rows.mapInArrow(run, "id long, vector binary, tree int, leaf int")
 
 
-def _asked(queries: DataFrame, forest: Forest, visits: float) -> DataFrame:
+def _asked(queries: DataFrame, forest: Forest, visits: float, least: int) -> DataFrame:
     """(id, vector, tree, leaf): the leaves in which each query looks."""
     shared = queries.sparkSession.sparkContext.broadcast(forest)
 
@@ -173,7 +176,7 @@ def _asked(queries: DataFrame, forest: Forest, visits: float) -> DataFrame:
         for batch in batches:
             for at, vector in zip(batch.column("id").to_pylist(), batch.column("values").to_pylist()):
                 query = np.array(vector, np.float64)
-                found = shared.value.search(query, visits)
+                found = shared.value.search(query, visits, least)
                 if found:
                     tree, leaf = zip(*found)
                     yield pa.RecordBatch.from_arrays(
@@ -243,7 +246,7 @@ def nearest(
     for row in members.groupBy("tree", "leaf").count().collect():
         sizes[row["tree"], row["leaf"]] = row["count"]
     forest.sizes = sizes
-    asked = _asked(rows.where(queries), forest, visits)
+    asked = _asked(rows.where(queries), forest, visits, k + 1)
     chunks = vectors.sparkSession.createDataFrame(
         [(t, leaf, -(-int(n) // CHUNK)) for t, line in enumerate(sizes) for leaf, n in enumerate(line) if n],
         "tree int, leaf int, chunks int",

@@ -353,6 +353,15 @@ def test_forest_recall_ties_and_odd_vectors(files):
     assert forest_search.nearest(files([], "vec_id long, embedding array<double>"), F.col("id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("n", [10, 30])
+def test_forest_fills_the_ranks_of_small_tables(files, n):
+    draw = np.random.default_rng(n)
+    rows = [(i, draw.normal(size=64).tolist()) for i in range(n)]
+    table = files(rows, "vec_id long, embedding array<double>")
+    found = Counter(r.query_id for r in forest_search.nearest(table, F.col("id") >= 0).collect())
+    assert found == dict.fromkeys(range(n), min(20, n - 1))
+
+
 def test_quality_votes(spark, docs, no_docs, files):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
