@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bin_completion, class_ngram, exact_dedup, forest_search, html_extract, license_scan,
-    lsh_forest, neighbour_quality, pivotal_mix, url_filter,
+    lsh_forest, mixture_packing, neighbour_quality, pivotal_mix, url_filter,
 )
 from .common import fold_of, ship, table
 
@@ -210,3 +210,12 @@ def op10_license_scan(spark, sf_dir) -> DataFrame:
     return license_scan.scan_licenses(
         table(spark, sf_dir, "documents"), doc_id, F.when(given, path), F.col("text")
     ).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op11_mixture_packing(spark, sf_dir) -> DataFrame:
+    path = public_tokenizers.path(TOKENIZER)
+    return mixture_packing.pack_mixture(table(spark, sf_dir, "documents"), path).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+        "offset", "source",
+    )
