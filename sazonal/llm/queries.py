@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bin_completion, class_ngram, exact_dedup, forest_search, html_extract, license_scan,
-    lsh_forest, mixture_packing, neighbour_quality, pivotal_mix, url_filter,
+    lsh_forest, mixture_packing, neighbour_quality, pivotal_mix, prefix_refinement, url_filter,
 )
 from .common import fold_of, ship, table
 
@@ -219,3 +219,50 @@ def op11_mixture_packing(spark, sf_dir) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
         "offset", "source",
     )
+
+
+@query(r"""
+    WITH texts AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+               regexp_extract_all(coalesce(text, ''), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+        FROM documents),
+    words AS (
+        SELECT row, lang, source, translate(unnest(found), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz') AS term FROM texts),
+    counted AS MATERIALIZED (
+        SELECT lang, source, term, count(*) AS n, count(DISTINCT row) AS docs FROM words GROUP BY ALL),
+    kept AS MATERIALIZED (
+        SELECT lang, term, sum(n)::HUGEINT AS n FROM counted GROUP BY ALL HAVING sum(docs) >= 10),
+    groups AS (SELECT DISTINCT lang, source FROM texts),
+    sizes AS (
+        SELECT g.lang, g.source, coalesce(sum(c.n), 0)::HUGEINT AS total
+        FROM groups g LEFT JOIN (SELECT counted.* FROM counted JOIN kept USING (lang, term)) c
+            USING (lang, source) GROUP BY ALL),
+    langs AS (SELECT lang, count(*)::HUGEINT AS kept, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+    shares AS MATERIALIZED (
+        SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+               1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (s.total + 2 * l.kept) AS p
+        FROM sizes s JOIN langs l USING (lang) JOIN kept k USING (lang)
+        LEFT JOIN counted c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+    pairs AS (
+        SELECT a.lang, a.source, b.source AS item,
+               sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+        GROUP BY ALL),
+    all_pairs AS (
+        SELECT a.lang, a.source, b.source AS item, coalesce(p.value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+    overused AS (
+        SELECT s.lang, s.source, s.term AS item, ((s.p - q) * (s.p - q)) // (s.p + q) AS value
+        FROM shares s JOIN (
+            SELECT k.lang, k.term, 1 + (1000000000::HUGEINT * (k.n + 2)) // (l.total + 2 * l.kept) AS q
+            FROM kept k JOIN langs l USING (lang)) o USING (lang, term)
+        WHERE s.n > 0 AND s.p > q),
+    both_parts AS (SELECT *, 'pair' AS part FROM all_pairs UNION ALL SELECT *, 'term' AS part FROM overused)
+    SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+        FROM both_parts)
+    WHERE part = 'pair' OR rank <= 10""")
+def op12_prefix_refinement(spark, sf_dir) -> DataFrame:
+    return prefix_refinement.divergence(table(spark, sf_dir, "documents"))
