@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from . import (
     bin_completion, class_ngram, exact_dedup, forest_search, html_extract, license_scan,
-    lsh_forest, mixture_packing, neighbour_quality, pivotal_mix, prefix_refinement, url_filter,
+    lsh_forest, mixture_packing, neighbour_quality, phrase_trie, pivotal_mix, prefix_refinement,
+    url_filter,
 )
 from .common import fold_of, ship, table
 
@@ -266,3 +267,44 @@ def op11_mixture_packing(spark, sf_dir) -> DataFrame:
     WHERE part = 'pair' OR rank <= 10""")
 def op12_prefix_refinement(spark, sf_dir) -> DataFrame:
     return prefix_refinement.divergence(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+    WITH texts AS MATERIALIZED (
+        SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents),
+    pieces AS MATERIALIZED (
+        SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM texts),
+    totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM pieces GROUP BY lang),
+    grams AS (
+        SELECT lang, m, w, unnest(range(1, len(w) - m + 2)) AS i
+        FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(w) >= m),
+    counts AS MATERIALIZED (
+        SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*)::HUGEINT AS f
+        FROM grams GROUP BY ALL HAVING count(*) >= 100),
+    split AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE m > 1),
+    cuts AS (
+        SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS first,
+               array_to_string(w[k + 1:], ' ') AS rest
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM split)),
+    scored AS (
+        SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r, n, (1000 * c.a * n) // (x.f * y.f) AS score,
+               row_number() OVER (PARTITION BY c.lang, c.phrase
+                                  ORDER BY (1000 * c.a * n) // (x.f * y.f), k) AS cut
+        FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.first
+        JOIN counts y ON y.lang = c.lang AND y.phrase = c.rest JOIN totals t ON t.lang = c.lang),
+    inner_parts AS (
+        SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(f) AS longer
+        FROM (SELECT *, unnest(range(1, m - size + 2)) AS i
+              FROM (SELECT *, unnest(range(2, m)) AS size FROM split)) GROUP BY ALL),
+    kept AS (
+        SELECT s.* FROM scored s LEFT JOIN inner_parts i USING (lang, phrase)
+        WHERE cut = 1 AND (i.longer IS NULL OR 100 * i.longer < 100 * s.a))
+    SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+           score::BIGINT AS score
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+          FROM kept) WHERE rank <= 2000""")
+def op13_phrase_trie(spark, sf_dir) -> DataFrame:
+    return phrase_trie.collocations(table(spark, sf_dir, "documents"))
