@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import bisect
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -47,59 +48,65 @@ SHOWN = {byte: chr(256 + at) for at, byte in enumerate(_HIDDEN)}
 class WordEncoder:
     """Ids of whole texts from ids of their words.
 
-    The tokenizer drops white space and never joins across it, so the ids of a text are the
-    ids of its words in a row. A word of Latin letters with ASCII marks after them is two
-    tokens of the first split, which are looked up by themselves, without regard to case;
-    any other word goes through the tokenizer whole. Tables of known words are emptied when
-    they are full, so memory is bounded.
+    The tokenizer lower-cases, drops white space and never joins across it, so the ids of a
+    text are the ids of its words in a row. A word of Latin letters with ASCII marks after
+    them is two tokens of the first split, which are looked up by themselves; any other word
+    goes through the tokenizer whole. A full table of known words is set aside as the last
+    one, from which words that come again move to the next; long words are not kept. So
+    common words stay, and the bytes of both tables are bounded.
     """
 
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{-~]*)")
-    KNOWN = 200_000
+    PLAIN = re.compile("([a-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{-~]*)")
+    #: Words of a table, and bytes of the longest of them.
+    KNOWN, LONGEST = 150_000, 40
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.known: dict[bytes, bytes] = {}
+        self.last: dict[bytes, bytes] = {}
 
     def encode(self, raw: bytes) -> bytes:
         """Little-endian 32-bit ids of a text given in UTF-8."""
-        words = raw.split()
-        known = self.words
-        try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            pass
-        if len(known) > self.KNOWN:
-            known.clear()
-        return b"".join([known.get(word) or self._word(word) for word in words])
-
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        plain = self.PLAIN.fullmatch(text)
-        if plain is None:
-            ids = self._whole(text)
-        else:
-            ids = self._part(plain[1].lower())
-            if plain[2]:
-                ids += self._part(plain[2])
-        self.words[word] = ids
+        words = raw.lower().split()
+        ids = list(map(self.known.get, words))
+        if None in ids:
+            look_up = self._look_up
+            ids = [one if one is not None else look_up(word) for one, word in zip(ids, words)]
+        return b"".join(ids)
+
+    def _look_up(self, word: bytes) -> bytes:
+        ids = self.known.get(word)
+        if ids is not None:
+            return ids
+        ids = self.last.get(word)
+        if ids is None:
+            ids = self._part(word.decode()) if word.isalpha() else self._word(word.decode())
+        if len(word) <= self.LONGEST:
+            if len(self.known) >= self.KNOWN:
+                self.known, self.last = {}, self.known
+            self.known[word] = ids
         return ids
 
+    def _word(self, word: str) -> bytes:
+        plain = self.PLAIN.fullmatch(word.lower())
+        if plain is None:
+            return _bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        letters, marks = plain.groups()
+        if marks:
+            return self._look_up(letters.encode()) + self._look_up(marks.encode())
+        return self._part(letters)
+
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            if len(self.parts) > self.KNOWN:
-                self.parts.clear()
-            tokens = self.tokenizer.model.tokenize(part.encode().decode("latin-1").translate(SHOWN))
-            ids = np.array([token.id for token in tokens], "<u4").tobytes()
-            self.parts[part] = ids
-        return ids
+        # Visible ASCII stands for itself.
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(SHOWN)
+        return _bytes([token.id for token in self.model.tokenize(shown)])
+
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
