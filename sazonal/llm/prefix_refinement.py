@@ -8,7 +8,7 @@ is kept or discarded for good and is extended no further. The levels end when no
 prefix is left. Long tails of rare terms are dropped as a few short prefixes and never become
 rows of their own.
 
-Tasks know which prefixes are left from a Bloom filter of bounded size. What it lets through
+A last pass counts the kept terms by source. Tasks know which prefixes are left from a Bloom filter of bounded size. What it lets through
 wrongly lies below a discarded prefix, is in too few documents as well, and is discarded by
 the count of the next level: results are exact whatever the filter does.
 """
@@ -37,8 +37,8 @@ PARTS = 1_000_000_000
 #: log2 of the bits of a filter: at least, and at most (32 MB; at 30 million prefixes one in
 #: fifty others passes).
 FEWEST_BITS, MOST_BITS = 18, 28
-#: Counted prefixes that a task holds before it hands them on.
-HELD = 200_000
+#: Counts that a task holds before it hands them on, and terms whose fate it remembers.
+HELD = 300_000
 #: Byte that ends a complete term; no term holds it.
 END = b"\x00"
 
@@ -100,83 +100,118 @@ def alive_filter(left: DataFrame) -> np.ndarray:
     return out
 
 
-def _counted(rows: DataFrame, level: int, before: int, alive) -> DataFrame:
-    """(lang, source, prefix, docs, n) of one level, added up within a task: documents that
-    hold the prefix, and occurrences of complete terms. Incomplete prefixes have no source."""
+class Fates(dict):
+    """What becomes of a term at a level, by term: its longer prefix, or None where its shorter
+    one is discarded. Emptied when full."""
+
+    def __init__(self, lang: bytes, level: int, before: int, left: Alive | None):
+        super().__init__()
+        self.lang, self.level, self.before, self.left = lang, level, before, left
+
+    def __missing__(self, term: bytes) -> bytes | None:
+        prefix = (term + END)[: self.level]
+        if self.left is not None:
+            # Terms within the level before were complete there.
+            shorter = term[: self.before]
+            if len(shorter) < self.before or Alive.key(self.lang, shorter) not in self.left:
+                prefix = None
+        if len(self) >= HELD:
+            self.clear()
+        self[term] = prefix
+        return prefix
+
+
+class Kept(dict):
+    """A term itself, or None where it is surely not kept, by term. Emptied when full."""
+
+    def __init__(self, lang: bytes, left: Alive):
+        super().__init__()
+        self.lang, self.left = lang, left
+
+    def __missing__(self, term: bytes) -> bytes | None:
+        kept = term if Alive.key(self.lang, term + END) in self.left else None
+        if len(self) >= HELD:
+            self.clear()
+        self[term] = kept
+        return kept
+
+
+class Tally:
+    """Counters by group that are handed on as rows (*group, key, n) when they hold much."""
+
+    def __init__(self, *names: str):
+        self.names = names
+        self.counters: dict[tuple, Counter] = {}
+        self.size = 0
+
+    def add(self, group: tuple, keys) -> None:
+        counter = self.counters.get(group)
+        if counter is None:
+            counter = self.counters[group] = Counter()
+        self.size -= len(counter)
+        counter.update(keys)
+        self.size += len(counter)
+
+    def rows(self, least: int = 0) -> Iterator[pa.RecordBatch]:
+        if self.size <= least:
+            return
+        for group, counter in self.counters.items():
+            counter.pop(None, None)
+            if counter:
+                columns = [pa.array([part] * len(counter), pa.binary()) for part in group]
+                columns += [pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=self.names)
+        self.counters, self.size = {}, 0
+
+
+def _prefix_counts(rows: DataFrame, level: int, before: int, alive) -> DataFrame:
+    """(lang, prefix, docs) of one level, added up within a task: documents with the prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = Alive(alive.value) if alive else None
-        docs: Counter = Counter()
-        occurrences: Counter = Counter()
-        # Whether a term's shorter prefix is left; emptied when full.
-        known: dict[bytes, bool] = {}
-
-        def held() -> pa.RecordBatch:
-            keys = list(docs)
-            lang, source, prefix = zip(*keys)
-            out = pa.RecordBatch.from_arrays(
-                [
-                    pa.array(lang, pa.binary()), pa.array(source, pa.binary()),
-                    pa.array(prefix, pa.binary()), pa.array(list(docs.values()), pa.int64()),
-                    pa.array([occurrences.get(key, 0) for key in keys], pa.int64()),
-                ],
-                names=["lang", "source", "prefix", "docs", "n"],
-            )
-            docs.clear()
-            occurrences.clear()
-            return out
+        fates: dict[bytes, Fates] = {}
+        tally = Tally("lang", "prefix", "docs")
+        for batch in batches:
+            for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw")):
+                if lang not in fates:
+                    fates[lang] = Fates(lang, level, before, left)
+                terms = set(terms_of(raw.as_py()))
+                tally.add((lang,), set(map(fates[lang].__getitem__, terms)))
+                yield from tally.rows(HELD)
+        yield from tally.rows()
+
+    return rows.select("lang", "raw").mapInArrow(run, "lang binary, prefix binary, docs long")
+
+
+def _term_counts(rows: DataFrame, alive) -> DataFrame:
+    """(lang, source, term, n), added up within a task: occurrences of terms of the filter."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = Alive(alive.value)
+        kept: dict[bytes, Kept] = {}
+        tally = Tally("lang", "source", "term", "n")
         for batch in batches:
-            columns = (batch.column(name) for name in ("lang", "source", "raw"))
-            for lang, source, raw in zip(*columns):
-                lang, source = lang.as_py(), source.as_py()
-                counts = Counter(terms_of(raw.as_py()))
-                longer = set()
-                for term, n in counts.items():
-                    if left is not None:
-                        # Terms within the level before were complete there.
-                        if len(term) < before:
-                            continue
-                        key = Alive.key(lang, term[:before])
-                        passes = known.get(key)
-                        if passes is None:
-                            if len(known) > HELD:
-                                known.clear()
-                            passes = known[key] = key in left
-                        if not passes:
-                            continue
-                    if len(term) < level:
-                        key = (lang, source, term + END)
-                        docs[key] += 1
-                        occurrences[key] += n
-                    else:
-                        longer.add(term[:level])
-                for prefix in longer:
-                    docs[lang, None, prefix] += 1
-                if len(docs) > HELD:
-                    yield held()
-        if docs:
-            yield held()
-
-    return rows.mapInArrow(run, "lang binary, source binary, prefix binary, docs long, n long")
-
-
-def kept_terms(
-    rows: DataFrame, least: int = LEAST, first: int = FIRST
-) -> DataFrame:
-    """(lang, term, counts) of the terms in at least ``least`` documents of their language,
-    from rows (lang, source, raw) of bytes; ``counts`` lists (source, n) for the sources they
-    occur in. All are bytes."""
+            groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
+            for (lang, source), raw in zip(groups, batch.column("raw")):
+                if lang not in kept:
+                    kept[lang] = Kept(lang, left)
+                tally.add((lang, source), map(kept[lang].__getitem__, terms_of(raw.as_py())))
+                yield from tally.rows(HELD)
+        yield from tally.rows()
+
+    return rows.mapInArrow(run, "lang binary, source binary, term binary, n long")
+
+
+def kept_terms(rows: DataFrame, least: int = LEAST, first: int = FIRST) -> DataFrame:
+    """(lang, term) of the terms in at least ``least`` documents of their language, from rows
+    (lang, raw) of bytes."""
     spark = rows.sparkSession
     found: DataFrame | None = None
     level, before, alive = first, 0, None
     while True:
-        per_source = _counted(rows, level, before, alive).repartition("lang", "prefix").groupBy(
-            "lang", "prefix", "source"
-        ).agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
         counted = stored(
-            per_source.groupBy("lang", "prefix").agg(
-                F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("counts")
+            _prefix_counts(rows, level, before, alive).groupBy("lang", "prefix").agg(
+                F.sum("docs").alias("docs")
             ).where(F.col("docs") >= least),
             f"refinement-{level}",
         )
@@ -184,7 +219,7 @@ def kept_terms(
             alive.destroy()
         complete = F.substring("prefix", -1, 1) == F.lit(END)
         terms = counted.where(complete).select(
-            "lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term"), "counts"
+            "lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term")
         )
         found = terms if found is None else found.unionByName(terms)
         left = counted.where(~complete).select("lang", "prefix")
@@ -194,6 +229,16 @@ def kept_terms(
         level, before = 2 * level, level
 
 
+def occurrences(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """(lang, source, term, n) of the kept terms in rows (lang, source, raw) of bytes."""
+    ends = F.concat("term", F.lit(END)).alias("prefix")
+    alive = rows.sparkSession.sparkContext.broadcast(alive_filter(kept.select("lang", ends)))
+    counts = _term_counts(rows, alive).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    out = stored(counts.join(kept, ["lang", "term"], "left_semi"), "term-counts")
+    alive.destroy()
+    return out
+
+
 # The audit -----------------------------------------------------------------------------
 
 
@@ -236,7 +281,7 @@ def divergence(
         given(lang_col).alias("lang"), given(source_col).alias("source"), given(text_col).alias("raw")
     )
     kept = stored(kept_terms(rows, least), "kept-terms")
-    counts = kept.select("lang", "term", F.inline("counts"))
+    counts = occurrences(rows, kept)
     every = rows.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("rows"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("own"))
     kept_per_lang = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"))
@@ -282,9 +327,7 @@ def divergence(
         "lang", "source", "item"
     ).agg(F.sum("value").alias("value")).withColumn("part", F.lit("pair"))
 
-    whole = kept.select(
-        "lang", "term", F.aggregate("counts", F.lit(0).cast("long"), lambda total, one: total + one["n"]).alias("n")
-    )
+    whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"))
     lang_totals = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("kept").alias("kept"))
     overall = whole.join(lang_totals, "lang").select(
         "lang", "term", _share(F.col("n"), F.col("total"), F.col("kept")).alias("q")

@@ -204,8 +204,9 @@ def test_refinement_is_exact_through_a_full_filter(files, monkeypatch):
     rows = [(f"word{i:04d} common{i % 30:03d}", "en", "s") for i in range(3000)]
     raw = files(rows, "text string, lang string, source string").select(
         *[F.col(c).cast("binary").alias(n) for c, n in (("lang", "lang"), ("source", "source"), ("text", "raw"))])
-    kept = {bytes(r.term).decode(): r.counts[0].n for r in prefix_refinement.kept_terms(raw).collect()}
-    assert kept["common"] == kept["word"] == 3000
+    kept = prefix_refinement.kept_terms(raw)
+    counts = {bytes(r.term).decode(): r.n for r in prefix_refinement.occurrences(raw, kept).collect()}
+    assert counts == {"common": 3000, "word": 3000}
     full = [(f"{a}{b}{c}{d}stem", "en", "s") for a in "abcdefgh" for b in "abcdefgh" for c in "abcdefgh" for d in "abcd"]
     raw = files(full, "text string, lang string, source string").select(
         *[F.col(c).cast("binary").alias(n) for c, n in (("lang", "lang"), ("source", "source"), ("text", "raw"))])
