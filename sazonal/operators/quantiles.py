@@ -1,173 +1,155 @@
 """Exact quantiles of columns of any length.
 
-Spark's exact ``percentile`` keeps all distinct values in one task, so it is used only
-for columns of checked size. For longer columns each pass counts the rows around two
-values that should enclose the wanted rank and sketches what lies between them; the
-sketch gives the two values of the next pass. Only the counts decide where the rank
-is, so the result is exact. All columns share each pass.
+Doubles are read as 64-bit whole numbers in the same order. A pass counts 16 bits of them:
+the first the upper ones of all values, the next ones the following 16 of the values that
+share the upper bits of a wanted rank. After four passes every rank is known to the last bit.
+All columns, ranks and groups share each pass; a pass shuffles counts, and only the digits of
+the wanted ranks reach the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.missing import finite
 
-# Values, over all columns of a pass, that may be held in one task.
-MAX_HELD_VALUES = 2_000_000
-# Values between two probes that are read instead of narrowed further, per rank.
-MAX_GATHERED_VALUES = 50_000
-SKETCH_ACCURACY = 10_000
-SKETCH_STEPS = 400
-SKETCH_GRID = "array(" + ", ".join(f"{i / SKETCH_STEPS}D" for i in range(SKETCH_STEPS + 1)) + ")"
-
-
-@dataclass
-class _Rank:
-    """The value at a 0-based rank, known to lie strictly between ``low`` and ``high``."""
-
-    col: str
-    rank: int
-    inside: int
-    below: int = 0
-    low: float = -math.inf
-    high: float = math.inf
-    probe: tuple[float, float] | None = None
-    value: float | None = None
-
-    def between(self) -> Column:
-        low, high = self.probe or (self.low, self.high)
-        return (F.col(self.col) > F.lit(low)) & (F.col(self.col) < F.lit(high))
-
-    def aggregates(self) -> dict[str, Column]:
-        """Named aggregates of the next pass; ranks close together share theirs."""
-        c = F.col(self.col)
-        inside = F.when(self.between(), c)
-        sketch = F.percentile_approx(inside, F.expr(SKETCH_GRID), SKETCH_ACCURACY)
-        out = {self.sketch_name: sketch}
-        for v in self.probe or ():
-            out[f"<{self.col}<{v!r}"] = F.count_if(c < F.lit(v))
-            out[f"<={self.col}<={v!r}"] = F.count_if(c <= F.lit(v))
-        return out
-
-    @property
-    def sketch_name(self) -> str:
-        low, high = self.probe or (self.low, self.high)
-        return f"sketch {self.col} {low!r} {high!r}"
-
-    def read(self, row: dict) -> None:
-        counts = [row[f"{op}{self.col}{op}{v!r}"] for v in self.probe or () for op in ("<", "<=")]
-        self.update(counts, row[self.sketch_name])
-
-    def update(self, counts: list[int], sketch: list[float] | None) -> None:
-        if self.probe:
-            a, b = self.probe
-            under_a, upto_a, under_b, upto_b = counts
-            landed = False
-            if under_a <= self.rank < upto_a:
-                self.value = a
-            elif under_b <= self.rank < upto_b:
-                self.value = b
-            elif self.rank < under_a:
-                self.high, self.inside = a, under_a - self.below
-            elif self.rank >= upto_b:
-                self.low, self.inside = b, self.inside - (upto_b - self.below)
-                self.below = upto_b
-            else:
-                self.low, self.high, landed = a, b, True
-                self.below, self.inside = upto_a, under_b - upto_a
-            if not landed:
-                sketch = None
-        self.probe = self._next_probe(sketch) if sketch and self.value is None else None
-
-    def _next_probe(self, sketch: list[float]) -> tuple[float, float]:
-        margin = 4.0 / SKETCH_ACCURACY
-        at = (self.rank - self.below) / self.inside
-        first = math.floor((at - margin) * SKETCH_STEPS)
-        last = math.ceil((at + 1.0 / self.inside + margin) * SKETCH_STEPS)
-        return sketch[max(first, 0)], sketch[min(last, SKETCH_STEPS)]
-
-
-def _held(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], width: int
-) -> dict[str, list]:
-    """Spark's exact percentiles, ``width`` columns at a time."""
-    grid = F.array(*[F.lit(float(p)) for p in probs])
-    out = {}
-    for start in range(0, len(cols), width):
-        part = cols[start : start + width]
-        row = df.agg(*[F.percentile(c, grid).alias(f"q{i}") for i, c in enumerate(part)]).first()
-        for c, values in zip(part, row):
-            out[c] = [None] * len(probs) if values is None else list(values)
-    return out
-
-
-def _pick(df: DataFrame, ranks: list[_Rank]) -> None:
-    """Read ranks whose interval holds few values from those values."""
-    picks = [
-        F.element_at(
-            F.sort_array(F.collect_list(F.when(r.between(), F.col(r.col)))),
-            r.rank - r.below + 1,
-        ).alias(f"v{i}")
-        for i, r in enumerate(ranks)
+DIGIT_BITS, PASSES = 16, 4
+_SIGN = np.uint64(1 << 63)
+
+
+def ordered_bits(values: np.ndarray) -> np.ndarray:
+    """Doubles as unsigned 64-bit numbers in the same order; both zeros are one."""
+    bits = (values + 0.0).view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
+
+
+def from_bits(bits: int) -> float:
+    raw = bits ^ (1 << 63) if bits >> 63 else ~bits & (1 << 64) - 1
+    return float(np.array([raw], np.uint64).view(np.float64)[0])
+
+
+def _digits(df: DataFrame, cols: int, step: int, prefixes: list[np.ndarray]) -> DataFrame:
+    """(col, segment, at, digit, n): counts of the digits of one step among the values whose
+    upper bits are the column's prefix number ``at``."""
+    upper, shift = np.uint64(64 - DIGIT_BITS * step if step else 0), np.uint64(64 - DIGIT_BITS * (step + 1))
+    mask = np.uint64((1 << DIGIT_BITS) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            segments = batch.column("segment").to_numpy(zero_copy_only=False)
+            parts = []
+            for col in range(cols):
+                column = batch.column(f"x{col}")
+                there = column.is_valid().to_numpy(zero_copy_only=False)
+                keys = ordered_bits(column.drop_null().to_numpy(zero_copy_only=False))
+                held = segments[there].astype(np.int64)
+                known = prefixes[col]
+                if not len(known):
+                    continue
+                at = np.zeros(len(keys), np.int64)
+                if step:
+                    top = keys >> upper
+                    at = np.minimum(np.searchsorted(known, top), len(known) - 1)
+                    mine = known[at] == top
+                    at, keys, held = at[mine], keys[mine], held[mine]
+                digit = (keys >> shift & mask).astype(np.int64)
+                code, n = np.unique((held * len(known) + at) << DIGIT_BITS | digit, return_counts=True)
+                where, digit = code >> DIGIT_BITS, code & int(mask)
+                parts.append((np.full(len(n), col), where // len(known), where % len(known), digit, n))
+            if parts:
+                columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*parts)]
+                yield pa.RecordBatch.from_arrays(columns, names=["col", "segment", "at", "digit", "n"])
+
+    return df.mapInArrow(run, "col long, segment long, at long, digit long, n long")
+
+
+def grouped_quantiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    segment: Column,
+    bounds: Sequence[int],
+) -> list[dict[str, list[float | None]]]:
+    """Exact quantiles over the rows with ``segment`` below each of ``bounds``, in four passes
+    for all of them. Rows without a segment take no part."""
+    cols = list(cols)
+    if not cols or not bounds:
+        return [{c: [None] * len(probs) for c in cols} for _ in bounds]
+    values = df.select(
+        segment.cast("long").alias("segment"),
+        *[finite(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)],
+    ).where(F.col("segment") < max(bounds))
+    # Per column, group and rank: upper bits known so far, and the rank among the values with them.
+    known: dict[tuple[int, int, int], tuple[int, int]] = {}
+    totals: dict[tuple[int, int], int] = {}
+    prefixes = [np.zeros(1, np.uint64) for _ in cols]
+    groups = F.array(*[F.struct(F.lit(i).alias("group"), F.lit(b).alias("bound")) for i, b in enumerate(bounds)])
+    for step in range(PASSES):
+        counts = (
+            _digits(values, len(cols), step, prefixes)
+            .groupBy("col", "segment", "at", "digit").agg(F.sum("n").alias("n"))
+            .select("*", F.inline(groups)).where(F.col("segment") < F.col("bound"))
+            .groupBy("col", "group", "at", "digit").agg(F.sum("n").alias("n"))
+        )
+        same = Window.partitionBy("col", "group", "at")
+        counts = counts.withColumn("below", F.sum("n").over(same.orderBy("digit")) - F.col("n"))
+        if step == 0:
+            counts = counts.withColumn("total", F.sum("n").over(same))
+            ranks = F.flatten(F.array(*[
+                F.array(end(F.lit(float(p)) * (F.col("total") - 1)).cast("long"))
+                for p in probs for end in (F.floor, F.ceil)
+            ]))
+            placed = counts.withColumn("rank", F.explode(F.array_distinct(ranks))).withColumn(
+                "left", F.col("rank")
+            )
+        else:
+            wanted = df.sparkSession.createDataFrame(
+                [
+                    (c, g, int(np.searchsorted(prefixes[c], np.uint64(bits))), rank, left)
+                    for (c, g, rank), (bits, left) in known.items()
+                ],
+                "col long, group int, at long, rank long, left long",
+            )
+            placed = counts.withColumn("total", F.lit(0)).join(wanted, ["col", "group", "at"])
+        inside = (F.col("below") <= F.col("left")) & (F.col("left") < F.col("below") + F.col("n"))
+        for row in placed.where(inside).collect():
+            key = row["col"], row["group"], row["rank"]
+            bits = known[key][0] if step else 0
+            known[key] = bits << DIGIT_BITS | row["digit"], row["left"] - row["below"]
+            if step == 0:
+                totals[row["col"], row["group"]] = row["total"]
+        prefixes = [
+            np.array(sorted({bits for (c, *_), (bits, _) in known.items() if c == col}), np.uint64)
+            for col in range(len(cols))
+        ]
+        if not known:
+            break
+
+    def quantile(col: int, group: int, p: float) -> float | None:
+        if (col, group) not in totals:
+            return None
+        at = p * (totals[col, group] - 1)
+        low, high = (from_bits(known[col, group, end(at)][0]) for end in (math.floor, math.ceil))
+        return low + (high - low) * (at - math.floor(at))
+
+    return [
+        {c: [quantile(i, group, float(p)) for p in probs] for i, c in enumerate(cols)}
+        for group in range(len(bounds))
     ]
-    for r, value in zip(ranks, df.agg(*picks).first()):
-        r.value = value
 
 
 def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float] = (0.25, 0.5, 0.75),
-    max_held: int = MAX_HELD_VALUES,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column's values; null, NaN and infinite ones
     are missing."""
-    cols = list(cols)
-    if not cols:
-        return {}
-    df = df.select(*[finite(F.col(c).cast("double")).alias(c) for c in cols])
-    rows = df.count()
-    if rows <= max_held:
-        return _held(df, cols, probs, max(1, max_held // max(rows, 1)))
-    totals = dict(zip(cols, df.agg(*[F.count(c) for c in cols]).first()))
-    out = _held(df, [c for c in cols if totals[c] <= max_held], probs, 1)
-
-    long_ = [c for c in cols if c not in out]
-    wanted = {(c, p): p * (totals[c] - 1) for c in long_ for p in probs}
-    ranks = {}
-    for (c, _), at in wanted.items():
-        for k in (math.floor(at), math.ceil(at)):
-            ranks.setdefault((c, k), _Rank(c, k, totals[c]))
-    pending = list(ranks.values())
-    while pending:
-        aggregates = {k: v for r in pending for k, v in r.aggregates().items()}
-        row = dict(zip(aggregates, df.agg(*aggregates.values()).first()))
-        for r in pending:
-            before = (r.low, r.high, r.inside, r.probe)
-            r.read(row)
-            if r.value is None and (r.low, r.high, r.inside, r.probe) == before:
-                raise RuntimeError(f"rank {r.rank} of {r.col} cannot be narrowed")
-        pending = [r for r in pending if r.value is None]
-        few = [r for r in pending if r.inside <= min(max_held, MAX_GATHERED_VALUES)]
-        for r in few:
-            r.probe = None
-        if few:
-            _pick(df, few)
-        pending = [r for r in pending if r.value is None]
-
-    for c in long_:
-        out[c] = []
-        for p in probs:
-            at = wanted[c, p]
-            low, high = ranks[c, math.floor(at)].value, ranks[c, math.ceil(at)].value
-            out[c].append(low + (high - low) * (at - math.floor(at)))
-    return out
+    return grouped_quantiles(df, cols, probs, F.lit(0), [1])[0]
 
 
 def most_frequent(df: DataFrame, col: str):

@@ -21,9 +21,8 @@ def rows(spark):
     return spark.createDataFrame([(v,) for v in values], "x double")
 
 
-@pytest.mark.parametrize("held", [1_000, 5])
-def test_quantiles_end_on_nonfinite_values(rows, held):
-    assert exact_quantiles(rows, ["x"], (0.0, 0.5, 0.9, 1.0), max_held=held)["x"] == pytest.approx([0.0, 9.5, 17.1, 19.0])
+def test_quantiles_end_on_nonfinite_values(rows):
+    assert exact_quantiles(rows, ["x"], (0.0, 0.5, 0.9, 1.0))["x"] == pytest.approx([0.0, 9.5, 17.1, 19.0])
 
 
 def test_profiles_skip_nonfinite_values(rows):
