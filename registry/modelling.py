@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sazonal.models import evaluate as E
 from sazonal.models.components import pca_variance
+from sazonal.models.folds import expanding_scores, ridge_block_scores
 from sazonal.models.forest import importance_table
 from sazonal.models.linear import coefficient_table, fit_linear, ridge_loo
 from sazonal.models.preprocess import fit_preprocessor
@@ -14,10 +15,12 @@ from sazonal.models.split import (
     block_folds,
     chronological_split,
     label_split,
+    row_blocks,
     row_folds,
     row_split,
     split_summary,
     time_folds,
+    time_segments,
 )
 from sazonal.operators.profile import scaling_check
 from sazonal.operators.schema import union_all
@@ -328,11 +331,46 @@ def fold_fits(n: int) -> str:
 def cross_validation(spark, sf_dir):
     """Expanding folds by date: fitted, imputed and scaled inside each fold only."""
     train, _ = chronological_split(_lines(spark, sf_dir), "data", 0.2)
-    parts, predictor = E.linear_fit(["x1"], "y", E.LinearParams())
-    cv = E.cross_validate(train, time_folds(train), lambda t: predictor(*parts(t)), "y")
+    segment, folds = time_segments(train)
+    cv, _ = expanding_scores(train, ["x1"], "y", segment, folds, E.fold_metrics)
     return _rounded_metrics(cv)
 
 
+BLOCK_ALPHAS = (0.1, 1000.0, 1000000.0)
+
+
+@query(f"""
+    WITH lines AS (
+        SELECT l_quantity AS x, round(l_extendedprice) AS y, row_number() OVER (
+                   ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1 AS pos,
+               count(*) OVER () AS n FROM lineitem),
+    blocks AS (SELECT *, CAST(CASE WHEN pos < (n // 5 + 1) * (n % 5) THEN pos // (n // 5 + 1)
+                                   ELSE (pos - n % 5) // (n // 5) END AS INTEGER) + 1 AS block FROM lines),
+    fits AS (
+        SELECT k AS fold, count(*) AS m, avg(x) AS mx, avg(y) AS my,
+               count(*) * var_pop(x) AS sxx, count(*) * covar_pop(x, y) AS sxy
+        FROM blocks, (SELECT unnest(range(1, 6)) AS k) WHERE block <> k GROUP BY 1),
+    e AS (
+        SELECT fold, alpha, block = fold AS held, y - my - (x - mx) * sxy / (sxx + alpha) AS e,
+               1 - 1.0 / m - (x - mx) ** 2 / (sxx + alpha) AS room
+        FROM blocks, fits, (SELECT unnest({list(BLOCK_ALPHAS)}::DOUBLE[]) AS alpha)),
+    scored AS (
+        SELECT fold, alpha, sum(abs(e / room)) FILTER (NOT held) AS out, count(*) FILTER (held) AS rows,
+               sqrt(avg(e * e) FILTER (held)) AS rmse
+        FROM e GROUP BY 1, 2)
+    SELECT CAST(fold AS INTEGER) AS fold, arg_min(alpha, out) AS alpha, arg_min(rows, out) AS rows,
+           round(arg_min(rmse, out), 4) AS rmse
+    FROM scored GROUP BY 1""")
+def block_fold_rmse(spark, sf_dir):
+    """Ridge on unshuffled blocks, its penalty chosen anew without each of them."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.col("l_quantity").alias("x"), F.round("l_extendedprice").alias("y"),
+    )
+    placed, block = row_blocks(lines, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 5)
+    return rounded(ridge_block_scores(placed, ["x"], "y", block, 5, BLOCK_ALPHAS), {"rmse": 4})
+
+
 @query(f"""
     WITH {SPLIT}, placed AS (SELECT train.*, i AS pos, (SELECT count(DISTINCT data) FROM train) AS n
                              FROM train JOIN dates USING (data)),

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from ..functions.dates import with_date
 from ..operators.schema import union_all
 from ..sinks import new_run_id, run_folder, write_dataset, write_predictions, write_report
+from .folds import add_medians, expanding_scores, sum_segments
 from .forest import ForestModel, fit_forest, importance_table
 from .linear import LinearModel, coefficient_table, fit_linear
 from .preprocess import Preprocessor, fit_preprocessor
-from .split import Fold, chronological_split, row_folds, row_split, time_folds
+from .split import (
+    Fold, chronological_split, row_folds, row_segments, row_split, time_segments,
+)
 
 # Fits whose jobs run at the same time.
 MAX_SIDE_BY_SIDE = 4
@@ -123,8 +126,7 @@ def cross_validate(
     The folds' jobs share the cluster side by side; all folds are scored in one job.
     """
     if not folds:
-        schema = f"fold int, {METRIC_FIELDS.replace(':', '')}"
-        return df.sparkSession.createDataFrame([], schema)
+        return no_folds(df.sparkSession)
 
     def score(fold: Fold) -> DataFrame:
         predict = fit(df.where(fold.train))
@@ -133,12 +135,7 @@ def cross_validate(
 
     with ThreadPoolExecutor(max_workers=min(MAX_SIDE_BY_SIDE, len(folds))) as pool:
         scored = list(pool.map(score, folds))
-    return regression_metrics(union_all(scored), by=["fold"]).orderBy("fold")
-
-
-def mean_folds(fold_metrics: DataFrame) -> DataFrame:
-    """Mean of each metric over the folds."""
-    return fold_metrics.agg(*[F.avg(m).alias(m) for m in METRICS])
+    return fold_metrics(union_all(scored))
 
 
 @dataclass
@@ -259,67 +256,95 @@ def report_frame(spark: SparkSession, report: dict[str, Any]) -> DataFrame:
     return spark.createDataFrame([report], REPORT_SCHEMA)
 
 
-def _train(df, target, params, kind, make_fit, ranking, order_by) -> TrainResult:
+def _parts(df: DataFrame, test_size: float, order_by: Sequence[str]):
+    """Training and test rows, and whether dates part them."""
     dated = with_date(df)
-    by_date = "data" in dated.columns
-    if by_date:
-        train, test = chronological_split(dated, "data", params.test_size)
-    elif order_by:
-        train, test = row_split(dated, order_by, params.test_size)
-    else:
+    if "data" in dated.columns:
+        return *chronological_split(dated, "data", test_size), True
+    if not order_by:
         raise ValueError("Rows without a date need order_by.")
-    features = [c for c in dated.columns if c not in (target, "data")]
-    parts, predictor = make_fit(features, target, params)
-    # The training rows feed every fold's fit and score.
+    return *row_split(dated, order_by, test_size), False
+
+
+def no_folds(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], f"fold int, {METRIC_FIELDS.replace(':', '')}")
+
+
+def fold_metrics(scored: DataFrame) -> DataFrame:
+    return regression_metrics(scored, by=["fold"]).orderBy("fold")
+
+
+def train_linear(
+    df: DataFrame,
+    target: str = "casos_dengue",
+    params: dict[str, Any] | LinearParams | None = None,
+    order_by: Sequence[str] = (),
+) -> TrainResult:
+    """Split by date, cross-validate by date, fit, predict the test part, report.
+
+    The folds and the final fit share their passes over the training rows (``folds``).
+    """
+    p = resolve(LinearParams, params)
+    train, test, by_date = _parts(df, p.test_size, order_by)
+    features = [c for c in train.columns if c not in (target, "data")]
+    how = {"intercept": p.fit_intercept, "positive": p.positive, "scale": p.scale_features}
+    _, predictor = linear_fit(features, target, p)
     train = train.persist()
     try:
-        folds, framed, by_fold_date = [], train, False
-        if params.n_splits >= 2:
-            if by_date and kind == "LinearRegression":
-                folds, by_fold_date = time_folds(train, "data", params.n_splits), True
-            else:
-                framed, folds = row_folds(
-                    train, ["data"] if by_date else order_by, params.n_splits
-                )
-        cv = cross_validate(framed, folds, lambda t: predictor(*parts(t)), target)
+        placed, segment, k = train, F.lit(0), 0
+        if p.n_splits >= 2 and by_date:
+            segment, k = time_segments(train, "data", p.n_splits)
+        elif p.n_splits >= 2:
+            placed, segment, k = row_segments(train, order_by, p.n_splits)
+        if k:
+            cv, fits = expanding_scores(placed, features, target, segment, k, fold_metrics, **how)
+        else:
+            cv, fits = no_folds(df.sparkSession), sum_segments(placed, features, target, segment)
         started = time.perf_counter()
-        model, prep = parts(train)
+        add_medians(fits, placed, segment, [k + 1], fits.numbers)
+        model, prep = fits.fit(range(k + 1), **how)
         seconds = time.perf_counter() - started
-        date_col = "data" if kind == "LinearRegression" else None
-        predictions = prediction_table(predictor(model, prep)(test), target, date_col=date_col)
+        predictions = prediction_table(predictor(model, prep)(test), target, date_col="data")
         report = build_report(
-            kind, params, train, test, target, len(features), cv,
-            regression_metrics(predictions), seconds, ranking(model, train), by_fold_date,
+            "LinearRegression", p, train, test, target, len(features), cv,
+            regression_metrics(predictions), seconds, coefficient_table(model, train), by_date and k > 0,
         )
     finally:
         train.unpersist()
     return TrainResult(model, prep, report, predictions)
 
 
-def train_linear(
-    df: DataFrame,
-    target: str = "casos_dengue",
-    params: dict[str, Any] | LinearParams | None = None,
-    order_by: Sequence[str] = (),
-) -> TrainResult:
-    """Split by date, cross-validate by date, fit, predict the test part, report."""
-    return _train(
-        df, target, resolve(LinearParams, params), "LinearRegression", linear_fit,
-        coefficient_table, order_by,
-    )
-
-
 def train_forest(
     df: DataFrame,
     target: str = "casos_dengue",
     params: dict[str, Any] | ForestParams | None = None,
     order_by: Sequence[str] = (),
 ) -> TrainResult:
-    """As ``train_linear`` with a forest, folds by row, and the year left out."""
-    return _train(
-        df, target, resolve(ForestParams, params), "RandomForestRegressor", forest_fit,
-        importance_table, order_by,
-    )
+    """As ``train_linear`` with a forest, folds by row, and the year left out. Rows of one date
+    stand in the order of their other columns, so a row's fold does not vary."""
+    p = resolve(ForestParams, params)
+    train, test, by_date = _parts(df, p.test_size, order_by)
+    features = [c for c in train.columns if c not in (target, "data")]
+    parts, predictor = forest_fit(features, target, p)
+    # The training rows feed every fold's fit and score.
+    train = train.persist()
+    try:
+        folds, framed = [], train
+        if p.n_splits >= 2:
+            order = ["data", *[c for c in train.columns if c != "data"]] if by_date else order_by
+            framed, folds = row_folds(train, order, p.n_splits)
+        cv = cross_validate(framed, folds, lambda t: predictor(*parts(t)), target)
+        started = time.perf_counter()
+        model, prep = parts(train)
+        seconds = time.perf_counter() - started
+        predictions = prediction_table(predictor(model, prep)(test), target, date_col=None)
+        report = build_report(
+            "RandomForestRegressor", p, train, test, target, len(features), cv,
+            regression_metrics(predictions), seconds, importance_table(model, train), False,
+        )
+    finally:
+        train.unpersist()
+    return TrainResult(model, prep, report, predictions)
 
 
 def save_run(result: TrainResult, base: str, kind: str | None = None) -> dict[str, str]:

@@ -1,7 +1,7 @@
 """Least squares from a Gram matrix that Spark sums up.
 
-One pass over the centred features and target gives all their products, added up tree
-wise on the executors; only a small square matrix reaches the driver, which solves it.
+One pass over the centred features and target gives all their products, added up on the
+executors; only a small square matrix reaches the driver, which solves it.
 """
 
 from __future__ import annotations
@@ -11,16 +11,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .products import segment_products
+
 # Relative size below which an eigenvalue of the Gram matrix counts as zero.
 RANK_TOLERANCE = 1e-12
-# Up to this many columns the products are plain sums of one aggregate.
-MAX_SUM_COLUMNS = 16
 
 
 @dataclass(frozen=True)
@@ -49,21 +46,10 @@ def column_means(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray]:
 
 def gram(df: DataFrame, cols: Sequence[str], centre: Sequence[float] | None = None) -> np.ndarray:
     """Sums of products of all column pairs, optionally of centred columns."""
-    cols = list(cols)
-    if centre is not None:
-        df = df.select(
-            *[(F.col(c).cast("double") - F.lit(float(m))).alias(c) for c, m in zip(cols, centre)]
-        )
-    if len(cols) <= MAX_SUM_COLUMNS:
-        upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-        sums = df.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])) for i, j in upper]).first()
-        out = np.zeros((len(cols), len(cols)))
-        for (i, j), value in zip(upper, sums):
-            out[i, j] = out[j, i] = 0.0 if value is None else value
-        return out
-    vectors = VectorAssembler(inputCols=cols, outputCol="v").transform(df).select("v")
-    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"), 0, len(cols))
-    return rows.computeGramianMatrix().toArray()
+    centre = [0.0] * len(cols) if centre is None else centre
+    centred = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(cols, centre)]
+    found = segment_products(df, centred, F.lit(0))
+    return found[0].gram[:-1, :-1] if found else np.zeros((len(cols), len(cols)))
 
 
 def moments(
@@ -84,10 +70,11 @@ def moments(
         centre = [0.0] * len(cols)
     elif centre is None:
         centre = column_means(df, cols)[1]
-    g = gram(df.withColumn("_one", F.lit(1.0)), [*cols, "_one"], [*centre, 0.0])
-    n = int(round(g[-1, -1]))
-    if not n:
+    centred = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(cols, centre)]
+    found = segment_products(df, centred, F.lit(0))
+    if not found:
         raise ValueError("Cannot fit a model on no rows.")
+    g, n = found[0].gram, found[0].rows
     means = np.zeros(len(cols))
     products = g[:-1, :-1]
     if fit_intercept:
@@ -122,6 +109,13 @@ def non_negative_solve(g: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x
 
 
+def solve(g: np.ndarray, b: np.ndarray, positive: bool = False) -> np.ndarray:
+    """Coefficients from the products of the features, of minimum norm when they depend."""
+    if positive:
+        return non_negative_solve(g, b)
+    return np.linalg.pinv(g, rcond=RANK_TOLERANCE, hermitian=True) @ b
+
+
 def fit_linear(
     df: DataFrame,
     features: Sequence[str],
@@ -135,10 +129,7 @@ def fit_linear(
     ``positive`` keeps all coefficients at or above zero.
     """
     _, g, b, x_mean, y_mean = moments(df, features, target, fit_intercept, centre)
-    if positive:
-        w = non_negative_solve(g, b)
-    else:
-        w = np.linalg.pinv(g, rcond=RANK_TOLERANCE, hermitian=True) @ b
+    w = solve(g, b, positive)
     intercept = y_mean - float(x_mean @ w) if fit_intercept else 0.0
     return LinearModel(tuple(features), tuple(float(v) for v in w), intercept)
 

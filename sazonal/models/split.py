@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +14,11 @@ from pyspark.sql import functions as F
 from ..operators.series import positions
 
 
+def cut_by(value: Column, starts: Sequence[Column]) -> Column:
+    """How many of the ascending ``starts`` a value has reached; null for null."""
+    return reduce(add, [(value >= s).cast("int") for s in starts], F.lit(0))
+
+
 @dataclass(frozen=True)
 class Fold:
     """One fold as two row predicates."""
@@ -34,7 +41,7 @@ def split_index(n: int, test_size: float) -> int:
 
 def _check(test_size: float) -> None:
     if not 0 < test_size < 1:
-        raise ValueError("test_size must be between 0 and 1.")
+        raise ValueError(f"A test_size between 0 and 1 is needed, not {test_size}.")
 
 
 def chronological_split(
@@ -45,13 +52,14 @@ def chronological_split(
     No date is in both parts; rows without a date are dropped.
     """
     _check(test_size)
-    if len(df.limit(3).take(3)) < 3:
-        raise ValueError("At least 3 rows are required for a train/test split.")
-    dates = unique_dates(df, date_col)
+    day = F.col(date_col).cast("date")
+    rows = {r.d: r["count"] for r in df.groupBy(day.alias("d")).count().collect()}
+    if sum(rows.values()) < 3:
+        raise ValueError("Too few to split: it takes 3 rows.")
+    dates = sorted(d for d in rows if d is not None)
     if len(dates) < 3:
-        raise ValueError("At least 3 unique dates are required for a chronological split.")
+        raise ValueError("Too few to split: it takes 3 unique dates.")
     cutoff = F.lit(dates[split_index(len(dates), test_size)])
-    day = F.col(date_col).cast("date")
     return df.where(day < cutoff), df.where(day >= cutoff)
 
 
@@ -62,7 +70,7 @@ def row_split(
     _check(test_size)
     n = df.count()
     if n < 3:
-        raise ValueError("At least 3 rows are required for a train/test split.")
+        raise ValueError("Too few to split: it takes 3 rows.")
     at = split_index(n, test_size)
     placed = positions(df, order_by, **how)
     return (
@@ -92,6 +100,40 @@ def time_folds(df: DataFrame, date_col: str = "data", n_splits: int = 5) -> list
     return folds
 
 
+def time_segments(df: DataFrame, date_col: str = "data", n_splits: int = 5) -> tuple[Column, int]:
+    """The folds of ``time_folds`` as segments: fold j is fitted on the segments before j and
+    scored on segment j. Returns each row's segment, and the number of folds."""
+    dates = unique_dates(df, date_col)
+    k = min(n_splits, len(dates) - 1)
+    if len(dates) < 3 or k < 2:
+        return F.lit(0), 0
+    starts = [F.lit(dates[first]) for _, first, _ in expanding_bounds(len(dates), k)]
+    return cut_by(F.col(date_col).cast("date"), starts), k
+
+
+def row_segments(
+    df: DataFrame, order_by: Sequence[str], n_splits: int = 5, **how
+) -> tuple[DataFrame, Column, int]:
+    """The folds of ``row_folds`` as segments; the frame has ``_pos``."""
+    placed = positions(df, order_by, **how)
+    n = df.count()
+    k = min(n_splits, max(0, n - 1))
+    if k < 2:
+        return placed, F.lit(0), 0
+    starts = [F.lit(first) for _, first, _ in expanding_bounds(n, k)]
+    return placed, cut_by(F.col("_pos"), starts), k
+
+
+def row_blocks(
+    df: DataFrame, order_by: Sequence[str], n_splits: int = 5, **how
+) -> tuple[DataFrame, Column]:
+    """The blocks of ``block_folds``, numbered from 0; the frame has ``_pos``."""
+    placed = positions(df, order_by, **how)
+    base, extra = divmod(df.count(), n_splits)
+    starts = [F.lit(j * base + min(j, extra)) for j in range(1, n_splits)]
+    return placed, cut_by(F.col("_pos"), starts)
+
+
 def row_folds(
     df: DataFrame, order_by: Sequence[str], n_splits: int = 5, **how
 ) -> tuple[DataFrame, list[Fold]]:

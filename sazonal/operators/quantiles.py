@@ -81,6 +81,8 @@ def grouped_quantiles(
     cols = list(cols)
     if not cols or not bounds:
         return [{c: [None] * len(probs) for c in cols} for _ in bounds]
+    if len(bounds) == 1:
+        segment, bounds = F.when(segment < bounds[0], F.lit(0)), [1]
     values = df.select(
         segment.cast("long").alias("segment"),
         *[finite(F.col(c).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)],
@@ -91,12 +93,14 @@ def grouped_quantiles(
     prefixes = [np.zeros(1, np.uint64) for _ in cols]
     groups = F.array(*[F.struct(F.lit(i).alias("group"), F.lit(b).alias("bound")) for i, b in enumerate(bounds)])
     for step in range(PASSES):
+        # Groups reach back over segments, so a count belongs to several of them.
         counts = (
             _digits(values, len(cols), step, prefixes)
             .groupBy("col", "segment", "at", "digit").agg(F.sum("n").alias("n"))
             .select("*", F.inline(groups)).where(F.col("segment") < F.col("bound"))
-            .groupBy("col", "group", "at", "digit").agg(F.sum("n").alias("n"))
         )
+        if len(bounds) > 1:
+            counts = counts.groupBy("col", "group", "at", "digit").agg(F.sum("n").alias("n"))
         same = Window.partitionBy("col", "group", "at")
         counts = counts.withColumn("below", F.sum("n").over(same.orderBy("digit")) - F.col("n"))
         if step == 0:
@@ -109,13 +113,11 @@ def grouped_quantiles(
                 "left", F.col("rank")
             )
         else:
-            wanted = df.sparkSession.createDataFrame(
-                [
-                    (c, g, int(np.searchsorted(prefixes[c], np.uint64(bits))), rank, left)
-                    for (c, g, rank), (bits, left) in known.items()
-                ],
-                "col long, group int, at long, rank long, left long",
+            wanted = ", ".join(
+                f"({c}, {g}, {int(np.searchsorted(prefixes[c], np.uint64(bits)))}, {rank}, {left})"
+                for (c, g, rank), (bits, left) in known.items()
             )
+            wanted = df.sparkSession.sql(f"SELECT * FROM VALUES {wanted} AS t(col, `group`, at, rank, left)")
             placed = counts.withColumn("total", F.lit(0)).join(wanted, ["col", "group", "at"])
         inside = (F.col("below") <= F.col("left")) & (F.col("left") < F.col("below") + F.col("n"))
         for row in placed.where(inside).collect():

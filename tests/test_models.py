@@ -115,9 +115,7 @@ def numbers(spark):
     return x, y, frame(spark, {"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y})
 
 
-@pytest.mark.parametrize("columns", [16, 0])
-def test_least_squares(spark, numbers, columns, monkeypatch):
-    monkeypatch.setattr(L, "MAX_SUM_COLUMNS", columns)
+def test_least_squares(spark, numbers):
     x, y, df = numbers
     want = np.linalg.lstsq(np.c_[x, np.ones(len(y))], y, rcond=None)[0]
     model = L.fit_linear(df, ["a", "b", "c"], "y")

@@ -62,7 +62,8 @@ def test_groups_share_the_passes(spark):
     rows = [(draw.randrange(5), draw.choice([None, draw.uniform(-9, 9)]), float(draw.randrange(40))) for _ in range(900)]
     df = spark.createDataFrame(rows, "s int, x double, `y.z` double").withColumnRenamed("y.z", "y")
     found = grouped_quantiles(df, ["x", "y"], (0.5, 0.9), F.col("s"), [1, 3, 5])
-    for bound, got in zip([1, 3, 5], found):
+    found += grouped_quantiles(df, ["x", "y"], (0.5, 0.9), F.col("s"), [4])
+    for bound, got in zip([1, 3, 5, 4], found):
         for at, name in ((1, "x"), (2, "y")):
             held = [r[at] for r in rows if r[0] < bound and r[at] is not None]
             assert got[name] == pytest.approx(list(np.quantile(held, (0.5, 0.9))), rel=1e-12)
