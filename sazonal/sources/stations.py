@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.missing import text_columns
 from ..functions.text import decimal_comma
-from .headed import headers, raw_rows, read_headed
+from .headed import headers, read_headed
 
 # First cell of a station file's header row, and the files' encoding.
 HEADER_CELLS = ("data", "data_yyyy_mm_dd")
@@ -35,7 +35,7 @@ def sensors_as_numbers(table: DataFrame) -> DataFrame:
 
 def station_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """One row per station file with its header names."""
-    return headers(raw_rows(spark, paths, ";", ENCODING), HEADER_CELLS)
+    return headers(spark, paths, ";", ENCODING, HEADER_CELLS)
 
 
 def archive_members(spark: SparkSession, paths: str | Sequence[str], pattern: str) -> DataFrame:

@@ -12,7 +12,7 @@ from sazonal.plans.city import STATION_FILE, build_city
 from sazonal.reports.compare import compare_runs, search_summary
 from sazonal.sinks import json_records, save_search
 from sazonal.sources import files, notifications, resources, runs, stations
-from sazonal.sources.headed import file_catalogue
+from sazonal.sources.headed import file_catalogue, read_headed
 
 
 def test_required_files(spark, tmp_path):
@@ -95,8 +95,12 @@ def test_stations(spark, tmp_path):
     (tmp_path / "empty.CSV").write_text("")
     assert stations.station_headers(spark, str(tmp_path / "*.CSV")).count() == 2
     (tmp_path / "sem título.CSV").write_bytes("ESTAÇÃO;x\r\n1;2\r\n".encode("latin1"))
-    with pytest.raises(ValueError, match="No header row"):
+    for i in range(25):
+        (tmp_path / f"sem título {i}.CSV").write_bytes("ESTAÇÃO;x\r\n1;2\r\n".encode("latin1"))
+    with pytest.raises(ValueError, match="No header row") as lost:
         stations.station_headers(spark, str(tmp_path / "*.CSV"))
+    assert str(lost.value).count("sem%20t") == 26
+    assert "Join" not in table._jdf.queryExecution().executedPlan().toString()
     # A file without a column keeps its rows; the radiation column is ignored.
     daily = {r.municipio: r for r in panel_weather(table).collect()}
     assert daily["são x"].precipitacao_total_horario_mm == 0.5
@@ -243,3 +247,34 @@ def test_saved_search_reads_back(spark, tmp_path):
 def test_json_records(spark):
     df = spark.createDataFrame([(float("nan"), dt.datetime(2024, 1, 2))], "x double, t timestamp")
     assert json.loads(json_records(df).first().record) == {"x": None, "t": "2024-01-02 00:00:00"}
+
+
+def test_quoted_files_of_any_width(spark, tmp_path):
+    wide = [f"c{i}" for i in range(300)]
+    cells = [f'"{i};""x"""' for i in range(300)]
+    (tmp_path / "a [1].csv").write_text(";".join(wide) + "\n" + ";".join(cells) + "\n")
+    (tmp_path / "b.csv").write_text('"linha\numa";c299;c299\n"um\ndois";2;3\n4;5;6;7\n')
+    table = read_headed(spark, [str(tmp_path / "a \\[1\\].csv"), str(tmp_path / "b.csv")], quoted=True)
+    rows = {r.arquivo: r for r in table.collect() if r.linha_uma != "4"}
+    assert rows["a [1].csv"].c299 == '299;"x"' and rows["a [1].csv"].c0 == '0;"x"'
+    assert (rows["b.csv"].linha_uma, rows["b.csv"].c299, rows["b.csv"].c299_1, rows["b.csv"].c5) == ("um\ndois", "2", "3", None)
+    assert table.count() == 3
+
+
+def test_preambles_over_many_blocks(spark, tmp_path):
+    for name, preamble, n in (("x", 3, 4000), ("y", 0, 2500), ("z", 5, 1)):
+        lines = ["Data;repeated"] * 0 + [f"p{i};q" for i in range(preamble)] + ["Data;valor;"]
+        lines += [f"{name}{i};{i};" for i in range(n)] + ["Data;valor;"]
+        (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for key in before:
+            spark.conf.set(key, "4096")
+        table = read_headed(spark, str(tmp_path / "*.csv"), first_cells=["data"])
+        got = {(r.arquivo, r.data): r.valor for r in table.collect()}
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # The first header line counts; a later one like it is a row.
+    assert len(got) == 4000 + 2500 + 1 + 3
+    assert got["x.csv", "x3999"] == "3999" and got["z.csv", "Data"] == "valor"
