@@ -64,7 +64,7 @@ def chronological_split(
 
 
 def row_split(
-    df: DataFrame, order_by: Sequence[str], test_size: float = 0.2, **how
+    df: DataFrame, order_by: Sequence[str], test_size: float = 0.2
 ) -> tuple[DataFrame, DataFrame]:
     """Split by position in the given order."""
     _check(test_size)
@@ -72,7 +72,7 @@ def row_split(
     if n < 3:
         raise ValueError("Too few to split: it takes 3 rows.")
     at = split_index(n, test_size)
-    placed = positions(df, order_by, **how)
+    placed = positions(df, order_by)
     return (
         placed.where(F.col("_pos") < at).drop("_pos"),
         placed.where(F.col("_pos") >= at).drop("_pos"),
@@ -112,10 +112,10 @@ def time_segments(df: DataFrame, date_col: str = "data", n_splits: int = 5) -> t
 
 
 def row_segments(
-    df: DataFrame, order_by: Sequence[str], n_splits: int = 5, **how
+    df: DataFrame, order_by: Sequence[str], n_splits: int = 5
 ) -> tuple[DataFrame, Column, int]:
     """The folds of ``row_folds`` as segments; the frame has ``_pos``."""
-    placed = positions(df, order_by, **how)
+    placed = positions(df, order_by)
     n = df.count()
     k = min(n_splits, max(0, n - 1))
     if k < 2:
@@ -125,20 +125,20 @@ def row_segments(
 
 
 def row_blocks(
-    df: DataFrame, order_by: Sequence[str], n_splits: int = 5, **how
+    df: DataFrame, order_by: Sequence[str], n_splits: int = 5
 ) -> tuple[DataFrame, Column]:
     """The blocks of ``block_folds``, numbered from 0; the frame has ``_pos``."""
-    placed = positions(df, order_by, **how)
+    placed = positions(df, order_by)
     base, extra = divmod(df.count(), n_splits)
     starts = [F.lit(j * base + min(j, extra)) for j in range(1, n_splits)]
     return placed, cut_by(F.col("_pos"), starts)
 
 
 def row_folds(
-    df: DataFrame, order_by: Sequence[str], n_splits: int = 5, **how
+    df: DataFrame, order_by: Sequence[str], n_splits: int = 5
 ) -> tuple[DataFrame, list[Fold]]:
     """Expanding folds by row position; returns the frame with ``_pos`` and the folds."""
-    placed = positions(df, order_by, **how)
+    placed = positions(df, order_by)
     n = df.count()
     k = min(n_splits, max(0, n - 1))
     if k < 2:
@@ -151,10 +151,10 @@ def row_folds(
 
 
 def block_folds(
-    df: DataFrame, order_by: Sequence[str], n_splits: int = 5, **how
+    df: DataFrame, order_by: Sequence[str], n_splits: int = 5
 ) -> tuple[DataFrame, list[Fold]]:
     """Unshuffled blocks: each block is validated on a fit of all other rows."""
-    placed = positions(df, order_by, **how)
+    placed = positions(df, order_by)
     base, extra = divmod(df.count(), n_splits)
     pos, first, folds = F.col("_pos"), 0, []
     for j in range(n_splits):

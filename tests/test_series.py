@@ -74,30 +74,59 @@ def skewed(spark):
     )
 
 
+@pytest.fixture(scope="module", params=[(3, 10_000), (40, 7)])
+def borders(spark, request):
+    """Few parts in large batches; many parts, shorter than the windows, in small batches."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    before = {n: spark.conf.get(n) for n in names}
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    for name, value in zip(names, request.param):
+        spark.conf.set(name, value)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield request.param
+    for name, value in before.items():
+        spark.conf.set(name, value)
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 @pytest.mark.parametrize("keys", [[], ["k"]])
-def test_blocked_equals_plain(spark, skewed, keys):
-    small = {"max_series_rows": 100, "block_rows": 64}
+def test_borders_change_nothing(spark, skewed, borders, keys):
+    rows = skewed.where("id < 900") if borders[0] > 3 else skewed
     calls = [
-        lambda how: S.prior_window_mean(skewed, ["x"], ["t", "id"], keys, 5, **how),
-        lambda how: S.rolling_impute(skewed, ["x"], "median", 6, 2, ["t", "id"], keys, **how),
-        lambda how: S.add_lags(skewed, ["x"], (1, 7), ["t", "id"], keys, dropna=False, **how),
+        lambda how: S.prior_window_mean(rows, ["x"], ["t", "id"], keys, 5, **how),
+        lambda how: S.rolling_impute(rows, ["x"], "median", 6, 2, ["t", "id"], keys, **how),
+        lambda how: S.rolling_impute(rows, ["x"], "mean", 30, 2, ["t", "id"], keys, **how),
+        lambda how: S.add_lags(rows, ["x", "k"], (1, 7, 40), ["t", "id"], keys, dropna=False, **how),
     ]
     for call in calls:
-        plain = {r.id: r for r in call({}).collect()}
-        blocked = {r.id: r for r in call(small).collect()}
-        assert plain == blocked
+        plain = {r.id: r.asDict() for r in call({"bounded": True}).collect()}
+        parted = {r.id: r.asDict() for r in call({}).collect()}
+        assert plain.keys() == parted.keys()
+        for at, row in plain.items():
+            for name, value in row.items():
+                assert parted[at][name] == (pytest.approx(value, rel=1e-12) if isinstance(value, float) else value)
 
 
-def test_blocks_shorter_than_the_window(spark, skewed):
-    plain = S.prior_window_mean(skewed, ["x"], ["t", "id"], ["k"], 9)
-    tiny = S.prior_window_mean(
-        skewed, ["x"], ["t", "id"], ["k"], 9, max_series_rows=1, block_rows=4
-    )
-    assert sorted(map(str, plain.collect())) == sorted(map(str, tiny.collect()))
+def test_nothing_is_joined_or_shuffled_again(spark, skewed):
+    out = S.rolling_impute(skewed, ["x"], order_by=["t", "id"], partition_by=["k"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
 
 
-def test_positions_are_dense_beyond_one_task(spark, skewed):
-    placed = S.positions(skewed, ["t", "id"], max_series_rows=10)
+def test_positions_are_dense_beyond_one_task(spark, skewed, borders):
+    placed = S.positions(skewed, ["t", "id"])
     rows = placed.orderBy("_pos").collect()
     assert [r._pos for r in rows] == list(range(3000))
     assert [(r.t, r.id) for r in rows] == sorted((r.t, r.id) for r in rows)
+    by_key = {}
+    for r in S.positions(skewed, ["t", "id"], ["k"]).collect():
+        by_key.setdefault(r.k, []).append((r._pos, r.t, r.id))
+    for held in by_key.values():
+        held.sort()
+        assert [p for p, *_ in held] == list(range(len(held)))
+        assert [r[1:] for r in held] == sorted(r[1:] for r in held)
+
+
+def test_empty_series(spark, skewed):
+    assert S.positions(skewed.limit(0), ["t"]).count() == 0
+    assert S.prior_window_mean(skewed.limit(0), ["x"], ["t"]).count() == 0
