@@ -58,7 +58,7 @@ class WordEncoder:
 
     PLAIN = re.compile("([a-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:;=?@\\[-`{-~]*)")
     #: Words of a table, and bytes of the longest of them.
-    KNOWN, LONGEST = 150_000, 40
+    KNOWN, LONGEST = 240_000, 32
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

@@ -43,6 +43,7 @@ class Queue:
 
     def __init__(self, path: list[tuple[bool, int, int, int, int, int]], quanta: int):
         self.quanta = quanta
+        self.at, self.border = 0, (0, 0)
         self.odd_before = sum(odd for right, *_, odd in path if right)
         self.steps = []
         for right, own, other, own_weight, other_weight, _ in path:
@@ -51,20 +52,27 @@ class Queue:
             sides = (other, own, other_weight) if right else (own, other, own_weight)
             self.steps.append((right, *sides, own_weight + other_weight))
 
-    def share(self, first: int, last: int) -> tuple[int, int, int]:
-        """Of the quanta ``first`` to ``last`` served by the root: the queue's own first and
-        last, and how many of the others stand before them when a window lists its queues in
-        the order of the leaves."""
+    def served(self, n: int) -> tuple[int, int]:
+        """Of the first ``n`` quanta served by the root: the queue's own, and those of the
+        leaves before it."""
         before = 0
         for right, left, rest, weight, both in self.steps:
-            low = min(left, max(first - rest, (2 * first * weight + both) // (2 * both) if both else 0))
-            high = min(left, max(last - rest, (2 * last * weight + both) // (2 * both) if both else 0))
+            low = min(left, max(n - rest, (2 * n * weight + both) // (2 * both) if both else 0))
             if right:
-                before += high - low
-                first, last = first - low, last - high
+                before += low
+                n -= low
             else:
-                first, last = low, high
-        return first, last, before
+                n = low
+        return n, before
+
+    def share(self, first: int, last: int) -> tuple[int, int, int]:
+        """Of the quanta ``first`` to ``last`` served by the root: the queue's own first and
+        last, and how many of the others stand before them when a window lists its queues in
+        the order of the leaves."""
+        own, before = self.border if self.at == first else self.served(first)
+        # The next window begins where this one ends.
+        self.at, self.border = last, self.served(last)
+        return own, self.border[0], self.border[1] - before
 
     def turn(self, nth: int) -> int:
         """Which of the quanta served by the root is the queue's own ``nth``."""

@@ -16,8 +16,9 @@ the count of the next level: results are exact whatever the filter does.
 from __future__ import annotations
 
 import string
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +32,16 @@ from .common import stored, text_bytes
 #: Documents of its language that a kept term occurs in, at least.
 LEAST = 10
 #: Bytes of the first level's prefixes; every level doubles them.
-FIRST = 3
+FIRST = 6
 #: Parts that shares are counted in.
 PARTS = 1_000_000_000
 #: log2 of the bits of a filter: at least, and at most (32 MB; at 30 million prefixes one in
 #: fifty others passes).
 FEWEST_BITS, MOST_BITS = 18, 28
 #: Counts that a task holds before it hands them on, and terms whose fate it remembers.
-HELD = 300_000
+HELD = 400_000
+#: Terms of texts that are looked at together.
+TOGETHER = 100_000
 #: Byte that ends a complete term; no term holds it.
 END = b"\x00"
 
@@ -51,9 +54,11 @@ TERM_BYTES = bytes(
 
 
 def terms_of(raw: bytes) -> list[bytes]:
-    """Runs of letters and non-ASCII characters of a text in UTF-8, A-Z lower-cased."""
+    """Runs of letters and non-ASCII characters of a text in UTF-8, A-Z lower-cased, each with
+    ``END`` after it."""
     # Blanks are the only ASCII white space left, and bytes.split knows no other.
-    return raw.translate(TERM_BYTES).split()
+    text = (raw.translate(TERM_BYTES) + b" ").replace(b" ", b"\x00 ").replace(b" \x00", b" ")
+    return text.lstrip(END).split()
 
 
 # Prefixes that are left ----------------------------------------------------------------
@@ -64,23 +69,21 @@ class Alive:
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
-        self.mask = 8 * len(bits) - 1
+        self.mask = np.uint64(8 * len(bits) - 1)
 
-    @staticmethod
-    def key(lang: bytes, prefix: bytes) -> bytes:
-        return lang + END + prefix
-
-    def __contains__(self, key: bytes) -> bool:
+    def holds(self, lang: bytes, prefixes: list[bytes]) -> np.ndarray:
+        """Which of the prefixes may be left."""
+        head = lang + END
         # Spark's xxhash64 of a binary value.
-        value = xxhash.xxh64_intdigest(key, 42)
-        low, step = value & 0xFFFFFFFF, value >> 32 | 1
-        bits, mask = self.bits, self.mask
+        digests = map(xxhash.xxh64_intdigest, [head + prefix for prefix in prefixes], repeat(42))
+        value = np.fromiter(digests, np.uint64, len(prefixes))
+        place, step = value & np.uint64(0xFFFFFFFF), value >> np.uint64(32) | np.uint64(1)
+        out = np.ones(len(prefixes), bool)
         for _ in range(4):
-            at = low & mask
-            if not bits[at >> 3] >> (at & 7) & 1:
-                return False
-            low += step
-        return True
+            at = place & self.mask
+            out &= self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0
+            place = place + step
+        return out
 
 
 def alive_filter(left: DataFrame) -> np.ndarray:
@@ -100,40 +103,54 @@ def alive_filter(left: DataFrame) -> np.ndarray:
     return out
 
 
-class Fates(dict):
-    """What becomes of a term at a level, by term: its longer prefix, or None where its shorter
-    one is discarded. Emptied when full."""
+class Fates:
+    """What becomes of the terms of a language, by term: a key to count, or None. Found for
+    many terms at a time; emptied when full."""
+
+    def __init__(self, find: Callable[[list[bytes]], list[bytes | None]]):
+        self.find = find
+        self.known: dict[bytes, bytes | None] = {}
+
+    def of(self, groups: list) -> Callable[[bytes], bytes | None]:
+        """The look-up, with all terms of ``groups`` in it."""
+        if len(self.known) > HELD:
+            self.known = {}
+        new = list(set().union(*groups).difference(self.known))
+        self.known.update(zip(new, self.find(new)))
+        return self.known.__getitem__
+
+
+def longer_prefixes(lang: bytes, level: int, before: int, left: Alive):
+    """A term's prefix at a level, or None where its shorter one is discarded."""
 
-    def __init__(self, lang: bytes, level: int, before: int, left: Alive | None):
-        super().__init__()
-        self.lang, self.level, self.before, self.left = lang, level, before, left
+    def find(terms: list[bytes]) -> list[bytes | None]:
+        held = left.holds(lang, [term[:before] for term in terms]).tolist()
+        return [term[:level] if one else None for term, one in zip(terms, held)]
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        prefix = (term + END)[: self.level]
-        if self.left is not None:
-            # Terms within the level before were complete there.
-            shorter = term[: self.before]
-            if len(shorter) < self.before or Alive.key(self.lang, shorter) not in self.left:
-                prefix = None
-        if len(self) >= HELD:
-            self.clear()
-        self[term] = prefix
-        return prefix
+    return find
 
 
-class Kept(dict):
-    """A term itself, or None where it is surely not kept, by term. Emptied when full."""
+def kept_only(lang: bytes, left: Alive):
+    """A term without its end, or None where it is surely not kept."""
 
-    def __init__(self, lang: bytes, left: Alive):
-        super().__init__()
-        self.lang, self.left = lang, left
+    def find(terms: list[bytes]) -> list[bytes | None]:
+        return [term[:-1] if held else None for term, held in zip(terms, left.holds(lang, terms).tolist())]
 
-    def __missing__(self, term: bytes) -> bytes | None:
-        kept = term if Alive.key(self.lang, term + END) in self.left else None
-        if len(self) >= HELD:
-            self.clear()
-        self[term] = kept
-        return kept
+    return find
+
+
+def _together(batch: pa.RecordBatch, *names: str) -> Iterator[tuple[tuple, list[list[bytes]]]]:
+    """Terms of the texts of a batch by group, some texts at a time."""
+    groups: dict[tuple, list[list[bytes]]] = defaultdict(list)
+    size = 0
+    for group, raw in zip(zip(*(batch.column(n).to_pylist() for n in names)), batch.column("raw")):
+        terms = terms_of(raw.as_py())
+        groups[group].append(terms)
+        size += len(terms)
+        if size > TOGETHER:
+            yield from groups.items()
+            groups, size = defaultdict(list), 0
+    yield from groups.items()
 
 
 class Tally:
@@ -152,7 +169,7 @@ class Tally:
         counter.update(keys)
         self.size += len(counter)
 
-    def rows(self, least: int = 0) -> Iterator[pa.RecordBatch]:
+    def rows(self, least: int) -> Iterator[pa.RecordBatch]:
         if self.size <= least:
             return
         for group, counter in self.counters.items():
@@ -172,13 +189,20 @@ def _prefix_counts(rows: DataFrame, level: int, before: int, alive) -> DataFrame
         fates: dict[bytes, Fates] = {}
         tally = Tally("lang", "prefix", "docs")
         for batch in batches:
-            for lang, raw in zip(batch.column("lang").to_pylist(), batch.column("raw")):
-                if lang not in fates:
-                    fates[lang] = Fates(lang, level, before, left)
-                terms = set(terms_of(raw.as_py()))
-                tally.add((lang,), set(map(fates[lang].__getitem__, terms)))
+            for (lang,), texts in _together(batch, "lang"):
+                if left is None:
+                    found = ({term[:level] for term in set(terms)} for terms in texts)
+                else:
+                    if lang not in fates:
+                        fates[lang] = Fates(longer_prefixes(lang, level, before, left))
+                    # Terms up to the level before, with their end, were complete there.
+                    texts = [{term for term in terms if len(term) > before} for terms in texts]
+                    prefix = fates[lang].of(texts)
+                    found = (set(map(prefix, terms)) for terms in texts)
+                for prefixes in found:
+                    tally.add((lang,), prefixes)
                 yield from tally.rows(HELD)
-        yield from tally.rows()
+        yield from tally.rows(0)
 
     return rows.select("lang", "raw").mapInArrow(run, "lang binary, prefix binary, docs long")
 
@@ -188,16 +212,17 @@ def _term_counts(rows: DataFrame, alive) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = Alive(alive.value)
-        kept: dict[bytes, Kept] = {}
+        fates: dict[bytes, Fates] = {}
         tally = Tally("lang", "source", "term", "n")
         for batch in batches:
-            groups = zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist())
-            for (lang, source), raw in zip(groups, batch.column("raw")):
-                if lang not in kept:
-                    kept[lang] = Kept(lang, left)
-                tally.add((lang, source), map(kept[lang].__getitem__, terms_of(raw.as_py())))
+            for (lang, source), texts in _together(batch, "lang", "source"):
+                if lang not in fates:
+                    fates[lang] = Fates(kept_only(lang, left))
+                kept = fates[lang].of(texts)
+                for terms in texts:
+                    tally.add((lang, source), map(kept, terms))
                 yield from tally.rows(HELD)
-        yield from tally.rows()
+        yield from tally.rows(0)
 
     return rows.mapInArrow(run, "lang binary, source binary, term binary, n long")
 
@@ -310,7 +335,7 @@ def divergence(
     both = shares.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "none")).alias("held"))
     met = both.select("lang", "held", F.inline("held")).select(
         "lang", "source", "p", "none", F.explode("held").alias("other")
-    ).where(F.col("source") != F.col("other.source")).select(
+    ).where(F.col("source") < F.col("other.source")).select(
         "lang", "source", "p", "none", F.col("other.source").alias("item"),
         F.col("other.p").alias("q"), F.col("other.none").alias("other_none"),
     )
@@ -322,10 +347,10 @@ def divergence(
         "lang", "source", "item",
         F.coalesce(F.col("kept") * _apart(none, other_none), F.lit(0)).alias("value"),
     )
-    swapped = one_side.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value")
-    pairs = base.unionByName(one_side).unionByName(swapped).unionByName(two_sides).groupBy(
-        "lang", "source", "item"
-    ).agg(F.sum("value").alias("value")).withColumn("part", F.lit("pair"))
+    # Both directions of a pair are worth the same.
+    changes = one_side.unionByName(two_sides).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    swapped = changes.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value")
+    pairs = base.unionByName(changes).unionByName(swapped).groupBy("lang", "source", "item").agg(F.sum("value").alias("value")).withColumn("part", F.lit("pair"))
 
     whole = counts.groupBy("lang", "term").agg(F.sum("n").alias("n"))
     lang_totals = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("kept").alias("kept"))
