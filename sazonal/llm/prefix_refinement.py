@@ -3,10 +3,9 @@
 Which terms occur in enough documents is found level by level on byte prefixes. The first
 level counts the documents of each short prefix; prefixes in too few documents are discarded
 with every term below them, and only terms below the others are extended to the next, longer
-level. A term's end counts as one more byte, so a prefix that holds it is a complete term: it
-is kept or discarded for good and is extended no further. The levels end when no incomplete
-prefix is left. Long tails of rare terms are dropped as a few short prefixes and never become
-rows of their own.
+level. A prefix shorter than its level is a complete term: it is kept or discarded for good.
+The levels end when no incomplete prefix is left. Long tails of rare terms are dropped as a
+few short prefixes and never become rows of their own.
 
 A last pass counts the kept terms by source. Tasks know which prefixes are left from a Bloom filter of bounded size. What it lets through
 wrongly lies below a discarded prefix, is in too few documents as well, and is discarded by
@@ -31,8 +30,8 @@ from .common import stored, text_bytes
 
 #: Documents of its language that a kept term occurs in, at least.
 LEAST = 10
-#: Bytes of the first level's prefixes; every level doubles them.
-FIRST = 6
+#: Bytes of the first level's prefixes, and how many times longer each next level's are.
+FIRST, LONGER = 6, 4
 #: Parts that shares are counted in.
 PARTS = 1_000_000_000
 #: log2 of the bits of a filter: at least, and at most (32 MB; at 30 million prefixes one in
@@ -42,8 +41,8 @@ FEWEST_BITS, MOST_BITS = 18, 28
 HELD = 400_000
 #: Terms of texts that are looked at together.
 TOGETHER = 100_000
-#: Byte that ends a complete term; no term holds it.
-END = b"\x00"
+#: Byte between a language and a prefix; no term holds it.
+CUT = b"\x00"
 
 _LETTERS = string.ascii_lowercase.encode()
 #: Letters to lower case, all other ASCII to blanks; bytes of further characters stay.
@@ -54,11 +53,9 @@ TERM_BYTES = bytes(
 
 
 def terms_of(raw: bytes) -> list[bytes]:
-    """Runs of letters and non-ASCII characters of a text in UTF-8, A-Z lower-cased, each with
-    ``END`` after it."""
+    """Runs of letters and non-ASCII characters of a text in UTF-8, A-Z lower-cased."""
     # Blanks are the only ASCII white space left, and bytes.split knows no other.
-    text = (raw.translate(TERM_BYTES) + b" ").replace(b" ", b"\x00 ").replace(b" \x00", b" ")
-    return text.lstrip(END).split()
+    return raw.translate(TERM_BYTES).split()
 
 
 # Prefixes that are left ----------------------------------------------------------------
@@ -73,7 +70,7 @@ class Alive:
 
     def holds(self, lang: bytes, prefixes: list[bytes]) -> np.ndarray:
         """Which of the prefixes may be left."""
-        head = lang + END
+        head = lang + CUT
         # Spark's xxhash64 of a binary value.
         digests = map(xxhash.xxh64_intdigest, [head + prefix for prefix in prefixes], repeat(42))
         value = np.fromiter(digests, np.uint64, len(prefixes))
@@ -91,7 +88,7 @@ def alive_filter(left: DataFrame) -> np.ndarray:
     only its 4 KB parts reach the driver."""
     number = left.count()
     power = min(MOST_BITS, max(FEWEST_BITS, (16 * number).bit_length()))
-    value = F.xxhash64(F.concat("lang", F.lit(END), "prefix"))
+    value = F.xxhash64(F.concat("lang", F.lit(CUT), "prefix"))
     low, step = value.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(value, 32).bitwiseOR(F.lit(1))
     places = F.array(*[(low + nth * step).bitwiseAND((1 << power) - 1) for nth in range(4)])
     parts = left.select(F.explode(places).alias("at")).groupBy(
@@ -131,10 +128,10 @@ def longer_prefixes(lang: bytes, level: int, before: int, left: Alive):
 
 
 def kept_only(lang: bytes, left: Alive):
-    """A term without its end, or None where it is surely not kept."""
+    """A term itself, or None where it is surely not kept."""
 
     def find(terms: list[bytes]) -> list[bytes | None]:
-        return [term[:-1] if held else None for term, held in zip(terms, left.holds(lang, terms).tolist())]
+        return [term if held else None for term, held in zip(terms, left.holds(lang, terms).tolist())]
 
     return find
 
@@ -195,8 +192,8 @@ def _prefix_counts(rows: DataFrame, level: int, before: int, alive) -> DataFrame
                 else:
                     if lang not in fates:
                         fates[lang] = Fates(longer_prefixes(lang, level, before, left))
-                    # Terms up to the level before, with their end, were complete there.
-                    texts = [{term for term in terms if len(term) > before} for terms in texts]
+                    # Shorter terms were complete at the level before.
+                    texts = [{term for term in terms if len(term) >= before} for terms in texts]
                     prefix = fates[lang].of(texts)
                     found = (set(map(prefix, terms)) for terms in texts)
                 for prefixes in found:
@@ -242,23 +239,25 @@ def kept_terms(rows: DataFrame, least: int = LEAST, first: int = FIRST) -> DataF
         )
         if alive:
             alive.destroy()
-        complete = F.substring("prefix", -1, 1) == F.lit(END)
-        terms = counted.where(complete).select(
-            "lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term")
-        )
+        complete = F.octet_length("prefix") < level
+        terms = counted.where(complete).select("lang", F.col("prefix").alias("term"))
         found = terms if found is None else found.unionByName(terms)
         left = counted.where(~complete).select("lang", "prefix")
         if left.isEmpty():
             return found
         alive = spark.sparkContext.broadcast(alive_filter(left))
-        level, before = 2 * level, level
+        level, before = LONGER * level, level
 
 
 def occurrences(rows: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, term, n) of the kept terms in rows (lang, source, raw) of bytes."""
-    ends = F.concat("term", F.lit(END)).alias("prefix")
-    alive = rows.sparkSession.sparkContext.broadcast(alive_filter(kept.select("lang", ends)))
-    counts = _term_counts(rows, alive).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"))
+    alive = rows.sparkSession.sparkContext.broadcast(
+        alive_filter(kept.select("lang", F.col("term").alias("prefix")))
+    )
+    # Tasks have added up what they could; rows go to where their term is.
+    counts = _term_counts(rows, alive).repartition("lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("n").alias("n")
+    )
     out = stored(counts.join(kept, ["lang", "term"], "left_semi"), "term-counts")
     alive.destroy()
     return out
@@ -268,9 +267,14 @@ def occurrences(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def _share(count: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(PARTS (count + 2) / (total + 2 kept)), in whole numbers."""
-    over = ((count + 2).cast("decimal(19,0)") * F.lit(PARTS).cast("decimal(10,0)")).alias("over")
-    return F.call_function("div", over, (total + 2 * kept).cast("decimal(20,0)")) + 1
+    """1 + floor(PARTS (count + 2) / (total + 2 kept)), by long division in steps of 1000; exact
+    while the total is below 9e15."""
+    left, size = count + 2, total + 2 * kept
+    out = F.call_function("div", left, size)
+    for _ in range(3):
+        left = (left % size) * 1000
+        out = out * 1000 + F.call_function("div", left, size)
+    return out + 1
 
 
 def _apart(p: Column, q: Column) -> Column:
@@ -278,6 +282,50 @@ def _apart(p: Column, q: Column) -> Column:
     return F.call_function("div", (p - q) * (p - q), p + q)
 
 
+def _apart_numbers(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    return (p - q) * (p - q) // (p + q)
+
+
+def _met(both: DataFrame) -> DataFrame:
+    """(lang, source, item, value) added up by batch, from (lang, held): for each two sources
+    that hold a term, the first smaller, what the term changes beyond what each side does."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = batch.column("held")
+            n = held.value_lengths().to_numpy()
+            rows = held.flatten()
+            if not len(rows):
+                continue
+            sources, langs = rows.field("source").dictionary_encode(), batch.column("lang").dictionary_encode()
+            code = sources.indices.to_numpy()
+            p, none = (rows.field(name).to_numpy() for name in ("p", "none"))
+            # Every entry beside all later ones of its term; entries are sorted by source.
+            ends = np.repeat(np.cumsum(n), n)
+            later = ends - np.arange(len(code)) - 1
+            a = np.repeat(np.arange(len(code)), later)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(later) - later, later)
+            value = (
+                _apart_numbers(p[a], p[b]) - _apart_numbers(p[a], none[b])
+                - _apart_numbers(none[a], p[b]) + _apart_numbers(none[a], none[b])
+            )
+            width = len(sources.dictionary)
+            lang = np.repeat(langs.indices.to_numpy(), n)[a].astype(np.int64)
+            keys, at = np.unique((lang * width + code[a]) * width + code[b], return_inverse=True)
+            sums = np.zeros(len(keys), np.int64)
+            np.add.at(sums, at, value)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    langs.dictionary.take(pa.array(keys // (width * width))),
+                    sources.dictionary.take(pa.array(keys // width % width)),
+                    sources.dictionary.take(pa.array(keys % width)), pa.array(sums),
+                ],
+                names=["lang", "source", "item", "value"],
+            )
+
+    return both.mapInArrow(run, "lang binary, source binary, item binary, value long")
+
+
 def divergence(
     docs: DataFrame,
     text_col: str = "text",
@@ -332,17 +380,10 @@ def divergence(
     ).where(F.col("source") != F.col("item"))
     change = (F.col("times") * (_apart(p, other_none) - _apart(none, other_none))).alias("value")
     one_side = sides.select("lang", "source", "item", change)
-    both = shares.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "none")).alias("held"))
-    met = both.select("lang", "held", F.inline("held")).select(
-        "lang", "source", "p", "none", F.explode("held").alias("other")
-    ).where(F.col("source") < F.col("other.source")).select(
-        "lang", "source", "p", "none", F.col("other.source").alias("item"),
-        F.col("other.p").alias("q"), F.col("other.none").alias("other_none"),
-    )
-    two_sides = met.select(
-        "lang", "source", "item",
-        (_apart(p, q) - _apart(p, other_none) - _apart(none, q) + _apart(none, other_none)).alias("value"),
+    both = shares.groupBy("lang", "term").agg(
+        F.array_sort(F.collect_list(F.struct("source", "p", "none"))).alias("held")
     )
+    two_sides = _met(both.select("lang", "held"))
     base = groups.join(others, "lang").where(F.col("source") != F.col("item")).select(
         "lang", "source", "item",
         F.coalesce(F.col("kept") * _apart(none, other_none), F.lit(0)).alias("value"),

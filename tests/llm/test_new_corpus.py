@@ -191,6 +191,16 @@ def test_divergence_against_brute_force(files):
     assert {tuple(r) for r in found} == brute_divergence([r[:3] for r in rows])
 
 
+def test_shares_divide_exactly(spark):
+    draw = random.Random(1)
+    rows = [(draw.randrange(10 ** draw.randint(1, 14)), draw.randrange(10**6)) for _ in range(500)]
+    rows = [(c, c + draw.randrange(10 ** draw.randint(1, 15)), v + 1) for c, v in rows]
+    df = spark.createDataFrame(rows, "c long, n long, v long")
+    share = prefix_refinement._share(F.col("c"), F.col("n"), F.col("v"))
+    got = [r[0] for r in df.select(share).collect()]
+    assert got == [1 + 10**9 * (c + 2) // (n + 2 * v) for c, n, v in rows]
+
+
 def test_divergence_of_odd_rows(docs, no_docs):
     rows = prefix_refinement.divergence(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {tuple(r) for r in rows} == brute_divergence([(r[1], None, r[2]) for r in ROWS])
