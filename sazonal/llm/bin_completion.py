@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored, text_bytes
+from .common import claim, stored, text_bytes
 
 SEQUENCE = 2048
 #: The id that ends every document.
@@ -114,6 +114,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 def encoder(path: str) -> WordEncoder:
     """The encoder of a Python worker; later tasks of the worker find its tables filled."""
+    claim("encoder", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

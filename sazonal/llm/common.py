@@ -5,6 +5,7 @@ from __future__ import annotations
 import string
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +36,20 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None]) -> None:
+    """Say, as a task begins, which operator's tables of known words its Python worker holds.
+    Workers outlive tasks and serve one operator after another; the tables of the one before
+    are emptied, so that only those of one stay."""
+    if owner not in _HELD:
+        for empty in _HELD.values():
+            empty()
+        _HELD.clear()
+        _HELD[owner] = clear
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

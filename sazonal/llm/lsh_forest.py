@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_bits, maybe_in, stored, text_bytes, words_of
+from .common import claim, filter_bits, maybe_in, stored, text_bytes, words_of
 from .components import components
 
 SHINGLE = 5
@@ -51,7 +51,7 @@ _TURNS = _DRAWS.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.
 _SHIFTS = _DRAWS.integers(0, 2**63, SKETCH, dtype=np.uint64)
 
 _WORDS: dict[bytes, int] = {}
-_KNOWN = 300_000
+_KNOWN = 200_000
 
 
 def _word_hashes(words: list[bytes]) -> np.ndarray:
@@ -121,6 +121,7 @@ def _described(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("word hashes", _WORDS.clear)
         for batch in batches:
             counts, nodes, signatures, sketches = [], [], [], []
             for raw in batch.column("raw").to_pylist():

@@ -19,7 +19,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, text_bytes
+from .common import claim, fold_of, text_bytes
 
 #: Labelled rows that the model holds at most, taken in the order of a hash of their ids.
 LABELLED = 4096
@@ -36,7 +36,7 @@ _FORMS = bytes(
     for b in range(256)
 )
 _SHAPE_OF: dict[bytes, int] = {}
-_KNOWN = 300_000
+_KNOWN = 200_000
 
 
 def _shape(word: bytes) -> int:
@@ -126,6 +126,7 @@ def fit_quality(
     ).join(F.broadcast(known), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("word shapes", _SHAPE_OF.clear)
         for batch in batches:
             counts = [term_counts(raw).astype("<f8").tobytes() for raw in batch.column("raw").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -170,6 +171,7 @@ def score_quality(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("word shapes", _SHAPE_OF.clear)
         for batch in batches:
             scores = []
             raws = batch.column("raw").to_pylist()
