@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +39,22 @@ def ship(spark: SparkSession) -> None:
 
 
 _HELD: dict[str, Callable[[], None]] = {}
+_LIBC = ctypes.CDLL(None)
 
 
 def claim(owner: str, clear: Callable[[], None]) -> None:
     """Say, as a task begins, which operator's tables of known words its Python worker holds.
     Workers outlive tasks and serve one operator after another; the tables of the one before
-    are emptied, so that only those of one stay."""
+    are emptied, so that only those of one stay, and what allocators keep of memory that is
+    free again goes back to the machine."""
     if owner not in _HELD:
         for empty in _HELD.values():
             empty()
         _HELD.clear()
         _HELD[owner] = clear
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

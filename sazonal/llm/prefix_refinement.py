@@ -39,8 +39,8 @@ PARTS = 1_000_000_000
 FEWEST_BITS, MOST_BITS = 18, 28
 #: Counts that a task holds before it hands them on, and terms whose fate it remembers.
 HELD = 400_000
-#: Terms of texts that are looked at together.
-TOGETHER = 100_000
+#: Counts by source that a task holds; terms of texts that are looked at together.
+HELD_COUNTS, TOGETHER = 1_000_000, 200_000
 #: Byte between a language and a prefix; no term holds it.
 CUT = b"\x00"
 
@@ -218,7 +218,7 @@ def _term_counts(rows: DataFrame, alive) -> DataFrame:
                 kept = fates[lang].of(texts)
                 for terms in texts:
                     tally.add((lang, source), map(kept, terms))
-                yield from tally.rows(HELD)
+                yield from tally.rows(HELD_COUNTS)
         yield from tally.rows(0)
 
     return rows.mapInArrow(run, "lang binary, source binary, term binary, n long")
