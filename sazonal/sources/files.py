@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +46,7 @@ def require_files(spark: SparkSession, paths: Iterable[str], label: str) -> None
     """Fail before any job, naming every absent file."""
     missing = [p for p in paths if not exists(spark, p)]
     if missing:
-        listed = "\n".join(f"- {p}" for p in missing)
-        raise FileNotFoundError(f"Missing required raw files for {label}:\n{listed}")
+        raise FileNotFoundError(f"Files of {label} that are not there: {', '.join(missing)}")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -56,14 +56,38 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a dataset is there in whole: a file, or a folder that its job has marked."""
+    target, fs = _path(spark, path)
+    if not fs.exists(target):
+        return False
+    return not fs.getFileStatus(target).isDirectory() or exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read the stored dataset, or build and store it first."""
-    if not exists(spark, path):
-        out = build()
-        if path.rstrip("/").endswith(".csv"):
-            out.write.csv(path, header=True)
-        else:
-            out.write.parquet(path)
+    """Read the stored dataset, or build and store it first.
+
+    It is written aside and renamed when it is whole, so a job that ends halfway leaves nothing
+    that looks built; a folder without its mark is built anew. If another job has stored the
+    dataset meanwhile, its copy stays.
+    """
+    if is_complete(spark, path):
+        return read_table(spark, path)
+    plain = path.rstrip("/")
+    aside = f"{plain}.{uuid.uuid4().hex}.tmp"
+    out = build()
+    if plain.endswith(".csv"):
+        out.write.csv(aside, header=True)
+    else:
+        out.write.parquet(aside)
+    target, fs = _path(spark, plain)
+    if fs.exists(target) and not is_complete(spark, plain):
+        fs.delete(target, True)
+    # Renaming onto a folder would move the copy into it.
+    if fs.exists(target) or not fs.rename(_path(spark, aside)[0], target):
+        fs.delete(_path(spark, aside)[0], True)
+        if not is_complete(spark, plain):
+            raise OSError(f"Could not store {plain}")
     return read_table(spark, path)
 
 

@@ -40,6 +40,28 @@ def test_load_or_build_builds_once(spark, tmp_path):
         files.load_first(spark, [str(tmp_path / "none")])
 
 
+def test_half_written_datasets_are_built_again(spark, tmp_path):
+    path = str(tmp_path / "set")
+    broken = spark.range(4).select(F.when(F.col("id") < 3, F.col("id")).otherwise(F.raise_error(F.lit("crash"))))
+    with pytest.raises(Exception, match="crash"):
+        files.load_or_build(spark, path, lambda: broken.toDF("id"))
+    assert not files.exists(spark, path)
+    # What a job without a commit would have left.
+    spark.range(2).write.parquet(path)
+    (tmp_path / "set" / "_SUCCESS").unlink()
+    assert files.load_or_build(spark, path, lambda: spark.range(5)).count() == 5
+    assert files.load_or_build(spark, path, lambda: spark.range(9)).count() == 5
+    one = tmp_path / "one.csv"
+    one.write_text("a\n1\n")
+    assert files.load_or_build(spark, str(one), lambda: spark.range(9)).count() == 1
+
+    def other():
+        spark.range(7).write.parquet(str(tmp_path / "raced"))
+        return spark.range(8)
+
+    assert files.load_or_build(spark, str(tmp_path / "raced"), other).count() == 7
+
+
 def test_notifications(spark, tmp_path):
     (tmp_path / "casos-de-dengue-2014.csv").write_text(
         "nu_notificacao;bairro;dt_notificacao\n1;x;2014/01/02 00:00:00\n1;y;2014/01/03 00:00:00\n"
