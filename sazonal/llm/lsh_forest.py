@@ -7,10 +7,12 @@ side by side; neighbours that share at least ``depth`` values are candidates. Ho
 shared prefix is follows from how crowded a region is: in a crowd the neighbours are those
 that agree much further.
 
-A first round links next neighbours in a few trees. A second goes through the regions of all
+A first round links next neighbours in a few trees. The others go through the regions of all
 trees, but only through those of several components, so large groups of copies add next to
-nothing. In a region of few rows all are compared. The classes of larger regions, the crowds,
-meet by an exact join on their rarest shingles, so a crowd costs no link. Every candidate is
+nothing. In a region of few rows all are compared: in the second round each component tries
+the most alike row of another, which joins nearly all that belong together, and in the third
+every pair that is left. The classes of larger regions, the crowds, meet in the third by an
+exact join on their rarest shingles, so a crowd costs no link. Every candidate is
 confirmed on whole shingle sets.
 """
 
@@ -18,6 +20,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +39,7 @@ PERCENT = 75
 #: the threshold a pair shares 3 values of a tree with odds 0.42, and misses that in all 24
 #: with odds 2e-6.
 TREES, STEP, LABEL, DEPTH = 24, 4, 6, 3
-#: Trees of the first round; rows of a region that are all compared in the second.
+#: Trees of the first round; rows of a region that are all compared later.
 FIRST_TREES, CALM = 8, 128
 #: Classes whose shingles are counted for the order of the exact join, and log2 of the counts.
 #: Any order finds the same pairs; a good one has the common shingles last.
@@ -140,6 +144,11 @@ def _described(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, f"id {kind}, n_shingles long, node binary, signature binary, sketch binary")
 
 
+def _batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    low, high = zip(*pairs)
+    return pa.RecordBatch.from_arrays([pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["a", "b"])
+
+
 def _labels(classes: DataFrame, trees: int) -> DataFrame:
     """(tree, label, node, n_shingles, sketch): the first values of each class in each order."""
     around = F.concat("signature", "signature")
@@ -156,7 +165,7 @@ def _labels(classes: DataFrame, trees: int) -> DataFrame:
 def _neighbours(labels: DataFrame) -> DataFrame:
     """Pairs (a, b) of next neighbours in the sorted orders. Rows are sorted by range
     partitions, so a crowded region is spread by its deeper values. Sizes and sketches that
-    rule a link out spare a candidate. What this misses is left to the second round.
+    rule a link out spare a candidate. What this misses is left to the later rounds.
     """
     ordered = labels.repartitionByRange("tree", "label", "node").sortWithinPartitions(
         "tree", "label", "node"
@@ -272,9 +281,31 @@ def _crowd_pairs(crowd: DataFrame, docs: DataFrame) -> DataFrame:
     return met.select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct()
 
 
-def _candidates(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _met(rows: list[tuple], nearest: bool) -> list[tuple[bytes, bytes]]:
+    """Pairs of one region's rows (node, root, n, marks) that sizes and sketches leave possible
+    and that are in different components; with ``nearest`` only the most alike pairs by which
+    each component meets another, no more than there are components."""
+    found = []
+    for j, (_, root, n, marks) in enumerate(rows):
+        for i, (_, other_root, size, others) in enumerate(rows[:j]):
+            if root != other_root and 100 * min(n, size) >= PERCENT * max(n, size):
+                same = agreeing(marks, others)
+                if same >= SAME:
+                    found.append((same, i, j))
+    if nearest:
+        every, found, met = sorted(found, reverse=True), [], set()
+        for same, i, j in every:
+            ends = {rows[i][1], rows[j][1]}
+            if not ends <= met:
+                met |= ends
+                found.append((same, i, j))
+    return [(min(a, b), max(a, b)) for a, b in ((rows[i][0], rows[j][0]) for _, i, j in found)]
+
+
+def _candidates(classes: DataFrame, docs: DataFrame, nearest: bool) -> DataFrame:
     """Pairs (a, b) of classes in different components that share the start of a tree, without
-    those that sizes, sketches or rarest shingles rule out."""
+    those that sizes, sketches or rarest shingles rule out. With ``nearest`` each component of
+    a calm region brings its most alike pair only, and crowds wait."""
     places = _regions(classes)
     kinds = stored(
         places.groupBy("region").agg(
@@ -291,26 +322,25 @@ def _candidates(classes: DataFrame, docs: DataFrame) -> DataFrame:
     calm = within(kinds.where(F.col("rows") <= CALM), places)
     ordered = calm.repartition("region").sortWithinPartitions("region")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, before = None, []
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            low, high = [], []
-            columns = [batch.column(name).to_pylist() for name in ("region", "node", "root", "n_shingles", "sketch")]
-            for here, node, root, n, marks in zip(*columns):
-                if here != region:
-                    region, before = here, []
-                row = (n, int.from_bytes(marks))
-                for other, other_root, entry in before:
-                    if other_root != root and _may_link(entry, row):
-                        low.append(min(node, other))
-                        high.append(max(node, other))
-                before.append((node, root, row))
-            if low:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["a", "b"]
-                )
+            yield from zip(*[
+                batch.column(name).to_pylist() for name in ("region", "node", "root", "n_shingles", "sketch")
+            ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = []
+        for _, rows in groupby(each(batches), itemgetter(0)):
+            pairs += _met([(node, root, n, int.from_bytes(marks)) for _, node, root, n, marks in rows], nearest)
+            if len(pairs) > 8192:
+                yield _batch(pairs)
+                pairs = []
+        if pairs:
+            yield _batch(pairs)
 
     pairs = ordered.mapInArrow(run, "a binary, b binary")
+    if nearest:
+        return pairs.distinct()
     crowded = kinds.where(F.col("rows") > CALM)
     if crowded.isEmpty():
         return pairs.distinct()
@@ -386,24 +416,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ),
         "forest-classes",
     )
-    first = stored(_neighbours(_labels(classes, FIRST_TREES)), "forest-pairs")
-    links = stored(_confirmed(first, classes, texts), "forest-links")
-    roots = components(links)
-    # Only classes that may have links are shuffled to meet their roots.
-    tested = maybe_in(classes, F.col("node"), filter_bits(roots, F.col("node")))
-    grouped = (
-        tested.where("hit").drop("hit").join(roots, "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-        .unionByName(tested.where("not hit").drop("hit").withColumn("root", F.col("node")))
-    )
-    second = stored(
-        _candidates(grouped, texts).join(first, ["a", "b"], "left_anti"),
-        "forest-pairs",
-    )
-    more = stored(_confirmed(second, classes, texts), "forest-links")
-    roots = components(
-        roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
-    )
+    tried = stored(_neighbours(_labels(classes, FIRST_TREES)), "forest-pairs")
+    roots = components(stored(_confirmed(tried, classes, texts), "forest-links"))
+    for nearest in (True, False):
+        # Only classes that may have links are shuffled to meet their roots.
+        tested = maybe_in(classes, F.col("node"), filter_bits(roots, F.col("node")))
+        grouped = stored(
+            tested.where("hit").drop("hit").join(roots, "node", "left")
+            .withColumn("root", F.coalesce("root", "node"))
+            .unionByName(tested.where("not hit").drop("hit").withColumn("root", F.col("node"))),
+            "forest-grouped",
+        )
+        pairs = stored(
+            _candidates(grouped, texts, nearest).join(tried, ["a", "b"], "left_anti"), "forest-pairs"
+        )
+        links = stored(_confirmed(pairs, classes, texts), "forest-links")
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(links))
+        tried = tried.unionAll(pairs)
     member = classes.select("node", "id").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
