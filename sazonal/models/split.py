@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -173,6 +174,55 @@ def hash_split(
     return df.where(draw < frac), df.where(draw >= frac)
 
 
+#: Bits of a draw, and bits that each pass of the selection settles.
+DRAW_BITS, DIGIT_BITS = 60, 15
+
+
+def keyed_draw(key: Sequence[str], seed: int) -> Column:
+    """A whole number of 60 bits that depends on the seed and the key alone; null counts as
+    an empty text."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+    return F.conv(F.substring(digest, 1, DRAW_BITS // 4), 16, 10).cast("long")
+
+
+def smallest_draw(draws: DataFrame, rank: int) -> int | None:
+    """The draw (a column of that name) at a rank from 1, or null beyond the last row. Each
+    pass counts one digit of the draws that agree so far, so at most 2^15 counts reach the
+    driver, whatever the number of rows."""
+    found = 0
+    for shift in range(DRAW_BITS - DIGIT_BITS, -1, -DIGIT_BITS):
+        digit = F.shiftright("draw", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))
+        counts = (
+            draws.where(F.shiftright("draw", shift + DIGIT_BITS) == found)
+            .groupBy(digit.alias("digit")).count().orderBy("digit").collect()
+        )
+        for row in counts:
+            if rank <= row["count"]:
+                found = found << DIGIT_BITS | row["digit"]
+                break
+            rank -= row["count"]
+        else:
+            return None
+    return found
+
+
+def random_split(
+    df: DataFrame, key: Sequence[str], test_size: float = 0.2, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """Seeded random split of exact size: the test part has ``test_size`` of the rows, rounded
+    up. Rows with the same key have the same draw and stay together; if the border falls
+    among them, all are trained on. No row is shuffled or sorted.
+    """
+    _check(test_size)
+    n = df.count()
+    if n < 2:
+        raise ValueError("Too few to split: it takes 2 rows.")
+    draw = keyed_draw(key, seed)
+    last = smallest_draw(df.select(draw.alias("draw")), n - min(math.ceil(n * test_size), n - 1))
+    return df.where(draw <= last), df.where(draw > last)
+
+
 def split_summary(
     df: DataFrame, target: str, split: str = "split", date_col: str | None = "data"
 ) -> DataFrame:

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from sazonal.models import evaluate as E
 from sazonal.models import linear as L
 from sazonal.models.components import pca_variance
+from sazonal.models.onehot import as_vector, fit_sparse
 from sazonal.models.preprocess import fit_preprocessor
 from sazonal.models.search import Budget, EVOLUTION_PRESETS, candidates, model_search, resolve_preset
 from sazonal.models.split import (
-    block_folds, chronological_split, expanding_bounds, hash_split, row_folds, row_split,
+    block_folds, chronological_split, expanding_bounds, hash_split, random_split, row_folds, row_split,
     split_index, time_folds,
 )
 from sazonal.sinks import new_run_id, read_report, run_folder
@@ -107,6 +108,21 @@ def test_hash_split_is_stable(spark):
     assert first == again and 3800 < len(first) < 4200
 
 
+def test_random_split_has_its_exact_size(spark):
+    df = spark.range(5003).toDF("k")
+    train, test = random_split(df, ["k"], 0.2, 7)
+    first = {r.k for r in test.collect()}
+    assert (train.count(), len(first)) == (4002, 1001)
+    assert first == {r.k for r in random_split(df.repartition(7), ["k"], 0.2, 7)[1].collect()}
+    assert first != {r.k for r in random_split(df, ["k"], 0.2, 8)[1].collect()}
+    # Whole keys stay together; rows without a key are one of them.
+    same = spark.createDataFrame([(None,)] * 5 + [("a",)] * 40 + [("b",)] * 3, "k string")
+    train, test = random_split(same, ["k"])
+    assert train.count() >= 38 and not {r.k for r in train.collect()} & {r.k for r in test.collect()}
+    with pytest.raises(ValueError):
+        random_split(spark.range(1).toDF("k"), ["k"])
+
+
 @pytest.fixture(scope="module")
 def numbers(spark):
     rng = np.random.default_rng(5)
@@ -198,6 +214,26 @@ def test_preparation(spark):
     assert got[1] == pytest.approx((z(9.0), 0.0, 1.0, 0.0))
 
 
+def test_sparse_one_hot(spark):
+    train = spark.createDataFrame([("b", 1, None), ("a", 2, None), ("a", None, None)], "c string, n int, gone string")
+    fitted = fit_sparse(train, ["c", "n", "gone"])
+    assert (fitted.cols, fitted.modes, fitted.sizes) == (("c", "n"), ("a", "1"), (2, 2))
+    names = {r.feature: r["name"] for r in fitted.features().collect()}
+    assert names == {0: "categorical__c_a", 1: "categorical__c_b", 2: "categorical__n_1", 3: "categorical__n_2"}
+    new = spark.createDataFrame([(0, "b", 2, "x"), (1, None, None, None), (2, "z", 9, "x")], "id int, c string, n int, gone string")
+    got = {r.id: (r.features, r.v) for r in fitted.transform(new, ["id"]).withColumn("v", as_vector(F.col("features"))).collect()}
+    assert [sorted(got[i][0]["indices"]) for i in range(3)] == [[1, 3], [0, 2], []]
+    assert [got[i][1].toArray().tolist() for i in range(3)] == [[0, 1, 0, 1], [1, 0, 1, 0], [0, 0, 0, 0]]
+
+
+def test_sparse_one_hot_of_many_categories(spark):
+    df = spark.range(100_000).selectExpr("id", "lpad(id, 6, '0') AS c")
+    fitted = fit_sparse(df, ["c"])
+    assert fitted.size == 100_000
+    encoded = fitted.transform(df, ["id"])
+    assert encoded.where("features.indices != array(id)").isEmpty() and encoded.count() == 100_000
+
+
 def test_folds_do_not_leak(spark):
     rows = [(DAY + dt.timedelta(days=i), float(i), 2.0 * i) for i in range(40)]
     df = spark.createDataFrame(rows, "data date, x double, y double")
