@@ -196,36 +196,36 @@ def one_hot(spark, sf_dir):
 
 
 @query("""
-    WITH texts AS (SELECT o_orderkey, year(o_orderdate) < 1997 AS old, o_clerk AS a,
+    WITH texts AS (SELECT o_orderkey, year(o_orderdate) < 1997 AS old, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS a,
                           CASE WHEN o_totalprice < 400000 THEN CAST(o_custkey AS VARCHAR) END AS b FROM orders),
     a_places AS (SELECT a, row_number() OVER (ORDER BY a) - 1 AS place FROM (SELECT DISTINCT a FROM texts WHERE old AND a IS NOT NULL)),
     b_places AS (SELECT b, row_number() OVER (ORDER BY b) - 1 AS place FROM (SELECT DISTINCT b FROM texts WHERE old AND b IS NOT NULL)),
     facts AS (SELECT (SELECT count(*) FROM a_places) AS a_size, (SELECT count(*) FROM b_places) AS b_size,
                      (SELECT a FROM texts WHERE old AND a IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, a LIMIT 1) AS a_mode,
                      (SELECT b FROM texts WHERE old AND b IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, b LIMIT 1) AS b_mode)
-    SELECT o_orderkey, a_size + b_size AS size, a_places.place AS clerk, a_size + b_places.place AS customer
+    SELECT o_orderkey, a_size + b_size AS size, a_places.place AS day, a_size + b_places.place AS customer
     FROM texts CROSS JOIN facts
     LEFT JOIN a_places ON a_places.a = coalesce(texts.a, a_mode)
     LEFT JOIN b_places ON b_places.b = coalesce(texts.b, b_mode)""")
 def one_hot_sparse(spark, sf_dir):
-    """Clerks and customers of the orders before 1997 as features of all orders; those that
+    """Days and customers of the orders before 1997 as features of all orders; those that
     are new since then have none."""
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", F.col("o_clerk").alias("clerk"),
+        "o_orderkey", "o_orderdate", F.to_date("o_orderdate").alias("day"),
         F.when(F.col("o_totalprice") < 400000, F.col("o_custkey")).alias("customer"),
     )
-    fitted = fit_sparse(orders.where(F.year("o_orderdate") < 1997), ["clerk", "customer"])
-    clerks = F.lit(fitted.sizes[0])
+    fitted = fit_sparse(orders.where(F.year("o_orderdate") < 1997), ["day", "customer"])
+    days = F.lit(fitted.sizes[0])
     of = lambda inside: F.get(F.filter("features.indices", inside), F.lit(0))
     return fitted.transform(orders, ["o_orderkey"]).select(
         "o_orderkey", "features.size",
-        of(lambda at: at < clerks).alias("clerk"), of(lambda at: at >= clerks).alias("customer"),
+        of(lambda at: at < days).alias("day"), of(lambda at: at >= days).alias("customer"),
     )
 
 
 @query("""
     WITH drawn AS (SELECT l_orderkey, l_linenumber, CAST('0x' || substr(md5('42|' || l_orderkey || '|' || l_linenumber), 1, 15) AS BIGINT) AS draw FROM lineitem),
-    placed AS (SELECT *, row_number() OVER (ORDER BY draw) AS place, count(*) OVER () AS n FROM drawn)
+    placed AS (SELECT *, rank() OVER (ORDER BY draw) AS place, count(*) OVER () AS n FROM drawn)
     SELECT l_orderkey, l_linenumber, CASE WHEN place <= n - CAST(ceil(n * 0.2) AS BIGINT) THEN 'train' ELSE 'test' END AS split FROM placed""")
 def random_split_exact(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
