@@ -67,6 +67,29 @@ def test_exact_dedup_state_outlives_a_call(files, tmp_path):
     }
 
 
+def test_exact_dedup_tells_texts_of_earlier_calls_apart(files, tmp_path):
+    schema, state = "doc_id long, text string", str(tmp_path)
+    same = lambda c: F.lit("x").cast("binary")
+    exact_dedup.deduplicate(files([(1, "a"), (7, None)], schema), digest=same, state_dir=state)
+    later = exact_dedup.deduplicate(files([(2, "b"), (3, "A")], schema), digest=same, state_dir=state)
+    assert {(r.id, r.keep_id, r.group_size, r.kept) for r in later.rows.collect()} == {
+        (1, 3, 2, False), (3, 3, 2, True), (2, 2, 1, True), (7, 7, 1, True)
+    }
+    assert {r.doc_id for r in later.documents.collect()} == {2, 3}
+
+
+def test_exact_dedup_counts_a_repeated_batch_once(files, tmp_path):
+    schema, state = "doc_id long, text string", str(tmp_path)
+    exact_dedup.deduplicate(files([(9, "a")], schema), state_dir=state, batch="first")
+    rows = files([(1, "a"), (2, "b")], schema)
+    for _ in range(2):
+        found = exact_dedup.deduplicate(rows, state_dir=state, batch="second")
+        assert sorted((r.id, r.keep_id, r.group_size, r.kept) for r in found.rows.collect()) == [
+            (1, 9, 2, False), (2, 2, 1, True), (9, 9, 2, True)
+        ]
+        assert [r.doc_id for r in found.documents.collect()] == [2]
+
+
 def test_exact_dedup_of_nothing(no_docs):
     found = exact_dedup.deduplicate(no_docs)
     assert found.rows.count() == 0 and found.documents.count() == 0
