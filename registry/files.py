@@ -15,7 +15,7 @@ from sazonal.sinks import write_dataset, write_predictions, write_report
 from sazonal.sources.files import load_first, load_or_build, load_positional, read_columns
 from sazonal.sources.headed import file_catalogue
 from sazonal.sources.notifications import COMMA_YEARS, FILE_NAME, read_notifications
-from sazonal.sources.runs import load_runs, load_search_history
+from sazonal.sources.runs import history_records, load_runs
 from sazonal.sources.stations import read_stations, sensors_as_numbers, station_headers
 
 from .common import dates_as_text, query, rounded, table
@@ -214,23 +214,30 @@ def city_from_files(spark, sf_dir):
     return rounded(out, {"precipitacao_total_media_mm": 6, "umidade_relativa_media": 6})
 
 
+# Framework, metric and form of history that event types take in turn.
+RUN_KINDS = (
+    ("h2o", "RMSE", "csv"), ("h2o", "MSE", "list"), ("tpot", None, "columns"),
+    ("tpot", None, "labels"), ("tpot", None, "report"),
+)
+
+
 def write_runs(spark, sf_dir) -> str:
     """One stored run per event type: documents and a history of 24 models."""
     base = scratch_path(spark, "runs")
     events = table(spark, sf_dir, "events")
     models = events.groupBy("event_type", F.hour("ts").alias("model")).agg(F.max("value").alias("top"))
     models = models.persist()
-    for kind, framework, metric in (
-        ("click", "h2o", "RMSE"), ("error", "h2o", "MSE"), ("purchase", "tpot", None), ("view", "tpot", None)
-    ):
+    kinds = sorted(r.event_type for r in models.select("event_type").distinct().collect())
+    for at, kind in enumerate(kinds):
+        framework, metric, form = RUN_KINDS[at % len(RUN_KINDS)]
         mine = models.where(F.col("event_type") == kind)
         folder = f"{base}/{framework}/{kind}"
+        seconds = F.count("*").cast("string")
         metadata = mine.agg(
             F.lit(kind).alias("preset"),
-            F.lit("neg_rmse").alias("optimization_metric"),
-            F.count("*").cast("double").alias("training_time_seconds"),
-            F.lit(folder).alias("output_dir"),
-        ).drop("output_dir")
+            F.lit("neg_rmse" if framework == "h2o" else "").alias("optimization_metric"),
+            F.concat(seconds, F.lit(",5 s")).alias("training_time_seconds"),
+        )
         best = mine.agg(
             F.lit(f"modelo {kind} é").alias("model_name"),
             F.lit(framework.upper()).alias("model_family"),
@@ -244,11 +251,20 @@ def write_runs(spark, sf_dir) -> str:
             F.concat(F.lit("m, "), F.col("model").cast("string")).alias("model_id"),
             (-F.col("top")).alias("neg_root_mean_squared_error"),
         )
-        if kind == "purchase":
-            listed = negated.agg(F.to_json(F.collect_list(F.struct("*"))).alias("value"))
-            listed.write.text(f"{folder}/search_history.json")
-        else:
+        if form == "csv":
             write_dataset(negated, f"{folder}/search_history.csv", "csv")
+            continue
+        rows = F.collect_list(F.struct("*"))
+        document = {
+            "list": rows,
+            "columns": F.struct(*[F.collect_list(c).alias(c) for c in negated.columns]),
+            "labels": F.struct(*[
+                F.map_from_entries(F.collect_list(F.struct("model_id", c))).alias(c) for c in negated.columns
+            ]),
+            "report": F.struct(rows.alias("search_history"), F.lit(1).alias("version")),
+        }[form]
+        name = "report" if form == "report" else "search_history"
+        negated.agg(F.to_json(document).alias("value")).write.text(f"{folder}/{name}.json")
     models.unpersist()
     # A folder without any document is still a run.
     write_dataset(events.limit(0), f"{base}/h2o/vazia/artifacts")
@@ -256,26 +272,27 @@ def write_runs(spark, sf_dir) -> str:
 
 
 RUN_ROWS = """
-    models AS (SELECT event_type AS kind, hour(ts) AS h, max(value) AS top FROM events
-               WHERE event_type <> 'signup' GROUP BY 1, 2),
-    runs AS (SELECT kind, CASE WHEN kind IN ('click', 'error') THEN 'h2o' ELSE 'tpot' END AS framework,
-                    min(top) AS low, count(*) AS n FROM models GROUP BY 1)"""
+    models AS (SELECT event_type AS kind, hour(ts) AS h, max(value) AS top FROM events GROUP BY 1, 2),
+    kinds AS (SELECT kind, (row_number() OVER (ORDER BY kind) - 1) % 5 AS form FROM (SELECT DISTINCT kind FROM models)),
+    runs AS (SELECT kind, form, CASE WHEN form < 2 THEN 'h2o' ELSE 'tpot' END AS framework,
+                    min(top) AS low, count(*) AS n FROM models JOIN kinds USING (kind) GROUP BY 1, 2)"""
 
 
 @query(f"""
     WITH {RUN_ROWS}
-    SELECT framework, kind AS run_id, kind AS preset, CAST(n AS DOUBLE) AS training_time_seconds,
-           CASE kind WHEN 'click' THEN 'RMSE' WHEN 'error' THEN 'MSE' ELSE 'neg_rmse' END AS raw_score_metric,
-           low AS raw_score_value, CASE WHEN kind = 'error' THEN sqrt(low) ELSE low END AS comparable_score,
-           'modelo ' || kind || ' é' AS best_model_name
-    FROM runs UNION ALL SELECT 'h2o', 'vazia', NULL, NULL, NULL, NULL, NULL, NULL""")
+    SELECT framework, kind AS run_id, kind AS preset, n + 0.5::DOUBLE AS training_time_seconds,
+           CASE form WHEN 0 THEN 'RMSE' WHEN 1 THEN 'MSE' ELSE 'neg_root_mean_squared_error' END AS raw_score_metric,
+           low AS raw_score_value, CASE WHEN form = 1 THEN sqrt(low) ELSE low END AS comparable_score,
+           'modelo ' || kind || ' é' AS best_model_name, framework || '/' || kind AS output_dir
+    FROM runs UNION ALL SELECT 'h2o', 'vazia', NULL, NULL, NULL, NULL, NULL, NULL, 'h2o/vazia'""")
 def run_documents(spark, sf_dir):
     """Stored runs read back and compared; one run has no documents."""
     base = write_runs(spark, sf_dir)
-    out = compare_runs(load_runs(spark, base), load_search_history(spark, base))
+    out = compare_runs(load_runs(spark, base), history_records(spark, base))
     return out.select(
         "framework", "run_id", "preset", "training_time_seconds", "raw_score_metric",
         "raw_score_value", "comparable_score", "best_model_name",
+        F.substring_index("output_dir", "/", -2).alias("output_dir"),
     )
 
 
@@ -283,11 +300,12 @@ def run_documents(spark, sf_dir):
     WITH {RUN_ROWS}
     SELECT framework, kind AS run_id, 'm, ' || h AS model_id, -top AS score FROM models JOIN runs USING (kind)""")
 def search_histories(spark, sf_dir):
-    """Histories of all runs, as CSV or as a JSON list."""
-    history = load_search_history(spark, write_runs(spark, sf_dir))
+    """Histories of all runs: CSV, lists, objects of columns, and the one in a report."""
+    history = history_records(spark, write_runs(spark, sf_dir))
     return history.select(
-        "framework", "run_id", "model_id",
-        F.col("neg_root_mean_squared_error").try_cast("double").alias("score"),
+        "framework", "run_id",
+        F.try_variant_get("record", "$.model_id", "string").alias("model_id"),
+        F.try_variant_get("record", "$.neg_root_mean_squared_error", "double").alias("score"),
     )
 
 

@@ -11,12 +11,12 @@ from sazonal.functions.text import (
     parse_history_text,
     summarize_steps,
 )
-from sazonal.reports.compare import chart_inputs, compare_runs, search_summary
+from sazonal.reports.compare import chart_inputs, compare_runs, evolution_summary, search_summary
 from sazonal.sinks import json_records
 from sazonal.sources.resources import select_resources
 from sazonal.sources.runs import latest_run
 
-from .common import query, table
+from .common import query, rounded, table
 
 NUMBER_SQL = r"([-+]?\d*\.?\d+(?:[eE][-+]?\d+)?)"
 
@@ -230,6 +230,40 @@ def run_search_summary(spark, sf_dir):
     return search_summary(*_runs(spark, sf_dir))
 
 
+@query("""
+    SELECT 'r' || l_orderkey || '-' || l_linenumber AS run_id, l_returnflag AS preset, l_linestatus AS metrica,
+           round(sum(l_quantity) / 60, 6) AS tempo_total_min, min(l_suppkey) AS melhor_indice,
+           CAST(min(l_linenumber) AS DOUBLE) AS geracao_do_melhor, max(l_quantity) AS melhor_RMSE,
+           -max(l_quantity) AS score_original_negativo, '(' || min(l_partkey) || ', 0)' AS parents,
+           CAST(NULL AS VARCHAR) AS operador, l_returnflag AS familia_final
+    FROM lineitem GROUP BY l_orderkey, l_linenumber, l_linestatus, l_returnflag""")
+def run_evolution_summary(spark, sf_dir):
+    """Order lines as evolutionary runs whose best individual is printed text."""
+    key = ["l_orderkey", "l_linenumber", "l_linestatus", "l_returnflag"]
+    rows = table(spark, sf_dir, "lineitem").groupBy(*key).agg(
+        F.min("l_suppkey").alias("at"), F.min("l_partkey").alias("parent"),
+        F.max("l_quantity").alias("top"), F.sum("l_quantity").alias("seconds"),
+    )
+    printed = F.format_string(
+        "Generation   %d\nroot_mean_squared_error  -%s\nParents  (%d, 0)\nName: %d, dtype: object",
+        "l_linenumber", F.col("top").cast("string"), "parent", "at",
+    )
+    runs = rows.select(
+        F.lit("tpot").alias("framework"),
+        F.concat(
+            F.lit("r"), F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")
+        ).alias("run_id"),
+        F.struct(
+            F.col("l_returnflag").alias("preset"), F.col("l_linestatus").alias("optimization_metric"),
+            F.col("seconds").cast("string").alias("training_time_seconds"),
+        ).alias("metadata"),
+        F.struct(
+            F.col("l_returnflag").alias("model_family"), F.struct(printed.alias("value")).alias("score")
+        ).alias("best_model"),
+    )
+    return rounded(evolution_summary(runs), {"tempo_total_min": 6})
+
+
 @query(f"""
     WITH {RUNS_SQL}
     SELECT framework, run_id, preset FROM compared

@@ -28,6 +28,15 @@ def length(spark: SparkSession, path: str) -> int:
     return fs.getFileStatus(target).getLen()
 
 
+def content_length(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files below a folder, markers and checksums left out."""
+    target, fs = _path(spark, path)
+    if not fs.getFileStatus(target).isDirectory():
+        return fs.getFileStatus(target).getLen()
+    parts = fs.listStatus(target)
+    return sum(s.getLen() for s in parts if s.getPath().getName()[0] not in "._")
+
+
 def matches(spark: SparkSession, glob: str) -> list[str]:
     """Paths that a glob finds, sorted."""
     target, fs = _path(spark, glob)

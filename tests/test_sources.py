@@ -257,6 +257,43 @@ def test_runs(spark, tmp_path):
     assert newest == {"h2o": "20240102", "tpot": "2"}
 
 
+def test_histories_of_any_form(spark, tmp_path):
+    score = "root_mean_squared_error"
+    write_run(tmp_path / "tpot" / "columns", {}, history={score: [-3.0, -2.0], "step": ["a", "b"]})
+    write_run(tmp_path / "tpot" / "labels", {}, history={score: {"0": -5.0, "1": -4.0}, "step": {"1": "x"}})
+    write_run(tmp_path / "tpot" / "inner", {}, history={"search_history": {"neg_" + score: [-1.0]}})
+    write_run(tmp_path / "tpot" / "empty_csv", {}, csv="", history=[{score: -6.0}])
+    write_run(tmp_path / "tpot" / "report", {}, csv=f"{score}\n-9\n")
+    (tmp_path / "tpot" / "report" / "report.json").write_text(json.dumps({"search_history": PRINTED}))
+    write_run(tmp_path / "tpot" / "scalars", {}, history={score: -1.0})
+    write_run(tmp_path / "tpot" / "broken", {}, history="{broken")
+    base = str(tmp_path)
+    records = runs.history_records(spark, base).withColumn(
+        "score", F.try_variant_get("record", f"$.{score}", "double")
+    )
+    found = {}
+    for r in records.orderBy("run_id", "posicao").collect():
+        found.setdefault(r.run_id, []).append(r.score)
+    assert found == {
+        "columns": [-3.0, -2.0], "labels": [-5.0, -4.0], "inner": [None], "empty_csv": [-6.0],
+        "report": [-12.5, -11.5],
+    }
+    steps = records.where("run_id = 'labels'").select(F.try_variant_get("record", "$.step", "string").alias("s"))
+    assert sorted(r.s or "" for r in steps.collect()) == ["", "x"]
+    stored = runs.history_records(spark, base, reports=False).where("run_id = 'report'")
+    assert stored.select(F.try_variant_get("record", f"$.{score}", "double")).first()[0] == -9.0
+    wide = runs.load_search_history(spark, base)
+    assert wide.where("run_id = 'columns'").count() == 2 and "step" in wide.columns
+    loaded = runs.load_runs(spark, base)
+    table = {r.run_id: r for r in compare_runs(loaded, records).collect()}
+    assert (table["inner"].raw_score_metric, table["inner"].comparable_score) == ("neg_" + score, 1.0)
+    assert (table["columns"].raw_score_metric, table["columns"].comparable_score) == (score, 2.0)
+    assert table["broken"].raw_score_metric is None
+    assert table["broken"].output_dir == f"{base}/tpot/broken"
+    told = {r.run_id: r.has for r in loaded.select("run_id", F.col("report").isNotNull().alias("has")).collect()}
+    assert told["report"] and not told["broken"]
+
+
 def test_saved_search_reads_back(spark, tmp_path):
     history = spark.createDataFrame([("a", 2.0), ("b", float("nan"))], "model_id string, rmse double")
     best = spark.sql("SELECT 'a' AS model_name, 'GLM' AS model_family, named_struct('metric', 'rmse', 'value', 2.0D, 'source', 's') AS score")
