@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import random
 import time
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from typing import Any
@@ -32,16 +33,16 @@ from .split import Fold, row_folds, time_folds
 # The budgets of both search styles.
 LEADERBOARD_PRESETS = {
     "low": {
-        "max_runtime_secs": 600, "max_models": 25, "nfolds": 3,
-        "stopping_rounds": 10, "stopping_tolerance": 0.01, "seed": 42,
+        "max_runtime_secs": 600, "max_models": 25, "max_runtime_secs_per_model": 60, "nfolds": 3,
+        "stopping_metric": "RMSE", "sort_metric": "RMSE", "stopping_rounds": 10, "stopping_tolerance": 0.01, "seed": 42,
     },
     "medium": {
-        "max_runtime_secs": 3600, "max_models": 35, "nfolds": 5,
-        "stopping_rounds": 10, "stopping_tolerance": 0.001, "seed": 42,
+        "max_runtime_secs": 3600, "max_models": 35, "max_runtime_secs_per_model": 120, "nfolds": 5,
+        "stopping_metric": "RMSE", "sort_metric": "RMSE", "stopping_rounds": 10, "stopping_tolerance": 0.001, "seed": 42,
     },
     "high": {
-        "max_runtime_secs": 6000, "max_models": 50, "nfolds": 5,
-        "stopping_rounds": 15, "stopping_tolerance": 0.0001, "seed": 42,
+        "max_runtime_secs": 6000, "max_models": 50, "max_runtime_secs_per_model": 2000, "nfolds": 5,
+        "stopping_metric": "RMSE", "sort_metric": "RMSE", "stopping_rounds": 15, "stopping_tolerance": 0.0001, "seed": 42,
     },
 }
 EVOLUTION_PRESETS = {
@@ -82,6 +83,7 @@ class Budget:
     patience: int
     tolerance: float
     seed: int
+    model_seconds: float = float("inf")
 
     @classmethod
     def of(cls, resolved: dict[str, Any]) -> Budget:
@@ -96,6 +98,7 @@ class Budget:
             patience=resolved.get("stopping_rounds", early * size if early else 0),
             tolerance=resolved.get("stopping_tolerance", 0.0),
             seed=resolved.get("seed", resolved.get("random_state", 42)),
+            model_seconds=resolved.get("max_runtime_secs_per_model") or float("inf"),
         )
 
 
@@ -111,35 +114,72 @@ class Candidate:
         return kind(featuresCol="_features", labelCol=label, **self.params, **extra)
 
 
-# Model families and the values their parameters may take.
-FAMILIES: dict[str, tuple[type, dict[str, Sequence[Any]]]] = {
-    "LR": (LinearRegression, {"regParam": (0.0, 0.01, 0.1, 1.0, 10.0), "elasticNetParam": (0.0, 0.5, 1.0)}),
-    "GLM": (GeneralizedLinearRegression, {"regParam": (0.0, 0.1, 1.0), "family": ("gaussian",)}),
-    "DT": (DecisionTreeRegressor, {"maxDepth": (3, 5, 8, 12), "minInstancesPerNode": (1, 5, 20)}),
+Draw = Callable[[random.Random], Any]
+
+
+def _real(low: float, high: float) -> Draw:
+    return lambda draw: float(f"{draw.uniform(low, high):.6g}")
+
+
+def _scale(low: float, high: float) -> Draw:
+    """Alike on every order of magnitude."""
+    return lambda draw: float(f"{low * (high / low) ** draw.random():.6g}")
+
+
+def _whole(low: int, high: int) -> Draw:
+    return lambda draw: draw.randint(low, high)
+
+
+def _one(*values: Any) -> Draw:
+    return lambda draw: draw.choice(values)
+
+
+# Model families and what their parameters are drawn from.
+FAMILIES: dict[str, tuple[type, dict[str, Draw]]] = {
+    "LR": (LinearRegression, {"regParam": _scale(1e-4, 10.0), "elasticNetParam": _real(0.0, 1.0)}),
+    "GLM": (GeneralizedLinearRegression, {"regParam": _scale(1e-4, 10.0), "family": _one("gaussian")}),
+    "DT": (
+        DecisionTreeRegressor,
+        {"maxDepth": _whole(3, 12), "minInstancesPerNode": _whole(1, 20), "minInfoGain": _scale(1e-6, 1e-2)},
+    ),
     "DRF": (
         RandomForestRegressor,
-        {"numTrees": (20, 50, 100), "maxDepth": (5, 8, 12), "featureSubsetStrategy": ("all", "onethird")},
+        {
+            "numTrees": _whole(20, 100), "maxDepth": _whole(5, 12), "subsamplingRate": _real(0.5, 1.0),
+            "featureSubsetStrategy": _one("all", "onethird", "sqrt"),
+        },
+    ),
+    "GBM": (
+        GBTRegressor,
+        {"maxIter": _whole(20, 100), "maxDepth": _whole(3, 5), "stepSize": _scale(0.02, 0.3)},
     ),
-    "GBM": (GBTRegressor, {"maxIter": (20, 50, 100), "maxDepth": (3, 5), "stepSize": (0.05, 0.1)}),
 }
+#: Draws in a row that repeat a setting before a family counts as used up.
+REPEATS = 1000
 
 
 def candidates(n: int, seed: int = 42, families: Sequence[str] | None = None) -> list[Candidate]:
-    """Up to ``n`` distinct settings: families in turn, settings in seeded order."""
-    draw = random.Random(seed)
-    queues = []
-    for algo in families or FAMILIES:
-        settings: list[dict[str, Any]] = [{}]
-        for name, values in FAMILIES[algo][1].items():
-            settings = [{**s, name: v} for s in settings for v in values]
-        draw.shuffle(settings)
-        queues.append([(algo, s) for s in settings])
+    """``n`` distinct settings: families in turn, settings drawn from their ranges by the seed.
+
+    Fewer only where no family has a setting left.
+    """
+    left = list(families or FAMILIES)
+    draws = {algo: random.Random(f"{seed} {algo}") for algo in left}
+    seen: set[tuple] = set()
     out: list[Candidate] = []
-    while len(out) < n and any(queues):
-        for queue in queues:
-            if queue and len(out) < n:
-                algo, setting = queue.pop()
-                out.append(Candidate(f"{algo}_{len(out) + 1}", algo, setting))
+    while len(out) < n and left:
+        for algo in list(left):
+            if len(out) == n:
+                break
+            for _ in range(REPEATS):
+                setting = {name: draw(draws[algo]) for name, draw in FAMILIES[algo][1].items()}
+                key = (algo, *setting.items())
+                if key not in seen:
+                    seen.add(key)
+                    out.append(Candidate(f"{algo}_{len(out) + 1}", algo, setting))
+                    break
+            else:
+                left.remove(algo)
     return out
 
 
@@ -182,14 +222,23 @@ def _prepare(df: DataFrame, folds: Sequence[Fold], features: Sequence[str], targ
     return out
 
 
-def _score(candidate: Candidate, folds: list[_Prepared], target: str, seed: int) -> dict:
-    """Mean fold metrics of one candidate; fits run side by side on the cluster."""
+def _score(candidate: Candidate, folds: list[_Prepared], target: str, seed: int, tag: str) -> dict:
+    """Mean fold metrics of one candidate; fits run side by side on the cluster. All its jobs
+    carry ``tag``."""
     started = time.perf_counter()
+    context = folds[0].train.sparkSession.sparkContext
+
+    def fit(fold: _Prepared) -> Model:
+        context.addJobTag(tag)
+        try:
+            return candidate.estimator(target, seed).fit(fold.train)
+        finally:
+            context.removeJobTag(tag)
+
     with ThreadPoolExecutor(max_workers=min(MAX_SIDE_BY_SIDE, len(folds))) as pool:
-        models = list(
-            pool.map(lambda f: candidate.estimator(target, seed).fit(f.train), folds)
-        )
+        models = list(pool.map(fit, folds))
     fitted = time.perf_counter()
+    context.addJobTag(tag)
     scored = union_all(
         prediction_table(m.transform(f.valid), target, "prediction", None).withColumn(
             "fold", F.lit(i)
@@ -209,6 +258,25 @@ def _score(candidate: Candidate, folds: list[_Prepared], target: str, seed: int)
     return row
 
 
+def _score_within(
+    candidate: Candidate, folds: list[_Prepared], target: str, seed: int, seconds: float
+) -> dict | None:
+    """``_score``, or nothing if it takes longer than ``seconds``: then its jobs are cancelled,
+    those running and those that a fit still starts, until it has ended."""
+    context = folds[0].train.sparkSession.sparkContext
+    tag = f"search-{candidate.model_id}-{uuid.uuid4().hex}"
+    with ThreadPoolExecutor(max_workers=1) as pool:
+        scoring = pool.submit(_score, candidate, folds, target, seed, tag)
+        wait([scoring], timeout=None if seconds == float("inf") else max(seconds, 0.0))
+        late = not scoring.done()
+        while not scoring.done():
+            context.cancelJobsWithTag(tag)
+            wait([scoring], timeout=0.2)
+        if late and scoring.exception() is not None:
+            return None
+        return scoring.result()
+
+
 # Long names of the metrics in search settings.
 METRIC_NAMES = {
     "mean_absolute_error": "mae", "mean_squared_error": "mse",
@@ -240,14 +308,19 @@ def model_search(
 ) -> SearchResult:
     """Score candidates within the preset's budget and refit the best on all rows.
 
-    Stops early when the last ``stopping_rounds`` models brought no gain above the
-    tolerance. With ``outer_folds`` the whole search is also run on each of that many
+    The best is the first by ``sort_metric``. The search stops early when the last
+    ``stopping_rounds`` models brought no gain of ``stopping_metric`` above the tolerance; both
+    are the optimization metric unless given. A model that takes longer than
+    ``max_runtime_secs_per_model``, or than what is left of ``max_runtime_secs``, is cancelled
+    and has no place on the leaderboard; if that leaves none, this fails. With ``outer_folds`` the whole search is also run on each of that many
     expanding folds and scored on what follows. ``output`` gets the result files, and
     each scored model as soon as it is known.
     """
     resolved = resolve_preset(params)
     budget = Budget.of(resolved)
     metric = _sort_metric(resolved["optimization_metric"])
+    sort_by = _sort_metric(resolved.get("sort_metric", metric))
+    stop_by = _sort_metric(resolved.get("stopping_metric", metric))
     dated = with_date(df)
     if features is None:
         features = [c for c in dated.columns if c not in (target, "data")]
@@ -273,33 +346,43 @@ def model_search(
         raise ValueError("Too few dates or rows for time-ordered folds.")
     prepared = _prepare(framed, folds, features, target)
     history: list[dict] = []
-    best, since = None, 0
+    best, record, since = None, None, 0
+    cancelled: list[str] = []
     try:
         for candidate in candidates(budget.max_models, budget.seed, families):
-            row = _score(candidate, prepared, target, budget.seed)
+            left = budget.seconds - (time.perf_counter() - started)
+            if left <= 0:
+                break
+            row = _score_within(candidate, prepared, target, budget.seed, min(left, budget.model_seconds))
+            if row is None:
+                cancelled.append(candidate.model_id)
+                continue
             history.append(row)
             if output:
                 one = spark.createDataFrame([row], HISTORY_SCHEMA)
                 one.write.mode("append").parquet(f"{output}/checkpoints")
-            if best is None or _better(metric, row[metric], best[1][metric]):
-                gain = abs(best[1][metric] - row[metric]) / max(abs(best[1][metric]), 1e-12) if best else 1.0
-                best, since = (candidate, row), 0 if gain > budget.tolerance else since + 1
+            if best is None or _better(sort_by, row[sort_by], best[1][sort_by]):
+                best = (candidate, row)
+            value = row[stop_by]
+            if record is None or _better(stop_by, value, record):
+                gain = 1.0 if record is None else abs(record - value) / max(abs(record), 1e-12)
+                record, since = value, 0 if gain > budget.tolerance else since + 1
             else:
                 since += 1
             if budget.patience and since >= budget.patience:
                 break
-            if time.perf_counter() - started > budget.seconds:
-                break
     finally:
         for fold in prepared:
             fold.train.unpersist()
             fold.valid.unpersist()
+    if best is None:
+        raise RuntimeError(f"No model was scored within its time; cancelled: {', '.join(cancelled) or 'none'}")
 
     leader, row = best
     prep = fit_preprocessor(dated, features)
     ready = assemble(prep.transform(dated, [target]), prep.feature_names)
     model = leader.estimator(target, budget.seed).fit(ready)
-    order = F.desc_nulls_last(metric) if metric == "r2" else F.asc_nulls_last(metric)
+    order = F.desc_nulls_last(sort_by) if sort_by == "r2" else F.asc_nulls_last(sort_by)
     table = spark.createDataFrame(history, HISTORY_SCHEMA).orderBy(order, "model_id")
     run_id = new_run_id()
     best_model = {
@@ -308,6 +391,14 @@ def model_search(
         "hyperparameters": {k: str(v) for k, v in leader.params.items()},
         "score": {"metric": metric, "value": float(row[metric]), "source": "leaderboard"},
         "artifact_path": f"{output}/artifacts/model" if output else None,
+        "artifacts": {"artifact_path": f"{output}/artifacts/model"} if output else {},
+        "extra": {
+            "raw_leaderboard_row": {k: str(v) for k, v in row.items()},
+            "training_info": {
+                "scored_models": str(len(history)), "cancelled_models": ",".join(cancelled),
+                "sort_metric": sort_by, "stopping_metric": stop_by,
+            },
+        },
     }
     metadata = {
         "backend": "spark",
@@ -316,6 +407,7 @@ def model_search(
         "preset": resolved["preset"],
         "optimization_metric": resolved["optimization_metric"],
         "resolved_params": {k: str(v) for k, v in resolved.items()},
+        "use_leaderboard_frame": bool(resolved.get("use_leaderboard_frame", True)),
         "training_time_seconds": time.perf_counter() - started,
         "output_dir": output,
         "created_at": datetime.now(timezone.utc).isoformat(),
@@ -333,13 +425,15 @@ def result_frames(result: SearchResult) -> tuple[DataFrame, DataFrame, DataFrame
     best = spark.createDataFrame(
         [result.best_model],
         "model_name string, model_family string, hyperparameters map<string,string>, "
-        "score struct<metric: string, value: double, source: string>, artifact_path string",
+        "score struct<metric: string, value: double, source: string>, artifact_path string, "
+        "artifacts map<string,string>, "
+        "extra struct<raw_leaderboard_row: map<string,string>, training_info: map<string,string>>",
     )
     metadata = spark.createDataFrame(
         [result.metadata],
         "backend string, task_type string, run_id string, preset string, "
         "optimization_metric string, resolved_params map<string,string>, "
-        "training_time_seconds double, output_dir string, created_at string",
+        "use_leaderboard_frame boolean, training_time_seconds double, output_dir string, created_at string",
     )
     plain = result.history.withColumn("params", F.to_json("params"))
     return plain, best, metadata

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import time
 from pathlib import Path
 
 import numpy as np
@@ -11,7 +12,7 @@ from sazonal.models import linear as L
 from sazonal.models.components import pca_variance
 from sazonal.models.onehot import as_vector, fit_sparse
 from sazonal.models.preprocess import fit_preprocessor
-from sazonal.models.search import Budget, EVOLUTION_PRESETS, candidates, model_search, resolve_preset
+from sazonal.models.search import EVOLUTION_PRESETS, FAMILIES, Budget, candidates, model_search, resolve_preset
 from sazonal.models.split import (
     block_folds, chronological_split, expanding_bounds, hash_split, random_split, row_folds, row_split,
     split_index, time_folds,
@@ -271,7 +272,10 @@ def test_parameters():
     resolved = resolve_preset(given, EVOLUTION_PRESETS)
     assert "preset" in given and "verbosity" not in resolved
     assert Budget.of(resolved).max_models == 8 * 17
-    assert len({(c.algo, str(c.params)) for c in candidates(60)}) == 60
+    drawn = candidates(Budget.of(resolved).max_models)
+    assert len({(c.algo, str(c.params)) for c in drawn}) == len(drawn) == 136
+    assert candidates(136) == drawn and candidates(20, seed=7) != drawn[:20]
+    assert Budget.of(resolve_preset({"preset": "medium"})).model_seconds == 120
 
 
 def test_search(spark, workflow_rows, tmp_path):
@@ -289,6 +293,38 @@ def test_search(spark, workflow_rows, tmp_path):
     assert search.predict(workflow_rows, ["data"]).columns == ["data", "predicted"]
 
 
+class Slow:
+    """An estimator whose fit is one job of two minutes."""
+
+    def __init__(self, featuresCol, labelCol, **params):
+        pass
+
+    def fit(self, df):
+        @F.udf("long")
+        def slow(x):
+            time.sleep(120)
+            return x
+
+        return df.sparkSession.range(1).select(slow("id")).collect()
+
+
+def test_slow_models_are_cancelled(spark, workflow_rows, monkeypatch):
+    families = {"SLOW": (Slow, {"x": lambda draw: draw.random()}), "LR": FAMILIES["LR"]}
+    monkeypatch.setattr("sazonal.models.search.FAMILIES", families)
+    budget = {"max_models": 3, "nfolds": 2, "max_runtime_secs_per_model": 10, "sort_metric": "mae"}
+    params = {"preset": "t", "presets": {"t": budget}}
+    started = time.perf_counter()
+    search = model_search(workflow_rows, params=params)
+    assert time.perf_counter() - started < 100
+    assert [r.algo for r in search.history.collect()] == ["LR"]
+    info = search.best_model["extra"]["training_info"]
+    assert info["cancelled_models"] == "SLOW_1,SLOW_3" and info["sort_metric"] == "mae"
+    assert search.best_model["extra"]["raw_leaderboard_row"]["algo"] == "LR"
+    params = {"preset": "t", "presets": {"t": {**budget, "max_models": 1, "max_runtime_secs_per_model": 2}}}
+    with pytest.raises(RuntimeError, match="SLOW_1"):
+        model_search(workflow_rows, params=params, families=["SLOW"])
+
+
 def test_run_folder():
     stamp = new_run_id(dt.datetime(2024, 5, 6, 7, 8, 9))
     assert stamp == "20240506T070809Z"
