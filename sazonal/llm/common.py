@@ -23,9 +23,17 @@ MASK = (1 << 64) - 1
 _SHIPPED: set[str] = set()
 
 
+#: Bytes of a batch that goes to a Python worker. Texts and
+#: shingle sets differ in length, so rows alone bound nothing; a batch lies in the executor's
+#: native memory and the worker's at once.
+ARROW_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's source to the Python workers, once per application. The driver
-    serves the file; executors need no copy of the repository."""
+    """Send this package's source to the Python workers, once per application, and bound the
+    bytes of their batches. The driver serves the file; executors need no copy of the
+    repository."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

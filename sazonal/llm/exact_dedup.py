@@ -33,6 +33,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
     "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    # One batch is all that a store is opened for; kept open it would hold native memory.
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 
 
