@@ -27,7 +27,8 @@ FILE_YEAR_SQL = "CASE year({0}) " + " ".join(f"WHEN {a} THEN {b}" for a, b in FI
 
 
 def write_notifications(spark, sf_dir) -> str:
-    """Yearly notification files with each era's names, separator and date format."""
+    """Yearly notification files with each era's names, separator and date format; the cells
+    of the first column hold line breaks, separators and quotes."""
     folder = scratch_path(spark, "notifications")
     orders = table(spark, sf_dir, "orders")
     for year, file_year in FILE_YEARS.items():
@@ -40,12 +41,12 @@ def write_notifications(spark, sf_dir) -> str:
         )
         start, end = f"{year}-01-01", f"{year + 1}-01-01"
         rows = orders.where((F.col("o_orderdate") >= start) & (F.col("o_orderdate") < end)).select(
-            F.col("o_orderpriority").alias("bairro"),
+            F.concat("o_orderpriority", F.lit('\n"centro", norte;\n')).alias("bairro"),
             F.date_format("o_orderdate", fmt).alias(names[1]),
             F.col("o_orderkey").alias(names[0]),
         )
         sep = "," if file_year in COMMA_YEARS else ";"
-        rows.write.csv(f"{folder}/{FILE_NAME.format(year=file_year)}", header=True, sep=sep)
+        rows.write.csv(f"{folder}/{FILE_NAME.format(year=file_year)}", header=True, sep=sep, escape='"')
     return folder
 
 

@@ -27,14 +27,18 @@ def read_notifications(
     """``id, data`` as text with the file year and the place of each row in its file.
 
     Each year's file has its own header and separator, so there is one scan per year;
-    all are checked to be there before the first is read.
+    all are checked to be there before the first is read. Quoted cells may hold line breaks,
+    separators and doubled quotes, so the parser has to see a file from its start: a year's
+    file is one task, which streams through it. A year of cases bounds its length; what
+    Spark wrote as a folder is a task per part.
     """
     paths = {y: f"{folder}/{file_name.format(year=y)}" for y in years}
     require_files(spark, paths.values(), "notifications")
     commas = set(comma_years)
     frames = []
     for year, path in paths.items():
-        table = spark.read.csv(path, header=True, sep="," if year in commas else ";")
+        sep = "," if year in commas else ";"
+        table = spark.read.csv(path, header=True, sep=sep, multiLine=True, escape='"')
         placed = table.select(
             "*",
             F.col("_metadata.file_path").alias("_arquivo"),

@@ -62,6 +62,14 @@ def test_half_written_datasets_are_built_again(spark, tmp_path):
     assert files.load_or_build(spark, str(tmp_path / "raced"), other).count() == 7
 
 
+def test_notifications_with_line_breaks(spark, tmp_path):
+    text = 'bairro;nu_notific;dt_notific;obs\n"a\nb;""c""";1;02/01/2021;x\nd;2;03/01/2021;"\n\n;"\n\ne\\;3;04/01/2021;\n'
+    (tmp_path / "casos-de-dengue-2021.csv").write_text(text)
+    cases = clean_cases(notifications.read_notifications(spark, str(tmp_path), (2021,)))
+    rows = {r.id: str(r.data)[:10] for r in cases.collect()}
+    assert rows == {"1": "2021-01-02", "2": "2021-01-03", "3": "2021-01-04"}
+
+
 def test_notifications(spark, tmp_path):
     (tmp_path / "casos-de-dengue-2014.csv").write_text(
         "nu_notificacao;bairro;dt_notificacao\n1;x;2014/01/02 00:00:00\n1;y;2014/01/03 00:00:00\n"
