@@ -5,15 +5,19 @@ word's class after the class before it and of the word within its class.
 
 * Counts of all words come from the whole training text.
 * Words with at least ``ITEM_SHARE`` of all tokens are clustering items of their own; there
-  are at most 1 / ITEM_SHARE of them, however large the corpus. All other words, seen or not,
-  belong to the item of their ending.
+  are at most 1 / ITEM_SHARE of them, however large the corpus. All other words start in the
+  item of their ending.
 * Counts of neighbouring items are gathered by Spark into one row per item. In a sweep the
   items go through several lanes side by side. Within a lane one item after the other moves
   to the class in which the likelihood of the class bigrams is largest, and the next sees the
   move; lanes see each other's moves from the next sweep on. The classes with the best
   likelihood stay.
+* Every other word that occurs ``LEAST`` times or more, however many there are, is then placed
+  by its own neighbours: all executors move words, each to the class in which its occurrences
+  are likeliest under the class counts of that time. Only rarer and unseen words keep the class of their ending.
+* Class after class is counted anew over the whole training text with all words in their classes.
 * Words with at least ``HEAD_SHARE`` of all tokens are looked up in a broadcast table, bounded
-  by 1 / HEAD_SHARE entries; the others meet their counts in one join.
+  by 1 / HEAD_SHARE entries; the others meet their counts and classes in one join.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold_of, stored, text_bytes, words_of
+from .prefix_refinement import Alive, alive_filter
 
 ITEM_SHARE, HEAD_SHARE = 1e-4, 2e-6
+#: Occurrences from which on a word's own neighbours say its class.
+LEAST = 5
 #: Items of rare words, classes, sweeps of the exchange, and lanes that a sweep has side by side.
 ENDINGS, CLASSES, SWEEPS, LANES = 512, 96, 5, 4
 #: Added to every word count, and per class to every transition.
@@ -40,6 +48,8 @@ WORD_MASS, STEP_MASS = 0.1, 0.5
 #: Distinct words or item pairs that a task holds before it passes them on.
 HELD = 400_000
 PAIR = 1 << 20
+#: Added to the class of a word whose own class is not known yet.
+OPEN = 128
 
 
 def _ending(word: bytes) -> int:
@@ -278,162 +288,396 @@ def exchange(contexts: DataFrame, n_items: int, n_classes: int = CLASSES) -> tup
     return best[1], best[2]
 
 
-# The model -----------------------------------------------------------------------------
+# Words beyond the items -----------------------------------------------------------------
 
 
-@dataclass
-class ClassModel:
-    """Tables of bounded size. ``head`` maps a frequent word to (count, item)."""
+def word_neighbours(texts: DataFrame, items: dict[bytes, int], classes: np.ndarray, n_classes: int, left) -> DataFrame:
+    """(word, codes, times), added up within a task: neighbours of the training words that the
+    filter lets through and that are no items. A code is the class of what follows, or
+    ``n_classes`` more than the class of what leads, or 2 ``n_classes`` where a word follows
+    itself."""
+    shared = texts.sparkSession.sparkContext.broadcast((items, classes, left))
+    width = 2 * n_classes + 1
 
-    head: dict[bytes, tuple[int, int]]
-    classes: np.ndarray
-    steps: np.ndarray
-    in_class: np.ndarray
-    n_tokens: int
-    n_words: int
-    ends: int
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, of, bits = shared.value
+        alive = Alive(bits)
+        endings = of[1 : 1 + ENDINGS].tolist()
+        fixed = {word: int(of[item]) for word, item in table.items()}
+        # Words that are looked at count from n_classes on; all others are their class.
+        known, names, kinds = dict(fixed), [], list(range(n_classes))
+        lines: list[list[bytes]] = []
+        keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    @property
-    def log_base(self) -> float:
-        return math.log10(self.n_tokens + WORD_MASS * (self.n_words + 1))
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            new = list(set().union(*lines).difference(known))
+            for word, held in zip(new, alive.holds(b"", new).tolist()):
+                if held:
+                    known[word] = len(kinds)
+                    names.append(word)
+                    kinds.append(endings[_ending(word)])
+                else:
+                    known[word] = endings[_ending(word)]
+            codes = [0]
+            for words in lines:
+                codes.extend(map(known.__getitem__, words))
+                codes.append(0)
+            line = np.array(codes, np.int64)
+            kind = np.array(kinds, np.int64)[line]
+            own = line >= n_classes
+            loop = own[1:] & (line[1:] == line[:-1])
+            after = np.where(loop, 2 * n_classes, kind[1:])
+            fresh, n = np.unique(
+                np.concatenate([
+                    (line[:-1] * width + after)[own[:-1]],
+                    (line[1:] * width + n_classes + kind[:-1])[own[1:] & ~loop],
+                ]),
+                return_counts=True,
+            )
+            every, at = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
+            return every, np.bincount(at, np.concatenate([times, n]), len(every)).astype(np.int64)
 
+        def batch_of(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+            word, code = keys // width - n_classes, keys % width
+            starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            ends = pa.array(np.r_[starts, len(word)], pa.int32())
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([names[at] for at in word[starts].tolist()], pa.binary()),
+                    pa.ListArray.from_arrays(ends, pa.array(code, pa.int16())),
+                    pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())),
+                ],
+                names=["word", "codes", "times"],
+            )
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[ClassModel, DataFrame]:
-    """The model and the stored counts of all training words."""
-    texts = _texts(docs, id_col, text_col)
+        held = 0
+        for batch in batches:
+            for raw in batch.column("raw").to_pylist():
+                lines.append(words_of(raw))
+                held += len(lines[-1]) + 1
+                if held > 1_000_000:
+                    keys, times = merged()
+                    lines, held = [], 0
+                    if len(keys) > 4 * HELD or len(known) > HELD + len(fixed):
+                        if len(keys):
+                            yield batch_of(keys, times)
+                        keys, times = keys[:0], times[:0]
+                        known, names, kinds = dict(fixed), [], list(range(n_classes))
+        if lines:
+            keys, times = merged()
+        if len(keys):
+            yield batch_of(keys, times)
+
+    return texts.where("not held_out").select("raw").mapInArrow(
+        run, "word binary, codes array<smallint>, times array<int>"
+    )
+
+
+def log_steps(counts: np.ndarray) -> np.ndarray:
+    """log10 of the probability of a class after a class."""
+    smooth = (counts.sum(axis=0) + 1.0) / (counts.sum() + len(counts))
+    steps = counts + STEP_MASS * len(counts) * smooth[None, :]
+    return np.log10(steps / steps.sum(axis=1, keepdims=True))
+
+
+def best_places(own: np.ndarray, codes: np.ndarray, steps: np.ndarray, in_class: np.ndarray) -> np.ndarray:
+    """Class of each word, now ``own``, in which its occurrences are likeliest beside the classes
+    around them. A row of ``codes`` counts them as ``word_neighbours`` has them."""
+    k = len(steps)
+    after, before, loops = codes[:, :k], codes[:, k : 2 * k], codes[:, 2 * k :]
+    gain = after @ steps.T + before @ steps + loops * np.diag(steps)
+    gain -= (after.sum(axis=1, keepdims=True) + loops) * in_class
+    gain[:, 0] = -np.inf
+    best, each = gain.argmax(axis=1), np.arange(len(own))
+    return np.where(gain[each, best] > gain[each, own] + 1e-6, best, own)
+
+
+def placed_words(neighbours: DataFrame, classes: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(word, class) of the words with ``LEAST`` occurrences or more, from ``word_neighbours``.
+    A word's row is no longer than there are codes."""
+    width = 2 * len(counts) + 1
+    in_class = np.log10(np.maximum(counts.sum(axis=0), WORD_MASS))
+    shared = neighbours.sparkSession.sparkContext.broadcast(
+        (classes[1 : 1 + ENDINGS], log_steps(counts), in_class)
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        endings, steps, mass = shared.value
+        for batch in batches:
+            words, held = batch.column("word"), batch.column("held")
+            rows = np.repeat(np.arange(len(held)), held.value_lengths().to_numpy())
+            code, n = (held.flatten().field(name).to_numpy() for name in ("code", "n"))
+            codes = np.bincount(rows * width + code, n, len(held) * width).reshape(-1, width)
+            # Every occurrence is followed by one token.
+            often = codes[:, : width // 2].sum(axis=1) + codes[:, -1] >= LEAST
+            words = words.filter(pa.array(often))
+            own = endings[np.array([_ending(word) for word in words.to_pylist()], np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [words, pa.array(best_places(own, codes[often], steps, mass), pa.int16())],
+                names=["word", "class"],
+            )
+
+    return (
+        neighbours.repartition("word")
+        .select("word", F.explode(F.arrays_zip("codes", "times")).alias("one"))
+        .groupBy("word", F.col("one.codes").alias("code")).agg(F.sum("one.times").alias("n"))
+        .groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("held"))
+        .mapInArrow(run, "word binary, class smallint")
+    )
+
+
+def vocabulary(texts: DataFrame, n_classes: int = CLASSES) -> tuple[DataFrame, np.ndarray, int]:
+    """Stored (word, n, class) of all training words, the classes of the endings, and the
+    number of training texts."""
+    context = texts.sparkSession.sparkContext
     counts = stored(word_counts(texts), "ngram-words")
     ends = texts.where("not held_out").count()
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    n_tokens, n_words = total[0] + ends, total[1] + (ends > 0)
-    frequent = counts.where(F.col("n") >= max(2, math.ceil(HEAD_SHARE * n_tokens))).collect()
+    n_tokens = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0] + ends
+    frequent = counts.where(F.col("n") >= max(2, math.ceil(ITEM_SHARE * n_tokens))).collect()
     frequent.sort(key=lambda row: (-row["n"], row["word"]))
-    items: dict[bytes, int] = {}
-    for row in frequent:
-        if row["n"] >= ITEM_SHARE * n_tokens and len(items) * ITEM_SHARE < 1:
-            items[bytes(row["word"])] = 1 + ENDINGS + len(items)
-    n_items = 1 + ENDINGS + len(items)
+    items = {bytes(row["word"]): 1 + ENDINGS + at for at, row in enumerate(frequent)}
     contexts = stored(_contexts(item_pairs(texts, items)), "ngram-contexts")
-    classes, class_table = exchange(contexts, n_items)
-    head = {
-        bytes(row["word"]): (row["n"], items.get(bytes(row["word"]), 1 + _ending(bytes(row["word"]))))
-        for row in frequent
-    }
-    shared = docs.sparkSession.sparkContext.broadcast((items, classes))
+    classes, class_table = exchange(contexts, 1 + ENDINGS + len(items), n_classes)
+    left = alive_filter(
+        counts.where(F.col("n") >= LEAST).select(F.lit(b"").alias("lang"), F.col("word").alias("prefix"))
+    )
+    placed = placed_words(word_neighbours(texts, items, classes, n_classes, left), classes, class_table)
+    shared = context.broadcast((items, classes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, of = shared.value
-        words, tokens = np.zeros(len(class_table)), np.zeros(len(class_table))
+        of = of.tolist()
         for batch in batches:
-            at = [table.get(w) or 1 + _ending(w) for w in batch.column("word").to_pylist()]
-            kinds = of[np.array(at, np.int64)]
-            words += np.bincount(kinds, minlength=len(words))
-            tokens += np.bincount(kinds, batch.column("n").to_numpy(), len(tokens))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(len(words)), pa.int64()), pa.array(words), pa.array(tokens)],
-            names=["class", "words", "tokens"],
-        )
+            kinds = [
+                of[table.get(word) or 1 + _ending(word)] if kind is None else kind
+                for word, kind in zip(batch.column("word").to_pylist(), batch.column("class").to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"), batch.column("n"), pa.array(kinds, pa.int16())],
+                names=["word", "n", "class"],
+            )
 
-    per_class = counts.mapInArrow(run, "class long, words double, tokens double").groupBy("class").agg(
-        F.sum("words").alias("words"), F.sum("tokens").alias("tokens")
-    ).collect()
-    in_class = np.zeros(len(class_table))
-    # A class that takes rare words keeps the mass of one unseen word.
-    in_class[np.unique(classes[1 : 1 + ENDINGS])] += WORD_MASS
-    for row in per_class:
-        in_class[row["class"]] += row["tokens"] + WORD_MASS * row["words"]
-    smooth = (class_table.sum(axis=0) + 1.0) / (class_table.sum() + len(class_table))
-    steps = class_table + STEP_MASS * len(class_table) * smooth[None, :]
-    steps /= steps.sum(axis=1, keepdims=True)
-    model = ClassModel(
-        head, classes, np.log10(steps), np.log10(np.maximum(in_class, WORD_MASS)),
-        n_tokens, n_words, ends,
-    )
-    return model, counts
+    words = counts.join(placed, "word", "left").mapInArrow(run, "word binary, n long, class smallint")
+    return stored(words, "ngram-classes"), classes[1 : 1 + ENDINGS], ends
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity).
+# The model -----------------------------------------------------------------------------
 
-    Learns from the rows whose fold is not 0 and scores all rows, whole texts. Null and
-    empty texts are an end alone. A null id is folded as the empty text, which holds it out.
-    Rows are scored one by one, so ids may repeat. Without training rows every token is
-    unseen, and both scores follow from the added masses; an empty table gives no rows.
-    """
-    texts = _texts(docs, id_col, text_col)
-    model, counts = fit(docs, id_col, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+@dataclass
+class ClassModel:
+    """Tables of bounded size: log10 of a class after a class, and of a class's mass."""
+
+    steps: np.ndarray
+    in_class: np.ndarray
+    n_tokens: int
+    n_words: int
+
+
+def _log_base(n_tokens: int, n_words: int) -> float:
+    return math.log10(n_tokens + WORD_MASS * (n_words + 1))
+
+
+def class_paths(texts: DataFrame, words: DataFrame, endings: np.ndarray, n_tokens: int, ends: int) -> DataFrame:
+    """Stored (doc_id, held_out, n_tokens, n_known, mass, path) of all texts: the path holds a
+    byte per token, its class, and the end's 0; the mass is the sum of log10(count + WORD_MASS)
+    over the words."""
     kind = dict(texts.dtypes)["doc_id"]
+    head = words.where(F.col("n") >= max(2, math.ceil(HEAD_SHARE * n_tokens))).collect()
+    shared = texts.sparkSession.sparkContext.broadcast((
+        {bytes(row["word"]): at for at, row in enumerate(head)},
+        np.array([row["class"] for row in head] + [0], np.uint8),
+        np.log10(np.array([row["n"] for row in head] + [1 - WORD_MASS]) + WORD_MASS),
+        endings,
+    ))
+    del head
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m: ClassModel = shared.value
-        head = m.head
-        logs = {word: math.log10(n + WORD_MASS) for word, (n, _) in head.items()}
-        kinds = {word: int(m.classes[item]) for word, (_, item) in head.items()}
-        endings = m.classes[1 : 1 + ENDINGS].tolist()
+        table, kinds, logs, of = shared.value
+        of = of.tolist()
         row_id = TaskContext.get().partitionId() << 33
-        end_log = math.log10(m.ends + WORD_MASS)
         for batch in batches:
-            n_tokens, n_known, base, model_sum, rare, rare_n, ids = [], [], [], [], [], [], []
+            n_tokens, n_known, mass, path, rare, rare_n, slots, ids = [], [], [], [], [], [], [], []
             for raw in batch.column("raw").to_pylist():
-                words = words_of(raw)
-                line, mass, known = [0], 0.0, 0
-                unknown: dict[bytes, int] = {}
-                for word in words:
-                    at = kinds.get(word)
-                    if at is None:
-                        line.append(endings[_ending(word)])
-                        unknown[word] = unknown.get(word, 0) + 1
-                    else:
-                        line.append(at)
-                        mass += logs[word]
-                        known += 1
-                line.append(0)
-                path = np.array(line)
-                n = len(words) + 1
-                inner = float(m.steps[path[:-1], path[1:]].sum()) - float(m.in_class[path[1:-1]].sum())
-                n_tokens.append(n)
-                n_known.append(known + (m.ends > 0))
-                base.append(mass + end_log - n * m.log_base)
-                model_sum.append(mass + inner)
-                rare.append(list(unknown))
-                rare_n.append(list(unknown.values()))
+                line = words_of(raw)
+                # -1 is the last entry of the tables: class 0, log 0.
+                at = np.fromiter(map(table.get, line, repeat(-1)), np.int64, len(line))
+                way = np.append(kinds[at], np.uint8(0))
+                others = np.flatnonzero(at < 0).tolist()
+                slot: dict[bytes, int] = {}
+                order = [slot.setdefault(line[i], len(slot)) for i in others]
+                if others:
+                    way[others] = np.array([OPEN + of[_ending(word)] for word in slot], np.uint8)[order]
+                n_tokens.append(len(line) + 1)
+                n_known.append(len(line) - len(others) + (ends > 0))
+                mass.append(float(logs[at].sum()))
+                path.append(way.tobytes())
+                rare.append(list(slot))
+                rare_n.append(np.bincount(order).tolist() if order else [])
+                slots.append(order)
                 ids.append(row_id)
                 row_id += 1
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()), batch.column("doc_id"), batch.column("held_out"),
                     pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(base, pa.float64()), pa.array(model_sum, pa.float64()),
+                    pa.array(mass, pa.float64()), pa.array(path, pa.binary()),
                     pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32())),
+                    pa.array(slots, pa.list_(pa.int32())),
+                ],
+                names=[
+                    "row_id", "doc_id", "held_out", "n_tokens", "n_known", "known_mass", "path",
+                    "rare", "rare_n", "slots",
                 ],
-                names=["row_id", "doc_id", "held_out", "n_tokens", "n_known", "base", "inner", "rare", "rare_n"],
+            )
+
+    def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = []
+            for path, slots, found in zip(
+                batch.column("path").to_pylist(), batch.column("slots"), batch.column("found")
+            ):
+                way = np.frombuffer(path, np.uint8).copy()
+                others = np.flatnonzero(way >= OPEN)
+                if len(others):
+                    way[others] -= OPEN
+                    order = slots.values.to_numpy()
+                    own = np.zeros(order.max() + 1, np.uint8)
+                    own[order] = way[others]
+                    if found.is_valid and len(found):
+                        own[found.values.field("slot").to_numpy()] = found.values.field("class").to_numpy()
+                    way[others] = own[order]
+                paths.append(way.tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(name) for name in ("doc_id", "held_out", "n_tokens", "n_known", "mass")],
+                    pa.array(paths, pa.binary()),
+                ],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "mass", "path"],
             )
 
     rows = stored(
         texts.mapInArrow(
             run,
-            f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, "
-            "inner double, rare array<binary>, rare_n array<int>",
+            f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, known_mass double, "
+            "path binary, rare array<binary>, rare_n array<int>, slots array<int>",
         ),
         "ngram-rows",
     )
-    rare = rows.select("row_id", F.explode(F.arrays_zip("rare", "rare_n")).alias("entry")).select(
-        "row_id", F.col("entry.rare").alias("word"), F.col("entry.rare_n").alias("times")
+    rare = rows.select("row_id", F.posexplode(F.arrays_zip("rare", "rare_n")).alias("slot", "entry")).select(
+        "row_id", "slot", F.col("entry.rare").alias("word"), F.col("entry.rare_n").alias("times")
     )
     log = F.log10(F.coalesce(F.col("n"), F.lit(0)) + F.lit(WORD_MASS))
     added = (
-        rare.join(counts, "word", "left").groupBy("row_id")
+        rare.join(words, "word", "left").groupBy("row_id")
         .agg(
-            F.sum(F.col("times") * log).alias("mass"),
+            F.sum(F.col("times") * log).alias("rare_mass"),
             F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known"),
+            F.collect_list(F.when(F.col("n") > 0, F.struct("slot", "class"))).alias("found"),
         )
     )
-    mass = F.coalesce(F.col("mass"), F.lit(0.0))
-    total = F.col("inner") + mass
-    return rows.drop("rare", "rare_n").join(added, "row_id", "left").select(
-        "doc_id", "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce(F.col("known"), F.lit(0))).alias("n_known"),
-        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + mass).alias("base_score"), total.alias("score"),
-        F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
+    return stored(
+        rows.drop("rare", "rare_n").join(added, "row_id", "left").select(
+            "doc_id", "held_out", "n_tokens",
+            (F.col("n_known") + F.coalesce(F.col("known"), F.lit(0))).alias("n_known"),
+            (F.col("known_mass") + F.coalesce(F.col("rare_mass"), F.lit(0.0))).alias("mass"),
+            "path", "slots", "found",
+        ).mapInArrow(
+            resolved,
+            f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, mass double, path binary",
+        ),
+        "ngram-paths",
+    )
+
+
+def _line(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The paths of a batch in one line, behind an end, and where each begins."""
+    path = batch.column("path").to_pylist()
+    starts = np.cumsum([0, *map(len, path[:-1])])
+    return np.frombuffer(b"\0" + b"".join(path), np.uint8).astype(np.int64), starts
+
+
+def path_counts(paths: DataFrame, n_classes: int) -> np.ndarray:
+    """Counts of class after class over the training texts, summed on the executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_classes * n_classes, np.int64)
+        for batch in batches:
+            line, _ = _line(batch)
+            total += np.bincount(line[:-1] * n_classes + line[1:], minlength=len(total))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
+
+    out = np.zeros(n_classes * n_classes)
+    for row in (
+        paths.where("not held_out").select("path").mapInArrow(run, "cell long, n long")
+        .groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    ):
+        out[row["cell"]] = row["n"]
+    return out.reshape(n_classes, n_classes)
+
+
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[ClassModel, DataFrame, DataFrame]:
+    """The model, the stored (word, n, class) of all training words, and the stored class paths
+    of all texts."""
+    texts = _texts(docs, id_col, text_col)
+    words, endings, ends = vocabulary(texts)
+    per_class = words.groupBy("class").agg(
+        F.count(F.lit(1)).alias("words"), F.sum("n").alias("tokens")
+    ).collect()
+    n_tokens = sum(row["tokens"] for row in per_class) + ends
+    n_words = sum(row["words"] for row in per_class) + (ends > 0)
+    in_class = np.zeros(CLASSES)
+    # A class that takes rare words keeps the mass of one unseen word.
+    in_class[np.unique(endings)] += WORD_MASS
+    for row in per_class:
+        in_class[row["class"]] += row["tokens"] + WORD_MASS * row["words"]
+    in_class = np.log10(np.maximum(in_class, WORD_MASS))
+    # The end is the only token of its class.
+    in_class[0] = 0.0
+    paths = class_paths(texts, words, endings, n_tokens, ends)
+    steps = log_steps(path_counts(paths, CLASSES))
+    log_end = math.log10(ends + WORD_MASS)
+    paths = paths.withColumn(
+        "base_score",
+        F.col("mass") + F.lit(log_end) - F.col("n_tokens") * F.lit(_log_base(n_tokens, n_words)),
+    )
+    return ClassModel(steps, in_class, n_tokens, n_words), words, paths
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity).
+
+    Learns from the rows whose fold is not 0 and scores all rows, whole texts. Null and
+    empty texts are an end alone. A null id is folded as the empty text, which holds it out.
+    Rows are scored one by one, so ids may repeat. Without training rows every token is
+    unseen, and both scores follow from the added masses; an empty table gives no rows.
+    """
+    model, _, paths = fit(docs, id_col, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = dict(paths.dtypes)["doc_id"]
+    kept = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: ClassModel = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            line, starts = _line(batch)
+            inner = np.add.reduceat(m.steps[line[:-1], line[1:]] - m.in_class[line[1:]], starts)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(name) for name in kept],
+                    pa.array(batch.column("mass").to_numpy() + inner, pa.float64()),
+                ],
+                names=[*kept, "score"],
+            )
+
+    return paths.mapInArrow(
+        run,
+        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double",
+    ).select(
+        "doc_id", "held_out", "n_tokens", "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"), "base_score", "score",
+        F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )

@@ -321,6 +321,72 @@ def test_class_model_against_counts(spark, docs, no_docs):
     assert class_ngram.score(no_docs).count() == 0
 
 
+def test_rare_words_are_placed_by_their_neighbours(spark):
+    # Words of at most 8 occurrences among some 110,000 tokens are no items; all end alike, but
+    # those of one half stand in other surroundings than those of the other.
+    draw = random.Random(3)
+    texts = []
+    for i in range(400):
+        filler = [f"f{2 * at + i % 2}" for at in range(100)]
+        line = []
+        for j in range(2):
+            line += [*draw.choices(filler, k=150), f"w{(i // 2 * 2 + j) % 50 * 2 + i % 2}ing"]
+        texts.append(" ".join([*line, draw.choice(filler)]))
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model, found, _ = class_ngram.fit(table)
+    rows = {bytes(r["word"]).decode(): r for r in found.collect()}
+    placed = {w: r for w, r in rows.items() if w.endswith("ing") and r.n >= class_ngram.LEAST}
+    assert len(placed) > 60
+    assert max(r.n for r in placed.values()) < class_ngram.ITEM_SHARE * model.n_tokens
+    kinds = [{r["class"] for w, r in placed.items() if int(w[1:-3]) % 2 == side} for side in (0, 1)]
+    assert not kinds[0] & kinds[1]
+
+
+def test_class_model_scores_against_plain_counts(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    lines = {r.doc_id: [w.encode() for w in words(r.text)] for r in table.collect()}
+    train = Counter(w for doc_id, line in lines.items() if fold(doc_id, 10) for w in line)
+    _, found, _ = class_ngram.fit(table)
+    kinds = {bytes(r["word"]): r["class"] for r in found.collect()}
+    assert {bytes(r["word"]): r.n for r in found.collect()} == train
+    texts = class_ngram._texts(table, "doc_id", "text")
+    endings = class_ngram.vocabulary(texts)[1]
+    k = class_ngram.CLASSES
+    paths = {
+        doc_id: [0, *(kinds.get(w, endings[zlib.crc32(w[-3:]) % class_ngram.ENDINGS]) for w in line), 0]
+        for doc_id, line in lines.items()
+    }
+    counts, mass = np.zeros((k, k)), np.zeros(k)
+    for doc_id, path in paths.items():
+        if fold(doc_id, 10):
+            np.add.at(counts, (path[:-1], path[1:]), 1)
+    for w, n in train.items():
+        mass[kinds[w]] += n + 0.1
+    mass[np.unique(endings)] += 0.1
+    steps = class_ngram.log_steps(counts)
+    for r in class_ngram.score(table).collect():
+        path = paths[r.doc_id]
+        want = steps[path[:-1], path[1:]].sum()
+        want += sum(math.log10((train[w] + 0.1) / mass[c]) for w, c in zip(lines[r.doc_id], path[1:]))
+        assert r.score == pytest.approx(want)
+
+
+def test_places_are_the_likeliest():
+    draw = np.random.default_rng(4)
+    k, n = 6, 30
+    steps = class_ngram.log_steps(draw.poisson(3, (k, k)).astype(float))
+    mass = draw.normal(size=k)
+    codes = draw.poisson(1, (n, 2 * k + 1)).astype(float)
+    own = draw.integers(1, k, n)
+    got = class_ngram.best_places(own, codes, steps, mass)
+    for row, best in zip(codes, got):
+        def likely(c):
+            total = sum(row[j] * steps[c, j] + row[k + j] * steps[j, c] for j in range(k))
+            return total + row[2 * k] * steps[c, c] - (row[:k].sum() + row[2 * k]) * mass[c]
+
+        assert likely(best) == pytest.approx(max(map(likely, range(1, k))))
+
+
 def test_exchange_step_finds_the_best_class():
     draw = np.random.default_rng(1)
     n, k = 20, 5
