@@ -14,6 +14,7 @@ the count of the next level: results are exact whatever the filter does.
 
 from __future__ import annotations
 
+import re
 import string
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
@@ -58,6 +59,14 @@ def terms_of(raw: bytes) -> list[bytes]:
     return raw.translate(TERM_BYTES).split()
 
 
+def terms_from(least: int) -> Callable[[bytes], list[bytes]]:
+    """As ``terms_of``, but only terms of ``least`` bytes or more."""
+    if least < 2:
+        return terms_of
+    found = re.compile(rb"[^ ]{%d,}" % least).findall
+    return lambda raw: found(raw.translate(TERM_BYTES))
+
+
 # Prefixes that are left ----------------------------------------------------------------
 
 
@@ -136,12 +145,14 @@ def kept_only(lang: bytes, left: Alive):
     return find
 
 
-def _together(batch: pa.RecordBatch, *names: str) -> Iterator[tuple[tuple, list[list[bytes]]]]:
+def _together(
+    batch: pa.RecordBatch, *names: str, split: Callable[[bytes], list[bytes]] = terms_of
+) -> Iterator[tuple[tuple, list[list[bytes]]]]:
     """Terms of the texts of a batch by group, some texts at a time."""
     groups: dict[tuple, list[list[bytes]]] = defaultdict(list)
     size = 0
     for group, raw in zip(zip(*(batch.column(n).to_pylist() for n in names)), batch.column("raw")):
-        terms = terms_of(raw.as_py())
+        terms = split(raw.as_py())
         groups[group].append(terms)
         size += len(terms)
         if size > TOGETHER:
@@ -185,15 +196,16 @@ def _prefix_counts(rows: DataFrame, level: int, before: int, alive) -> DataFrame
         left = Alive(alive.value) if alive else None
         fates: dict[bytes, Fates] = {}
         tally = Tally("lang", "prefix", "docs")
+        # Shorter terms were complete at the level before.
+        split = terms_from(before)
         for batch in batches:
-            for (lang,), texts in _together(batch, "lang"):
+            for (lang,), texts in _together(batch, "lang", split=split):
                 if left is None:
                     found = ({term[:level] for term in set(terms)} for terms in texts)
                 else:
                     if lang not in fates:
                         fates[lang] = Fates(longer_prefixes(lang, level, before, left))
-                    # Shorter terms were complete at the level before.
-                    texts = [{term for term in terms if len(term) >= before} for terms in texts]
+                    texts = list(map(set, texts))
                     prefix = fates[lang].of(texts)
                     found = (set(map(prefix, terms)) for terms in texts)
                 for prefixes in found:

@@ -207,6 +207,13 @@ def test_divergence_of_odd_rows(docs, no_docs):
     assert prefix_refinement.divergence(no_docs.withColumn("lang", F.lit("x"))).count() == 0
 
 
+def test_longer_terms_are_split_alone():
+    raw = "Ab abc-ABCD\nstra\u00dfe \u00e9\u00e9\u00a0x a1bcde\x7fzz \u4e2d\u6587".encode()
+    for least in range(9):
+        want = [term for term in prefix_refinement.terms_of(raw) if len(term) >= least]
+        assert prefix_refinement.terms_from(least)(raw) == want
+
+
 def test_refinement_is_exact_through_a_full_filter(files, monkeypatch):
     # A filter of eight bytes lets nearly everything through.
     monkeypatch.setattr(prefix_refinement, "MOST_BITS", 15)
