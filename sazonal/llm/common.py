@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,6 +97,54 @@ def words_of(raw: bytes) -> list[bytes]:
     return raw.lower().split()
 
 
+#: Bytes as ``words_of`` takes them: A-Z in lower case, white space as blanks.
+WORD_BYTES = bytes(32 if byte in b"\t\n\v\f\r" else byte for byte in bytes(range(256)).lower())
+
+
+def coded_words(texts: pa.Array, fold: bytes, least: int = 1) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of a column of texts in bytes, the number among them of each word in
+    reading order, and the position there of each text's first word (at last: of the end).
+
+    ``fold`` maps every byte; words are what then lies between blanks. Words of fewer than
+    ``least`` bytes are left out. The column is split at once, so no word becomes an object.
+    """
+    bounds = np.zeros(1, np.int64)
+    if len(texts):
+        _, offsets, data = texts.buffers()
+        bounds = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    if bounds[-1] == bounds[0]:
+        return pa.array([], pa.binary()), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
+    raw = memoryview(data)[int(bounds[0]) : int(bounds[-1])].tobytes().translate(fold)
+    raw, bounds = np.frombuffer(raw, np.uint8), bounds - bounds[0]
+    inside = raw != 32
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    last[:-1] &= ~inside[1:]
+    # Words begin and end with their texts, too.
+    begins, ends = bounds[:-1][bounds[:-1] < len(raw)], bounds[1:][bounds[1:] > 0] - 1
+    first[begins], last[ends] = inside[begins], inside[ends]
+    starts = np.flatnonzero(first)
+    sizes = np.flatnonzero(last) + 1 - starts
+    letters = raw[inside]
+    if least > 1:
+        long = sizes >= least
+        letters = letters[np.repeat(long, sizes)]
+        starts, sizes = starts[long], sizes[long]
+    offsets = np.zeros(len(sizes) + 1, np.int32)
+    np.cumsum(sizes, out=offsets[1:])
+    coded = pa.BinaryArray.from_buffers(
+        pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+    ).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), np.searchsorted(starts, bounds)
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order, and how often each occurs."""
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+    return keys[at], np.diff(np.r_[at, len(keys)])
+
+
 def fold_of(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as an empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

@@ -7,27 +7,29 @@ level. A prefix shorter than its level is a complete term: it is kept or discard
 The levels end when no incomplete prefix is left. Long tails of rare terms are dropped as a
 few short prefixes and never become rows of their own.
 
-A last pass counts the kept terms by source. Tasks know which prefixes are left from a Bloom filter of bounded size. What it lets through
-wrongly lies below a discarded prefix, is in too few documents as well, and is discarded by
-the count of the next level: results are exact whatever the filter does.
+A last pass counts the kept terms by source. Tasks split whole batches of texts into numbered
+terms and count the numbers. They know which prefixes are left from a Bloom filter of bounded
+size. What it lets through wrongly lies below a discarded prefix, is in too few documents as
+well, and is discarded by the count of the next level: results are exact whatever the filter
+does.
 """
 
 from __future__ import annotations
 
 import re
 import string
-from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored, text_bytes
+from .common import coded_words, distinct, stored, text_bytes
 
 #: Documents of its language that a kept term occurs in, at least.
 LEAST = 10
@@ -38,10 +40,8 @@ PARTS = 1_000_000_000
 #: log2 of the bits of a filter: at least, and at most (32 MB; at 30 million prefixes one in
 #: fifty others passes).
 FEWEST_BITS, MOST_BITS = 18, 28
-#: Counts that a task holds before it hands them on, and terms whose fate it remembers.
-HELD = 400_000
-#: Counts by source that a task holds; terms of texts that are looked at together.
-HELD_COUNTS, TOGETHER = 1_000_000, 200_000
+#: Counts that a task holds before it hands them on; counts by source; rows it hands on at once.
+HELD, HELD_COUNTS, ROWS = 400_000, 1_000_000, 100_000
 #: Byte between a language and a prefix; no term holds it.
 CUT = b"\x00"
 
@@ -80,11 +80,14 @@ class Alive:
     def holds(self, lang: bytes, prefixes: list[bytes]) -> np.ndarray:
         """Which of the prefixes may be left."""
         head = lang + CUT
+        return self.holds_keys([head + prefix for prefix in prefixes])
+
+    def holds_keys(self, keys: list[bytes]) -> np.ndarray:
+        """As ``holds``, for languages and prefixes with the byte between them."""
         # Spark's xxhash64 of a binary value.
-        digests = map(xxhash.xxh64_intdigest, [head + prefix for prefix in prefixes], repeat(42))
-        value = np.fromiter(digests, np.uint64, len(prefixes))
+        value = np.fromiter(map(xxhash.xxh64_intdigest, keys, repeat(42)), np.uint64, len(keys))
         place, step = value & np.uint64(0xFFFFFFFF), value >> np.uint64(32) | np.uint64(1)
-        out = np.ones(len(prefixes), bool)
+        out = np.ones(len(keys), bool)
         for _ in range(4):
             at = place & self.mask
             out &= self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 > 0
@@ -109,84 +112,51 @@ def alive_filter(left: DataFrame) -> np.ndarray:
     return out
 
 
-class Fates:
-    """What becomes of the terms of a language, by term: a key to count, or None. Found for
-    many terms at a time; emptied when full."""
-
-    def __init__(self, find: Callable[[list[bytes]], list[bytes | None]]):
-        self.find = find
-        self.known: dict[bytes, bytes | None] = {}
-
-    def of(self, groups: list) -> Callable[[bytes], bytes | None]:
-        """The look-up, with all terms of ``groups`` in it."""
-        if len(self.known) > HELD:
-            self.known = {}
-        new = list(set().union(*groups).difference(self.known))
-        self.known.update(zip(new, self.find(new)))
-        return self.known.__getitem__
-
-
-def longer_prefixes(lang: bytes, level: int, before: int, left: Alive):
-    """A term's prefix at a level, or None where its shorter one is discarded."""
-
-    def find(terms: list[bytes]) -> list[bytes | None]:
-        held = left.holds(lang, [term[:before] for term in terms]).tolist()
-        return [term[:level] if one else None for term, one in zip(terms, held)]
-
-    return find
-
-
-def kept_only(lang: bytes, left: Alive):
-    """A term itself, or None where it is surely not kept."""
-
-    def find(terms: list[bytes]) -> list[bytes | None]:
-        return [term if held else None for term, held in zip(terms, left.holds(lang, terms).tolist())]
-
-    return find
-
-
-def _together(
-    batch: pa.RecordBatch, *names: str, split: Callable[[bytes], list[bytes]] = terms_of
-) -> Iterator[tuple[tuple, list[list[bytes]]]]:
-    """Terms of the texts of a batch by group, some texts at a time."""
-    groups: dict[tuple, list[list[bytes]]] = defaultdict(list)
-    size = 0
-    for group, raw in zip(zip(*(batch.column(n).to_pylist() for n in names)), batch.column("raw")):
-        terms = split(raw.as_py())
-        groups[group].append(terms)
-        size += len(terms)
-        if size > TOGETHER:
-            yield from groups.items()
-            groups, size = defaultdict(list), 0
-    yield from groups.items()
+def _left(alive: Alive, lang: pa.Array, prefixes: pa.Array) -> np.ndarray:
+    """Which of the rows (lang, prefix) may be left; equal ones are looked up once."""
+    keys = pc.binary_join_element_wise(lang, prefixes, pa.scalar(CUT, pa.binary())).dictionary_encode()
+    return alive.holds_keys(keys.dictionary.to_pylist())[keys.indices.to_numpy()]
 
 
 class Tally:
-    """Counters by group that are handed on as rows (*group, key, n) when they hold much."""
+    """Counts of keys by group, added up and handed on as rows (*group, key, n) when they are
+    many."""
 
     def __init__(self, *names: str):
         self.names = names
-        self.counters: dict[tuple, Counter] = {}
+        self.numbers: dict[tuple, int] = {}
+        self.held: list[pa.Table] = []
         self.size = 0
 
-    def add(self, group: tuple, keys) -> None:
-        counter = self.counters.get(group)
-        if counter is None:
-            counter = self.counters[group] = Counter()
-        self.size -= len(counter)
-        counter.update(keys)
-        self.size += len(counter)
+    def groups(self, batch: pa.RecordBatch) -> np.ndarray:
+        """The number of each row's group."""
+        rows = zip(*(batch.column(name).to_pylist() for name in self.names[:-2]))
+        return np.array([self.numbers.setdefault(row, len(self.numbers)) for row in rows], np.int64)
 
-    def rows(self, least: int) -> Iterator[pa.RecordBatch]:
-        if self.size <= least:
+    def parts(self, group: np.ndarray, part: int) -> pa.Array:
+        """A column of the groups by their numbers."""
+        return pa.array([row[part] for row in self.numbers], pa.binary()).take(pa.array(group))
+
+    def add(self, group: np.ndarray, keys: pa.Array, n: np.ndarray) -> None:
+        """Add counts of distinct (group, key)."""
+        self.held.append(pa.table([pa.array(group), keys, pa.array(n, pa.int64())], names=["group", "key", "n"]))
+        self.size += len(keys)
+
+    def rows(self, most: int) -> Iterator[pa.RecordBatch]:
+        if self.size <= most:
             return
-        for group, counter in self.counters.items():
-            counter.pop(None, None)
-            if counter:
-                columns = [pa.array([part] * len(counter), pa.binary()) for part in group]
-                columns += [pa.array(list(counter), pa.binary()), pa.array(list(counter.values()), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, names=self.names)
-        self.counters, self.size = {}, 0
+        table = pa.concat_tables(self.held)
+        if len(self.held) > 1:
+            table = table.group_by(["group", "key"], use_threads=False).aggregate([("n", "sum")])
+            # What shrinks well is worth holding on to.
+            if 2 * len(table) <= most:
+                self.held, self.size = [table.rename_columns(["group", "key", "n"])], len(table)
+                return
+        for batch in table.to_batches(ROWS):
+            group = batch.column(0).to_numpy()
+            columns = [self.parts(group, part) for part in range(len(self.names) - 2)]
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[1:]], names=list(self.names))
+        self.numbers, self.held, self.size = {}, [], 0
 
 
 def _prefix_counts(rows: DataFrame, level: int, before: int, alive) -> DataFrame:
@@ -194,23 +164,25 @@ def _prefix_counts(rows: DataFrame, level: int, before: int, alive) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = Alive(alive.value) if alive else None
-        fates: dict[bytes, Fates] = {}
         tally = Tally("lang", "prefix", "docs")
-        # Shorter terms were complete at the level before.
-        split = terms_from(before)
         for batch in batches:
-            for (lang,), texts in _together(batch, "lang", split=split):
-                if left is None:
-                    found = ({term[:level] for term in set(terms)} for terms in texts)
-                else:
-                    if lang not in fates:
-                        fates[lang] = Fates(longer_prefixes(lang, level, before, left))
-                    texts = list(map(set, texts))
-                    prefix = fates[lang].of(texts)
-                    found = (set(map(prefix, terms)) for terms in texts)
-                for prefixes in found:
-                    tally.add((lang,), prefixes)
-                yield from tally.rows(HELD)
+            # Shorter terms were complete at the level before.
+            terms, codes, starts = coded_words(batch.column("raw"), TERM_BYTES, before)
+            if not len(terms):
+                continue
+            coded = pc.binary_slice(terms, 0, level).dictionary_encode()
+            prefixes, width = coded.dictionary, len(coded.dictionary)
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(starts))
+            once, _ = distinct(doc * width + coded.indices.to_numpy()[codes])
+            doc, prefix = np.divmod(once, width)
+            keys, docs = distinct(tally.groups(batch)[doc] * width + prefix)
+            group, prefix = np.divmod(keys, width)
+            prefixes = prefixes.take(pa.array(prefix))
+            if left is not None:
+                held = _left(left, tally.parts(group, 0), pc.binary_slice(prefixes, 0, before))
+                group, prefixes, docs = group[held], prefixes.filter(pa.array(held)), docs[held]
+            tally.add(group, prefixes, docs)
+            yield from tally.rows(HELD)
         yield from tally.rows(0)
 
     return rows.select("lang", "raw").mapInArrow(run, "lang binary, prefix binary, docs long")
@@ -221,16 +193,17 @@ def _term_counts(rows: DataFrame, alive) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = Alive(alive.value)
-        fates: dict[bytes, Fates] = {}
         tally = Tally("lang", "source", "term", "n")
         for batch in batches:
-            for (lang, source), texts in _together(batch, "lang", "source"):
-                if lang not in fates:
-                    fates[lang] = Fates(kept_only(lang, left))
-                kept = fates[lang].of(texts)
-                for terms in texts:
-                    tally.add((lang, source), map(kept, terms))
-                yield from tally.rows(HELD_COUNTS)
+            terms, codes, starts = coded_words(batch.column("raw"), TERM_BYTES)
+            if not len(terms):
+                continue
+            keys, n = distinct(np.repeat(tally.groups(batch), np.diff(starts)) * len(terms) + codes)
+            group, term = np.divmod(keys, len(terms))
+            found = terms.take(pa.array(term))
+            held = _left(left, tally.parts(group, 0), found)
+            tally.add(group[held], found.filter(pa.array(held)), n[held])
+            yield from tally.rows(HELD_COUNTS)
         yield from tally.rows(0)
 
     return rows.mapInArrow(run, "lang binary, source binary, term binary, n long")

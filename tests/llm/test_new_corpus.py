@@ -7,11 +7,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest_rows import DOCS, ROWS
 from pyspark.sql import functions as F
 
 from sazonal.llm import mixture_packing, phrase_trie, prefix_refinement
+from sazonal.llm.common import WORD_BYTES, coded_words, words_of
 from sazonal.llm.mixture_packing import Queue, Sequences
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -214,6 +216,43 @@ def test_longer_terms_are_split_alone():
         assert prefix_refinement.terms_from(least)(raw) == want
 
 
+def test_batches_are_split_as_their_texts_are():
+    draw = random.Random(4)
+    pieces = ["Ab", "été", "日本語", " ", "\n", "\t\v\f\r", "\x00", "\x1c", "\x85", "\xa0", "-", "Z", "x" * 30, ""]
+    texts = ["", " ", "A", *("".join(draw.choices(pieces, k=draw.randrange(9))) for _ in range(300)), "b", ""]
+    whole = pa.array([text.encode() for text in texts], pa.binary())
+    for fold, plain in ((prefix_refinement.TERM_BYTES, prefix_refinement.terms_of), (WORD_BYTES, words_of)):
+        for least in (1, 2, 7):
+            for column in (whole, whole.slice(3, 200), whole.slice(1, 1), whole[:0], pa.array([], pa.binary())):
+                words, codes, starts = coded_words(column, fold, least)
+                got = words.take(pa.array(codes)).to_pylist()
+                want = [[w for w in plain(raw) if len(w) >= least] for raw in column.to_pylist()]
+                assert [got[a:b] for a, b in zip(starts, starts[1:])] == want
+                assert len(set(words.to_pylist())) == len(words)
+
+
+def test_tally_adds_up_and_hands_on():
+    draw = random.Random(5)
+    tally = prefix_refinement.Tally("lang", "source", "term", "n")
+    want, got, batches = Counter(), Counter(), 0
+    for _ in range(40):
+        rows = [(draw.choice([b"", b"de"]), draw.choice([b"s", b"t", b""])) for _ in range(9)]
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(column, pa.binary()) for column in zip(*rows)], names=["lang", "source"])
+        group = tally.groups(batch)
+        counts = Counter((int(g), bytes([draw.randrange(40)])) for g in group)
+        names = dict(zip(group.tolist(), rows))
+        want.update({(*names[g], term): n for (g, term), n in counts.items()})
+        tally.add(np.array([g for g, _ in counts]), pa.array([t for _, t in counts]), np.array([*counts.values()]))
+        for out in [*tally.rows(60)]:
+            batches += 1
+            got.update({tuple(row[:3]): row[3] for row in zip(*out.to_pydict().values())})
+    assert batches < 30
+    for out in tally.rows(0):
+        got.update({tuple(row[:3]): row[3] for row in zip(*out.to_pydict().values())})
+    assert got == want and not [*tally.rows(0)]
+
+
 def test_refinement_is_exact_through_a_full_filter(files, monkeypatch):
     # A filter of eight bytes lets nearly everything through.
     monkeypatch.setattr(prefix_refinement, "MOST_BITS", 15)
