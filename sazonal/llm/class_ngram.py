@@ -24,19 +24,19 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold_of, stored, text_bytes, words_of
-from .prefix_refinement import Alive, alive_filter
+from .common import WORD_BYTES, coded_words, distinct, fold_of, lean, stored, text_bytes
+from .prefix_refinement import ROWS, Alive, Tally, alive_filter
 
 ITEM_SHARE, HEAD_SHARE = 1e-4, 2e-6
 #: Occurrences from which on a word's own neighbours say its class.
@@ -56,6 +56,38 @@ def _ending(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % ENDINGS
 
 
+def _items(words: pa.Array, items: dict[bytes, int]) -> np.ndarray:
+    """The item of each word: its own or, from 1 to ``ENDINGS``, that of its ending."""
+    endings = pc.binary_slice(words, -3).dictionary_encode()
+    each = np.array([1 + _ending(ending) for ending in endings.dictionary.to_pylist()], np.int64)
+    own = np.fromiter(map(items.get, words.to_pylist(), repeat(0)), np.int64, len(words))
+    return np.where(own > 0, own, each[endings.indices.to_numpy()])
+
+
+def _with_ends(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The words' numbers in one line, with a 0 before the first text and behind every text."""
+    line = np.zeros(len(codes) + len(starts), codes.dtype)
+    line[1 + np.arange(len(codes)) + np.repeat(np.arange(len(starts) - 1), np.diff(starts))] = codes
+    return line
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of bounded size; the executor holds one of them at a time."""
+    return (batch.slice(at, ROWS) for at in range(0, batch.num_rows, ROWS))
+
+
+def _added(keys: np.ndarray, n: np.ndarray, more: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of distinct sorted keys, added up from two such."""
+    if not len(keys):
+        return more, m
+    every, n = np.concatenate([keys, more]), np.concatenate([n, m])
+    # Two sorted runs: a stable sort only merges them.
+    order = np.argsort(every, kind="stable")
+    every = every[order]
+    at = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+    return every[at], np.add.reduceat(n[order], at)
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(f"`{id_col}`").alias("doc_id"),
@@ -68,26 +100,15 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) of the training texts, summed within tasks before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def full() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())],
-                names=["word", "n"],
-            )
-            counts.clear()
-            return out
-
+        tally = Tally("word", "n")
         for batch in batches:
-            for raw in batch.column("raw").to_pylist():
-                counts.update(words_of(raw))
-                if len(counts) > HELD:
-                    yield full()
-        if counts:
-            yield full()
+            words, codes, _ = coded_words(batch.column("raw"), WORD_BYTES)
+            tally.add(np.zeros(len(words), np.int64), words, np.bincount(codes, minlength=len(words)))
+            yield from tally.rows(HELD)
+        yield from tally.rows(0)
 
     return (
-        texts.where("not held_out").select("raw").mapInArrow(run, "word binary, n long")
+        texts.where("not held_out").select("raw").mapInArrow(lean(run), "word binary, n long")
         .groupBy("word").agg(F.sum("n").alias("n"))
     )
 
@@ -98,45 +119,20 @@ def item_pairs(texts: DataFrame, items: dict[bytes, int]) -> DataFrame:
     shared = texts.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = dict(shared.value)
-        codes: list[int] = []
         keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            line = np.array(codes, np.int64)
-            # Texts stand between ends, so no pair crosses from one into the next.
-            fresh, n = np.unique(line[:-1] * PAIR + line[1:], return_counts=True)
-            every, at = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
-            total = np.bincount(at, np.concatenate([times, n]), len(every)).astype(np.int64)
-            return every, total
-
-        def batch_of(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], names=["pair", "n"])
-
-        codes.append(0)
         for batch in batches:
-            for raw in batch.column("raw").to_pylist():
-                for word in words_of(raw):
-                    at = known.get(word)
-                    if at is None:
-                        at = known[word] = 1 + _ending(word)
-                    codes.append(at)
-                codes.append(0)
-                if len(codes) > 1_000_000:
-                    keys, times = merged()
-                    codes = [0]
-                    if len(keys) > 4 * HELD:
-                        yield batch_of(keys, times)
-                        keys, times = keys[:0], times[:0]
-                if len(known) > HELD + len(shared.value):
-                    known = dict(shared.value)
-        if len(codes) > 1:
-            keys, times = merged()
+            words, codes, starts = coded_words(batch.column("raw"), WORD_BYTES)
+            # Texts stand between ends, so no pair crosses from one into the next.
+            line = _with_ends(_items(words, shared.value)[codes], starts)
+            keys, times = _added(keys, times, *distinct(line[:-1] * PAIR + line[1:]))
+            if len(keys) > 4 * HELD:
+                yield from _parts(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], names=["pair", "n"]))
+                keys, times = keys[:0], times[:0]
         if len(keys):
-            yield batch_of(keys, times)
+            yield from _parts(pa.RecordBatch.from_arrays([pa.array(keys), pa.array(times)], names=["pair", "n"]))
 
     return (
-        texts.where("not held_out").select("raw").mapInArrow(run, "pair long, n long")
+        texts.where("not held_out").select("raw").mapInArrow(lean(run), "pair long, n long")
         .groupBy("pair").agg(F.sum("n").alias("n"))
     )
 
@@ -300,45 +296,15 @@ def word_neighbours(texts: DataFrame, items: dict[bytes, int], classes: np.ndarr
     width = 2 * n_classes + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, of, bits = shared.value
+        items, of, bits = shared.value
         alive = Alive(bits)
-        endings = of[1 : 1 + ENDINGS].tolist()
-        fixed = {word: int(of[item]) for word, item in table.items()}
-        # Words that are looked at count from n_classes on; all others are their class.
-        known, names, kinds = dict(fixed), [], list(range(n_classes))
-        lines: list[list[bytes]] = []
+        # Words that are looked at, numbered, and what is counted of them.
+        numbers: dict[bytes, int] = {}
         keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            new = list(set().union(*lines).difference(known))
-            for word, held in zip(new, alive.holds(b"", new).tolist()):
-                if held:
-                    known[word] = len(kinds)
-                    names.append(word)
-                    kinds.append(endings[_ending(word)])
-                else:
-                    known[word] = endings[_ending(word)]
-            codes = [0]
-            for words in lines:
-                codes.extend(map(known.__getitem__, words))
-                codes.append(0)
-            line = np.array(codes, np.int64)
-            kind = np.array(kinds, np.int64)[line]
-            own = line >= n_classes
-            loop = own[1:] & (line[1:] == line[:-1])
-            after = np.where(loop, 2 * n_classes, kind[1:])
-            fresh, n = np.unique(
-                np.concatenate([
-                    (line[:-1] * width + after)[own[:-1]],
-                    (line[1:] * width + n_classes + kind[:-1])[own[1:] & ~loop],
-                ]),
-                return_counts=True,
-            )
-            every, at = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
-            return every, np.bincount(at, np.concatenate([times, n]), len(every)).astype(np.int64)
-
         def batch_of(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
-            word, code = keys // width - n_classes, keys % width
+            word, code = np.divmod(keys, width)
+            names = list(numbers)
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             ends = pa.array(np.r_[starts, len(word)], pa.int32())
             return pa.RecordBatch.from_arrays(
@@ -350,26 +316,34 @@ def word_neighbours(texts: DataFrame, items: dict[bytes, int], classes: np.ndarr
                 names=["word", "codes", "times"],
             )
 
-        held = 0
         for batch in batches:
-            for raw in batch.column("raw").to_pylist():
-                lines.append(words_of(raw))
-                held += len(lines[-1]) + 1
-                if held > 1_000_000:
-                    keys, times = merged()
-                    lines, held = [], 0
-                    if len(keys) > 4 * HELD or len(known) > HELD + len(fixed):
-                        if len(keys):
-                            yield batch_of(keys, times)
-                        keys, times = keys[:0], times[:0]
-                        known, names, kinds = dict(fixed), [], list(range(n_classes))
-        if lines:
-            keys, times = merged()
+            words, codes, starts = coded_words(batch.column("raw"), WORD_BYTES)
+            item = _items(words, items)
+            others = np.flatnonzero(item <= ENDINGS)
+            names = words.take(pa.array(others)).to_pylist()
+            held = np.flatnonzero(alive.holds(b"", names))
+            # By word, the end first: its class, and its number if it is looked at.
+            kind, number = np.append(0, of[item]), np.full(len(words) + 1, -1)
+            number[1 + others[held]] = [numbers.setdefault(names[at], len(numbers)) for at in held.tolist()]
+            line = _with_ends(codes + 1, starts)
+            line, kind = number[line], kind[line]
+            own = line >= 0
+            loop = own[1:] & (line[1:] == line[:-1])
+            after = np.where(loop, 2 * n_classes, kind[1:])
+            fresh = np.concatenate([
+                (line[:-1] * width + after)[own[:-1]],
+                (line[1:] * width + n_classes + kind[:-1])[own[1:] & ~loop],
+            ])
+            keys, times = _added(keys, times, *distinct(fresh))
+            if len(keys) > 4 * HELD or len(numbers) > HELD:
+                if len(keys):
+                    yield from _parts(batch_of(keys, times))
+                keys, times, numbers = keys[:0], times[:0], {}
         if len(keys):
-            yield batch_of(keys, times)
+            yield from _parts(batch_of(keys, times))
 
     return texts.where("not held_out").select("raw").mapInArrow(
-        run, "word binary, codes array<smallint>, times array<int>"
+        lean(run), "word binary, codes array<smallint>, times array<int>"
     )
 
 
@@ -403,26 +377,37 @@ def placed_words(neighbours: DataFrame, classes: np.ndarray, counts: np.ndarray)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         endings, steps, mass = shared.value
-        for batch in batches:
-            words, held = batch.column("word"), batch.column("held")
-            rows = np.repeat(np.arange(len(held)), held.value_lengths().to_numpy())
-            code, n = (held.flatten().field(name).to_numpy() for name in ("code", "n"))
-            codes = np.bincount(rows * width + code, n, len(held) * width).reshape(-1, width)
+
+        def placed(words: list[bytes], codes: np.ndarray) -> pa.RecordBatch:
             # Every occurrence is followed by one token.
             often = codes[:, : width // 2].sum(axis=1) + codes[:, -1] >= LEAST
-            words = words.filter(pa.array(often))
-            own = endings[np.array([_ending(word) for word in words.to_pylist()], np.int64)]
-            yield pa.RecordBatch.from_arrays(
+            words = pa.array(words, pa.binary()).filter(pa.array(often))
+            own = endings[_items(words, {}) - 1]
+            return pa.RecordBatch.from_arrays(
                 [words, pa.array(best_places(own, codes[often], steps, mass), pa.int16())],
                 names=["word", "class"],
             )
 
-    return (
-        neighbours.repartition("word")
-        .select("word", F.explode(F.arrays_zip("codes", "times")).alias("one"))
-        .groupBy("word", F.col("one.codes").alias("code")).agg(F.sum("one.times").alias("n"))
-        .groupBy("word").agg(F.collect_list(F.struct("code", "n")).alias("held"))
-        .mapInArrow(run, "word binary, class smallint")
+        # The last word's rows may go on in the next batch.
+        words, codes = [], np.zeros((0, width))
+        for batch in batches:
+            found = batch.column("word").dictionary_encode()
+            names = found.dictionary.to_pylist()
+            rows = np.repeat(found.indices.to_numpy(), batch.column("codes").value_lengths().to_numpy())
+            code, n = (batch.column(name).flatten().to_numpy() for name in ("codes", "times"))
+            more = np.bincount(rows * np.int64(width) + code, n, len(names) * width).reshape(-1, width)
+            if words and names and words[-1] == names[0]:
+                more[0] += codes[-1]
+                words, codes = words[:-1], codes[:-1]
+            words, codes = words + names, np.concatenate([codes, more])
+            if len(words) > 1:
+                yield placed(words[:-1], codes[:-1])
+                words, codes = words[-1:], codes[-1:].copy()
+        if words:
+            yield placed(words, codes)
+
+    return neighbours.repartition("word").sortWithinPartitions("word").mapInArrow(
+        lean(run), "word binary, class smallint"
     )
 
 
@@ -494,42 +479,44 @@ def class_paths(texts: DataFrame, words: DataFrame, endings: np.ndarray, n_token
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, kinds, logs, of = shared.value
-        of = of.tolist()
         row_id = TaskContext.get().partitionId() << 33
         for batch in batches:
-            n_tokens, n_known, mass, path, rare, rare_n, slots, ids = [], [], [], [], [], [], [], []
-            for raw in batch.column("raw").to_pylist():
-                line = words_of(raw)
-                # -1 is the last entry of the tables: class 0, log 0.
-                at = np.fromiter(map(table.get, line, repeat(-1)), np.int64, len(line))
-                way = np.append(kinds[at], np.uint8(0))
-                others = np.flatnonzero(at < 0).tolist()
-                slot: dict[bytes, int] = {}
-                order = [slot.setdefault(line[i], len(slot)) for i in others]
-                if others:
-                    way[others] = np.array([OPEN + of[_ending(word)] for word in slot], np.uint8)[order]
-                n_tokens.append(len(line) + 1)
-                n_known.append(len(line) - len(others) + (ends > 0))
-                mass.append(float(logs[at].sum()))
-                path.append(way.tobytes())
-                rare.append(list(slot))
-                rare_n.append(np.bincount(order).tolist() if order else [])
-                slots.append(order)
-                ids.append(row_id)
-                row_id += 1
+            words, codes, starts = coded_words(batch.column("raw"), WORD_BYTES)
+            size, texts = len(words), batch.num_rows
+            text = np.repeat(np.arange(texts), np.diff(starts))
+            # -1 is the last entry of the tables: class 0, log 0.
+            at = np.fromiter(map(table.get, words.to_pylist(), repeat(-1)), np.int64, size)
+            way = np.where(at < 0, OPEN + of[_items(words, {}) - 1], kinds[at]).astype(np.uint8)
+            known, mass = np.bincount(text, at[codes] >= 0, texts), np.bincount(text, logs[at[codes]], texts)
+            # A text's other words: each once, how often it occurs, and the occurrences in order.
+            others = np.flatnonzero(at[codes] < 0)
+            rare, order, rare_n = np.unique(
+                text[others] * size + codes[others], return_inverse=True, return_counts=True
+            )
+            firsts = np.searchsorted(rare, np.arange(texts + 1) * size)
+            slots = order - firsts[text[others]]
+            path = _with_ends(way[codes], starts)[1:]
+            firsts, bounds = pa.array(firsts, pa.int32()), (starts + np.arange(texts + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()), batch.column("doc_id"), batch.column("held_out"),
-                    pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                    pa.array(mass, pa.float64()), pa.array(path, pa.binary()),
-                    pa.array(rare, pa.list_(pa.binary())), pa.array(rare_n, pa.list_(pa.int32())),
-                    pa.array(slots, pa.list_(pa.int32())),
+                    pa.array(row_id + np.arange(texts)), batch.column("doc_id"), batch.column("held_out"),
+                    pa.array(np.diff(starts) + 1, pa.int64()),
+                    pa.array(known.astype(np.int64) + (ends > 0)), pa.array(mass, pa.float64()),
+                    pa.BinaryArray.from_buffers(
+                        pa.binary(), texts, [None, pa.py_buffer(bounds), pa.py_buffer(path)]
+                    ),
+                    pa.ListArray.from_arrays(firsts, words.take(pa.array(rare % max(size, 1)))),
+                    pa.ListArray.from_arrays(firsts, pa.array(rare_n, pa.int32())),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.searchsorted(others, starts), pa.int32()), pa.array(slots, pa.int32())
+                    ),
                 ],
                 names=[
                     "row_id", "doc_id", "held_out", "n_tokens", "n_known", "known_mass", "path",
                     "rare", "rare_n", "slots",
                 ],
             )
+            row_id += texts
 
     def resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -558,7 +545,7 @@ def class_paths(texts: DataFrame, words: DataFrame, endings: np.ndarray, n_token
 
     rows = stored(
         texts.mapInArrow(
-            run,
+            lean(run),
             f"row_id long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, known_mass double, "
             "path binary, rare array<binary>, rare_n array<int>, slots array<int>",
         ),
@@ -583,7 +570,7 @@ def class_paths(texts: DataFrame, words: DataFrame, endings: np.ndarray, n_token
             (F.col("known_mass") + F.coalesce(F.col("rare_mass"), F.lit(0.0))).alias("mass"),
             "path", "slots", "found",
         ).mapInArrow(
-            resolved,
+            lean(resolved),
             f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, mass double, path binary",
         ),
         "ngram-paths",
@@ -674,7 +661,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             )
 
     return paths.mapInArrow(
-        run,
+        lean(run),
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double",
     ).select(
         "doc_id", "held_out", "n_tokens", "n_known",

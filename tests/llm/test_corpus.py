@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest_rows import BASE, ROWS
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from sazonal.llm import (
     bin_completion, class_ngram, exact_dedup, forest_search, html_extract, license_scan, lsh_forest,
     neighbour_quality, pivotal_mix, url_filter,
 )
+from sazonal.llm.common import WORD_BYTES, coded_words, distinct
 from sazonal.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -371,6 +373,53 @@ def test_class_model_scores_against_plain_counts(spark):
         assert r.score == pytest.approx(want)
 
 
+def test_numbered_lines_add_up_to_plain_counts(spark):
+    draw = random.Random(21)
+    lines = [" ".join(draw.choices(["on", "off", "ab", "running", "sing", "king"], k=draw.randrange(7))) for _ in range(80)]
+    items = {b"on": 1 + class_ngram.ENDINGS, b"off": 2 + class_ngram.ENDINGS}
+
+    def item(word):
+        return items.get(word, 1 + zlib.crc32(word[-3:]) % class_ngram.ENDINGS)
+
+    want, done = Counter(), (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    for part in (lines[:30], lines[30:31], [""], lines[31:]):
+        words, codes, starts = coded_words(pa.array([text.encode() for text in part], pa.binary()), WORD_BYTES)
+        got = class_ngram._with_ends(class_ngram._items(words, items)[codes], starts)
+        plain = [0, *(code for text in part for code in (*map(item, text.encode().split()), 0))]
+        assert got.tolist() == plain
+        want.update(zip(plain, plain[1:]))
+        done = class_ngram._added(*done, *distinct(got[:-1] * class_ngram.PAIR + got[1:]))
+    assert dict(zip((divmod(key, class_ngram.PAIR) for key in done[0].tolist()), done[1].tolist())) == want
+
+
+def test_words_are_placed_across_batches(spark):
+    # Rows of one word lie in several batches, which hold two rows each.
+    draw, k = np.random.default_rng(9), 4
+    counts = draw.poisson(9, (k, k)).astype(float) + 1
+    classes = np.r_[0, draw.integers(1, k, class_ngram.ENDINGS)]
+    sums, rows = {}, []
+    for word in (b"one", b"two", b"three", b"four", b"five"):
+        for _ in range(draw.integers(1, 8)):
+            codes = draw.choice(2 * k + 1, 4, replace=False).tolist()
+            times = draw.integers(1, 5, 4).tolist()
+            rows.append((bytearray(word), codes, times))
+            np.add.at(sums.setdefault(word, np.zeros(2 * k + 1)), codes, times)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        table = spark.createDataFrame(rows, "word binary, codes array<smallint>, times array<int>").repartition(5)
+        got = class_ngram.placed_words(table, classes, counts).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    steps, mass = class_ngram.log_steps(counts), np.log10(counts.sum(axis=0))
+    want = {}
+    for word, codes in sums.items():
+        if codes[:k].sum() + codes[-1] >= class_ngram.LEAST:
+            own = classes[[1 + zlib.crc32(word[-3:]) % class_ngram.ENDINGS]]
+            want[word] = int(class_ngram.best_places(own, codes[None, :], steps, mass)[0])
+    assert want and {bytes(row[0]): row[1] for row in got} == want and len(got) == len(want)
+
+
 def test_places_are_the_likeliest():
     draw = np.random.default_rng(4)
     k, n = 6, 30
