@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import claim, stored, text_bytes
+from .common import claim, lean, stored, text_bytes
 
 SEQUENCE = 2048
 #: The id that ends every document.
@@ -160,7 +160,7 @@ def token_pieces(
 
     return docs.select(
         F.col(f"`{id_col}`").alias("doc_id"), text_bytes(F.col(f"`{text_col}`")).alias("raw")
-    ).mapInArrow(run, schema)
+    ).mapInArrow(lean(run), schema)
 
 
 # The search ----------------------------------------------------------------------------
@@ -421,4 +421,4 @@ def pack(
     )
     kinds = dict(pieces.dtypes)
     schema = ", ".join(f"{name} {kinds[name]}" for name in names) + ", sequence_id long, offset long"
-    return ranked.mapInArrow(run, schema)
+    return ranked.mapInArrow(lean(run), schema)

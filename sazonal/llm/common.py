@@ -30,11 +30,11 @@ _SHIPPED: set[str] = set()
 ARROW_BYTES = 8 << 20
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_bytes: int = ARROW_BYTES) -> None:
     """Send this package's source to the Python workers, once per application, and bound the
     bytes of their batches. The driver serves the file; executors need no copy of the
     repository."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{ARROW_BYTES}b")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{batch_bytes}b")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -58,14 +58,19 @@ def give_back() -> None:
         _LIBC.malloc_trim(0)
 
 
-def lean(run: Callable) -> Callable:
+def lean(run: Callable, forget: Callable[[], None] | None = None) -> Callable:
     """``run`` for mapInArrow, with free memory given back as a task begins and as it ends:
-    workers outlive their tasks and lie idle beside others."""
+    workers outlive their tasks and lie idle beside others. ``forget``, a module's function,
+    empties the task's tables of known words at its end, also if it is cut short."""
 
     def whole(batches):
         give_back()
-        yield from run(batches)
-        give_back()
+        try:
+            yield from run(batches)
+        finally:
+            if forget:
+                forget()
+            give_back()
 
     return whole
 
@@ -74,7 +79,8 @@ def claim(owner: str, clear: Callable[[], None]) -> None:
     """Say, as a task begins, which operator's tables of known words its Python worker holds.
     Workers outlive tasks and serve one operator after another; the tables of the one before
     are emptied, so that only those of one stay, and what allocators keep of memory that is
-    free again goes back to the machine."""
+    free again goes back to the machine. ``clear`` is a module's function, which a worker finds
+    by its name: a table that a task's own code names is sent along and is a copy there."""
     if owner not in _HELD:
         for empty in _HELD.values():
             empty()

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, filter_bits, maybe_in, stored, text_bytes, words_of
+from .common import claim, filter_bits, lean, maybe_in, stored, text_bytes, words_of
 from .components import components
 
 SHINGLE = 5
@@ -72,6 +72,10 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([known[word] for word in words], np.uint64)
 
 
+def _forget_words() -> None:
+    _WORDS.clear()
+
+
 def _scrambled(values: np.ndarray) -> np.ndarray:
     values = values ^ (values >> np.uint64(30))
     values = values * np.uint64(0xBF58476D1CE4E5B9)
@@ -125,7 +129,7 @@ def _described(docs: DataFrame) -> DataFrame:
     kind = dict(docs.dtypes)["id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("word hashes", _WORDS.clear)
+        claim("word hashes", _forget_words)
         for batch in batches:
             counts, nodes, signatures, sketches = [], [], [], []
             for raw in batch.column("raw").to_pylist():
@@ -141,7 +145,7 @@ def _described(docs: DataFrame) -> DataFrame:
                 names=["id", "n_shingles", "node", "signature", "sketch"],
             )
 
-    return docs.mapInArrow(run, f"id {kind}, n_shingles long, node binary, signature binary, sketch binary")
+    return docs.mapInArrow(lean(run, _forget_words), f"id {kind}, n_shingles long, node binary, signature binary, sketch binary")
 
 
 def _batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
@@ -188,7 +192,7 @@ def _neighbours(labels: DataFrame) -> DataFrame:
                     [pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["a", "b"]
                 )
 
-    return ordered.mapInArrow(run, "a binary, b binary").distinct()
+    return ordered.mapInArrow(lean(run), "a binary, b binary").distinct()
 
 
 def _may_link(one: tuple[int, int], other: tuple[int, int]) -> bool:
@@ -225,7 +229,7 @@ def _rarest(classes: DataFrame, docs: DataFrame) -> DataFrame:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["place", "n"])
 
-    counted = _sets(sample, docs).mapInArrow(count, "place long, n long")
+    counted = _sets(sample, docs).mapInArrow(lean(count), "place long, n long")
     common = counted.groupBy("place").agg(F.sum("n").alias("n")).where("n > 2").toArrow()
     order = np.zeros(1 << COUNT_BITS, np.uint16)
     order[common["place"].to_numpy()] = np.minimum(common["n"].to_numpy(), 65_535)
@@ -251,7 +255,7 @@ def _rarest(classes: DataFrame, docs: DataFrame) -> DataFrame:
             )
 
     held = _sets(classes, docs).join(classes.select("node", "root"), "node")
-    return held.mapInArrow(first, "token long, node binary, root binary, n long, at long")
+    return held.mapInArrow(lean(first), "token long, node binary, root binary, n long, at long")
 
 
 def _crowd_pairs(crowd: DataFrame, docs: DataFrame) -> DataFrame:
@@ -338,7 +342,7 @@ def _candidates(classes: DataFrame, docs: DataFrame, nearest: bool) -> DataFrame
         if pairs:
             yield _batch(pairs)
 
-    pairs = ordered.mapInArrow(run, "a binary, b binary")
+    pairs = ordered.mapInArrow(lean(run), "a binary, b binary")
     if nearest:
         return pairs.distinct()
     crowded = kinds.where(F.col("rows") > CALM)
@@ -368,7 +372,7 @@ def _sets(wanted: DataFrame, docs: DataFrame) -> DataFrame:
                 [pa.array(nodes, pa.binary()), pa.array(values, pa.binary())], names=["node", "values"]
             )
 
-    return texts.mapInArrow(sets, "node binary, values binary").dropDuplicates(["node"])
+    return texts.mapInArrow(lean(sets, _forget_words), "node binary, values binary").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -392,7 +396,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
                 keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "left", "right").mapInArrow(alike, "a binary, b binary")
+    return both.select("a", "b", "left", "right").mapInArrow(lean(alike), "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, fold_of, text_bytes
+from .common import claim, fold_of, lean, text_bytes
 
 #: Labelled rows that the model holds at most, taken in the order of a hash of their ids.
 LABELLED = 4096
@@ -50,6 +50,10 @@ def _shape(word: bytes) -> int:
     return at
 
 
+def _forget_shapes() -> None:
+    _SHAPE_OF.clear()
+
+
 def term_counts(raw: bytes) -> np.ndarray:
     """Shares of the terms in a whole text; zeros for a text without words."""
     words = raw.split()
@@ -126,7 +130,7 @@ def fit_quality(
     ).join(F.broadcast(known), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("word shapes", _SHAPE_OF.clear)
+        claim("word shapes", _forget_shapes)
         for batch in batches:
             counts = [term_counts(raw).astype("<f8").tobytes() for raw in batch.column("raw").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -135,7 +139,7 @@ def fit_quality(
             )
 
     rows = texts.select("id", "label", "raw").mapInArrow(
-        run, f"id {dict(texts.dtypes)['id']}, label int, counts binary"
+        lean(run, _forget_shapes), f"id {dict(texts.dtypes)['id']}, label int, counts binary"
     )
     # Rows that share an id could exceed the bound: one of each is taken.
     rows = rows.groupBy("id").agg(F.min_by("label", "counts").alias("label"), F.min("counts").alias("counts")).collect()
@@ -171,7 +175,7 @@ def score_quality(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("word shapes", _SHAPE_OF.clear)
+        claim("word shapes", _forget_shapes)
         for batch in batches:
             scores = []
             raws = batch.column("raw").to_pylist()
@@ -184,7 +188,7 @@ def score_quality(
             )
 
     kind = row.schema["row"].dataType.simpleString()
-    return row.mapInArrow(run, f"row {kind}, quality_score double")
+    return row.mapInArrow(lean(run, _forget_shapes), f"row {kind}, quality_score double")
 
 
 def training_rows(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, stored, uniform
+from .common import WORD, lean, stored, uniform
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -217,7 +217,7 @@ def _meet(items: DataFrame, level: int, last: bool, seed: int) -> DataFrame:
         if held is not None:
             yield pa.RecordBatch.from_pylist([_closed(held, last, seed)], schema=names)
 
-    return dealt.mapInArrow(run, ITEM)
+    return dealt.mapInArrow(lean(run), ITEM)
 
 
 def _closed(item: dict, last: bool, seed: int) -> dict:

@@ -604,6 +604,21 @@ def test_licenses_are_inherited_from_the_nearest_directory(files):
 # The pipeline
 
 
+def test_workers_hold_no_words_of_earlier_stages(spark, docs, files):
+    labels = files([(1, 1), (2, 0)], "doc_id long, quality int")
+    model = neighbour_quality.fit_quality(docs, labels)
+    assert neighbour_quality.score_quality(docs, model).count() == lsh_forest.near_duplicates(docs).count()
+
+    def held(batches):
+        from sazonal.llm import lsh_forest, neighbour_quality
+
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"n": [len(lsh_forest._WORDS) + len(neighbour_quality._SHAPE_OF)]})
+
+    assert {r.n for r in spark.range(0, 64, 1, 32).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_pipeline_against_its_parts(spark):
     import corpus_pipeline
     from sazonal.llm.common import stored
