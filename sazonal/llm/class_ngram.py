@@ -26,7 +26,6 @@ import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD_BYTES, coded_words, distinct, fold_of, lean, stored, text_bytes
-from .prefix_refinement import ROWS, Alive, Tally, alive_filter
+from .prefix_refinement import CUT, ROWS, Alive, Tally, alive_filter
 
 ITEM_SHARE, HEAD_SHARE = 1e-4, 2e-6
 #: Occurrences from which on a word's own neighbours say its class.
@@ -56,12 +55,38 @@ def _ending(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % ENDINGS
 
 
+def _places(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each word stands in a list of distinct words; -1 where it does not."""
+    return pc.index_in(words, value_set=known).fill_null(-1).to_numpy().astype(np.int64)
+
+
 def _items(words: pa.Array, items: dict[bytes, int]) -> np.ndarray:
     """The item of each word: its own or, from 1 to ``ENDINGS``, that of its ending."""
     endings = pc.binary_slice(words, -3).dictionary_encode()
     each = np.array([1 + _ending(ending) for ending in endings.dictionary.to_pylist()], np.int64)
-    own = np.fromiter(map(items.get, words.to_pylist(), repeat(0)), np.int64, len(words))
-    return np.where(own > 0, own, each[endings.indices.to_numpy()])
+    out = each[endings.indices.to_numpy()]
+    if not items:
+        return out
+    # -1 is the last entry.
+    own = np.array([*items.values(), 0])[_places(words, pa.array(list(items), pa.binary()))]
+    return np.where(own > 0, own, out)
+
+
+def _numbered(known: pa.Array, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The known words and behind them those of ``words`` that are new, and the place there of
+    each of ``words``."""
+    coded = pa.concat_arrays([known, words]).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy()[len(known) :].astype(np.int64)
+
+
+def _held(alive: Alive, words: pa.Array, n: np.ndarray) -> np.ndarray:
+    """Which of the words the filter of those with ``LEAST`` occurrences lets through. Where
+    ``n`` training occurrences say it already, it need not be asked."""
+    out = n >= LEAST
+    asked = words.filter(pa.array(~out))
+    keys = pc.binary_join_element_wise(pa.scalar(b"", pa.binary()), asked, pa.scalar(CUT, pa.binary()))
+    out[~out] = alive.holds_keys(keys.to_numpy(zero_copy_only=False))
+    return out
 
 
 def _with_ends(codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -299,17 +324,16 @@ def word_neighbours(texts: DataFrame, items: dict[bytes, int], classes: np.ndarr
         items, of, bits = shared.value
         alive = Alive(bits)
         # Words that are looked at, numbered, and what is counted of them.
-        numbers: dict[bytes, int] = {}
+        known = none = pa.array([], pa.binary())
         keys, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def batch_of(keys: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
             word, code = np.divmod(keys, width)
-            names = list(numbers)
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             ends = pa.array(np.r_[starts, len(word)], pa.int32())
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([names[at] for at in word[starts].tolist()], pa.binary()),
+                    known.take(pa.array(word[starts])),
                     pa.ListArray.from_arrays(ends, pa.array(code, pa.int16())),
                     pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())),
                 ],
@@ -320,11 +344,11 @@ def word_neighbours(texts: DataFrame, items: dict[bytes, int], classes: np.ndarr
             words, codes, starts = coded_words(batch.column("raw"), WORD_BYTES)
             item = _items(words, items)
             others = np.flatnonzero(item <= ENDINGS)
-            names = words.take(pa.array(others)).to_pylist()
-            held = np.flatnonzero(alive.holds(b"", names))
+            n = np.bincount(codes, minlength=len(words))
+            others = others[_held(alive, words.take(pa.array(others)), n[others])]
             # By word, the end first: its class, and its number if it is looked at.
             kind, number = np.append(0, of[item]), np.full(len(words) + 1, -1)
-            number[1 + others[held]] = [numbers.setdefault(names[at], len(numbers)) for at in held.tolist()]
+            known, number[1 + others] = _numbered(known, words.take(pa.array(others)))
             line = _with_ends(codes + 1, starts)
             line, kind = number[line], kind[line]
             own = line >= 0
@@ -335,10 +359,10 @@ def word_neighbours(texts: DataFrame, items: dict[bytes, int], classes: np.ndarr
                 (line[1:] * width + n_classes + kind[:-1])[own[1:] & ~loop],
             ])
             keys, times = _added(keys, times, *distinct(fresh))
-            if len(keys) > 4 * HELD or len(numbers) > HELD:
+            if len(keys) > 4 * HELD or len(known) > HELD:
                 if len(keys):
                     yield from _parts(batch_of(keys, times))
-                keys, times, numbers = keys[:0], times[:0], {}
+                keys, times, known = keys[:0], times[:0], none
         if len(keys):
             yield from _parts(batch_of(keys, times))
 
@@ -431,14 +455,10 @@ def vocabulary(texts: DataFrame, n_classes: int = CLASSES) -> tuple[DataFrame, n
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, of = shared.value
-        of = of.tolist()
         for batch in batches:
-            kinds = [
-                of[table.get(word) or 1 + _ending(word)] if kind is None else kind
-                for word, kind in zip(batch.column("word").to_pylist(), batch.column("class").to_pylist())
-            ]
+            own = pa.array(of[_items(batch.column("word"), table)], pa.int16())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), batch.column("n"), pa.array(kinds, pa.int16())],
+                [batch.column("word"), batch.column("n"), pc.coalesce(batch.column("class"), own)],
                 names=["word", "n", "class"],
             )
 
@@ -470,7 +490,7 @@ def class_paths(texts: DataFrame, words: DataFrame, endings: np.ndarray, n_token
     kind = dict(texts.dtypes)["doc_id"]
     head = words.where(F.col("n") >= max(2, math.ceil(HEAD_SHARE * n_tokens))).collect()
     shared = texts.sparkSession.sparkContext.broadcast((
-        {bytes(row["word"]): at for at, row in enumerate(head)},
+        pa.array([bytes(row["word"]) for row in head], pa.binary()),
         np.array([row["class"] for row in head] + [0], np.uint8),
         np.log10(np.array([row["n"] for row in head] + [1 - WORD_MASS]) + WORD_MASS),
         endings,
@@ -485,7 +505,7 @@ def class_paths(texts: DataFrame, words: DataFrame, endings: np.ndarray, n_token
             size, texts = len(words), batch.num_rows
             text = np.repeat(np.arange(texts), np.diff(starts))
             # -1 is the last entry of the tables: class 0, log 0.
-            at = np.fromiter(map(table.get, words.to_pylist(), repeat(-1)), np.int64, size)
+            at = _places(words, table)
             way = np.where(at < 0, OPEN + of[_items(words, {}) - 1], kinds[at]).astype(np.uint8)
             known, mass = np.bincount(text, at[codes] >= 0, texts), np.bincount(text, logs[at[codes]], texts)
             # A text's other words: each once, how often it occurs, and the occurrences in order.

@@ -392,6 +392,41 @@ def test_numbered_lines_add_up_to_plain_counts(spark):
     assert dict(zip((divmod(key, class_ngram.PAIR) for key in done[0].tolist()), done[1].tolist())) == want
 
 
+def test_words_are_looked_up_as_a_whole():
+    class Whole(dict):
+        def get(self, *_):
+            raise AssertionError("words are looked up one by one")
+
+    class Asked(class_ngram.Alive):
+        def holds_keys(self, keys):
+            asked.extend(keys)
+            return super().holds_keys(keys)
+
+    draw, asked = np.random.default_rng(17), []
+    plain = [b"", *dict.fromkeys(bytes(draw.integers(97, 102, draw.integers(1, 6)).tolist()) for _ in range(400))]
+    words = pa.array(plain, pa.binary())
+    items = {word: 1 + class_ngram.ENDINGS + at for at, word in enumerate(plain[::7])}
+    want = [items.get(word, 1 + zlib.crc32(word[-3:]) % class_ngram.ENDINGS) for word in plain]
+    assert class_ngram._items(words, Whole(items)).tolist() == want
+    assert class_ngram._items(words[3:9], Whole()).tolist() == [
+        1 + zlib.crc32(word[-3:]) % class_ngram.ENDINGS for word in plain[3:9]
+    ]
+    assert len(class_ngram._items(words[:0], Whole(items))) == 0
+    # Only words whose occurrences do not say it are asked for, as Spark's filter has them.
+    alive = Asked(draw.integers(0, 256, 1 << 8).astype(np.uint8))
+    n = draw.integers(1, 2 * class_ngram.LEAST, len(plain))
+    few = [word for word, times in zip(plain, n) if times < class_ngram.LEAST]
+    held = class_ngram._held(alive, words, n)
+    assert asked == [b"\0" + word for word in few]
+    passed = dict(zip(few, alive.holds(b"", few).tolist()))
+    assert held.tolist() == [passed.get(word, True) for word in plain] and 0 < sum(passed.values()) < len(few)
+    numbers, known = {}, pa.array([], pa.binary())
+    for part in (plain[:90], plain[40:200], [], plain[150:]):
+        known, got = class_ngram._numbered(known, pa.array(part, pa.binary()))
+        assert got.tolist() == [numbers.setdefault(word, len(numbers)) for word in part]
+    assert known.to_pylist() == list(numbers)
+
+
 def test_words_are_placed_across_batches(spark):
     # Rows of one word lie in several batches, which hold two rows each.
     draw, k = np.random.default_rng(9), 4
