@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -351,3 +352,50 @@ def test_double_array_finds_its_phrases_only():
     text = draw.choices(words + [b"other"], k=5000) + [w for p in phrases for w in p]
     states = trie.walk(np.array([trie.codes.get(w, 0) for w in text]))
     assert states.tolist() == [state.get(tuple(text[i : i + 3]), 0) for i in range(len(text))]
+
+
+def test_phrases_leave_the_driver_and_are_one_pass_a_length(files, monkeypatch):
+    # 40 words in random order: some 40,000 threes, in five blocks.
+    draw = random.Random(11)
+    rows = [(" ".join(draw.choices([f"w{i}" for i in range(40)], k=40)), "en", "x", 1) for _ in range(1700)]
+    raw = files(rows, SAID).select(F.col("lang").cast("binary").alias("lang"), F.col("text").cast("binary").alias("raw"))
+    passes, longer = [], phrase_trie._longer
+    monkeypatch.setattr(phrase_trie, "_longer", lambda *given: passes.append(1) or longer(*given))
+    tracemalloc.start()
+    try:
+        found = phrase_trie.frequent_phrases(raw, longest=4, least=1, most=10_000)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    counts = Counter(tuple(t[at : at + k]) for t in (r[0].split() for r in rows) for k in (1, 2, 3, 4) for at in range(len(t) - k + 1))
+    by_length = Counter(map(len, counts))
+    assert by_length[3] > 30_000
+    phrases = found.where("phrase is not null")
+    assert {r["words"]: r["count"] for r in phrases.groupBy("words").count().collect()} == by_length
+    some = phrases.where("words > 2 and crc32(phrase) % 50 = 0").collect()
+    assert len(some) > 1000 and all(counts[tuple(bytes(r["phrase"]).decode().split())] == r["n"] for r in some)
+    assert len(passes) == 3
+    # Ten thousand phrases at a time, as arrays.
+    assert most < 6 << 20
+
+
+def test_double_array_of_many_words():
+    # Some states have a thousand words after them, most have one.
+    draw = np.random.default_rng(3)
+    rows = np.unique(np.minimum(draw.zipf(1.2, (30_000, 4)), 50_000).astype(np.int32), axis=0)
+    trie = phrase_trie.DoubleArray(rows, 50_000)
+    assert len(np.unique(trie.states)) == len(rows) and len(trie.base) < 20 * len(rows)
+    text = np.concatenate([rows.ravel(), np.minimum(draw.zipf(1.2, 50_000), 50_001) % 50_001]).astype(np.int32)
+    state = {tuple(row): at for row, at in zip(rows.tolist(), trie.states.tolist())}
+    windows = np.lib.stride_tricks.sliding_window_view(np.r_[text, np.zeros(3, np.int32)], 4).tolist()
+    assert trie.walk(text).tolist() == [state.get(tuple(window), 0) for window in windows]
+
+
+def test_numbered_runs_hold_long_texts(files, monkeypatch):
+    # Texts of several runs, in blocks of a few words; rarer words and cuts end a phrase.
+    words = ["aa", "bb", "cc", "dd"]
+    draw = random.Random(2)
+    rows = [(" ".join(draw.choices(words + ["rare%d" % i, "ee.", "ee,"], [9, 9, 9, 9, 1, 2, 2], k=9000)), lang, "x", 1)
+            for i, lang in enumerate(["en", None, "en", "fr"])]
+    found = phrase_trie.collocations(files(rows, SAID), least=40, most=3, top=50)
+    assert {tuple(r) for r in found.collect()} == brute_phrases([r[:2] for r in rows], 40, top=50)
